@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -39,10 +40,49 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _drop_at_exit() -> None:
+    for spark, path in _LEFT:
+        try:
+            drop_path(spark, path)
+        except Exception:  # the session may already be gone
+            pass
+
+
+_LEFT: list[tuple[SparkSession, str]] = []
+atexit.register(_drop_at_exit)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder with the file system that owns it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Cut:
+    """A DataFrame written once as a Parquet table in the shared checkpoint folder.
+
+    Reading it back has no lineage beyond the files, so a lost executor costs only the
+    tasks it ran. ``drop`` removes the table when a later one has replaced it; what is
+    left is removed when the driver ends.
+    """
+
+    def __init__(self, df: DataFrame):
+        spark = df.sparkSession
+        self.path = f"{checkpoint_dir(spark)}/synaxis-{uuid.uuid4().hex}"
+        self._spark = spark
+        df.write.parquet(self.path)
+        _LEFT.append((spark, self.path))
+        self.df = spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        drop_path(self._spark, self.path)
+        _LEFT[:] = [x for x in _LEFT if x[1] != self.path]
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared checkpoint folder and read it back, without lineage."""
+    return Cut(df).df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
