@@ -5,14 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from synaxis.functions.scalars import normalize_vat
-from synaxis.operators import heavy_keys, nested
-from synaxis.session import q, read_table
+from synaxis.functions.scalars import normalize_vat, to_number
+from synaxis.operators import drift, heavy_keys, nested, quality
+from synaxis.session import cut, q, read_table
 
+AMOUNT = "totalCostWithoutVAT"
+VAT = "organizationVatNumber"
 OBJECTS = "objectDetailsList"
 MEMBERS = "contractingDataDetails.contractingMembersDataList"
 
 
+def _drift(spark: SparkSession, sf_dir: str):
+    raw = read_table(spark, sf_dir, "contract_raw")
+    values = cut(drift.path_values(raw))
+    return raw, values, drift.changes(values, drift.file_order(raw))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change of a file's fields against the previous file of its feed."""
+    return _drift(spark, sf_dir)[2].select("file_name", "field_path", "change_kind", "old_path")
+
+
+def p1_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw contract records in one typed table."""
+    raw, values, found = _drift(spark, sf_dir)
+    return drift.consistent_table(raw, drift.consistent_types(values, found))
+
+
+def p1_failed_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.failed_casts(p1_table(spark, sf_dir))
+
+
+def _rules() -> list[quality.ColumnRule]:
+    amount, vat, kind = q(AMOUNT), q(VAT), quality.list_kind_udf(q(OBJECTS))
+    number = to_number(amount)
+    return [
+        quality.ColumnRule(AMOUNT, quality.amount_well_formed(amount), quality.text_form(amount), F.when(number > 0, F.log10(number))),
+        quality.ColumnRule(VAT, quality.vat_well_formed(vat), quality.text_form(vat), F.lit(None).cast("double")),
+        quality.ColumnRule(OBJECTS, kind == "well formed", kind, F.lit(None).cast("double")),
+    ]
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ill-formed values and departing loads of three columns of the awards."""
+    return quality.findings(read_table(spark, sf_dir, "auction"), "row_id", "load_id", _rules())
+
+
+def p2_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of the three columns over all loads."""
+    return quality.profile(cut(quality.observe(read_table(spark, sf_dir, "auction"), "row_id", "load_id", _rules())))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tax ids that hold at least 2 % of all awards."""
     return heavy_keys.heavy(p5_profile(spark, sf_dir)).select(F.col("vat"))
@@ -54,6 +97,11 @@ def p6_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_table": p1_table,
+    "p1_failed_casts": p1_failed_casts,
+    "p2_found": p2_found,
+    "p2_profile": p2_profile,
     "p5_found": p5_found,
     "p5_profile": p5_profile,
     "p6_found": p6_found,
