@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from synaxis.functions.scalars import normalize_vat, to_number
-from synaxis.operators import drift, heavy_keys, nested, quality
+from synaxis.functions.scalars import VALUE_CAP, normalize_vat, to_day, to_number
+from synaxis.operators import drift, heavy_keys, nested, quality, spikes
 from synaxis.session import cut, q, read_table
 
 AMOUNT = "totalCostWithoutVAT"
@@ -56,6 +56,43 @@ def p2_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile(cut(quality.observe(read_table(spark, sf_dir, "auction"), "row_id", "load_id", _rules())))
 
 
+def _registered(spark: SparkSession, sf_dir: str, act: str, value: str) -> DataFrame:
+    """Rows of an act table with the nine-digit tax id of a registered organisation."""
+    registry = read_table(spark, sf_dir, "entities").select(q("vat").alias("vat")).distinct()
+    rows = read_table(spark, sf_dir, act).select(
+        "row_id",
+        normalize_vat(q(VAT)).alias("vat"),
+        q(value).alias("v"),
+        to_day(q("submissionDate")).alias("day"),
+        F.when(
+            q("_source_month").between(1, 12) & q("_source_year").between(1, 9999),
+            F.make_date("_source_year", "_source_month", F.lit(1)),
+        ).alias("month"),
+    )
+    return rows.filter("v is not null").join(registry, "vat", "left_semi")
+
+
+def p4_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged amounts and bid counts with the reasons."""
+    v = F.col("v")
+    measurements = (
+        ("auction", "totalCostWithVAT", (v <= 0) | (v > VALUE_CAP), spikes.Limits(min_run=8)),
+        ("contract", "bidsSubmitted", (v < 1) | (v != F.floor(v)) | (v >= 300_000), spikes.Limits(min_run=12)),
+    )
+    found = [
+        spikes.implausible(
+            _registered(spark, sf_dir, act, column), F.col("vat"), F.col("row_id"), v, F.col("day"), F.col("month"), impossible, limits
+        ).select(F.lit(act).alias("act"), F.col("pos").alias("row_id"), "reasons")
+        for act, column, impossible, limits in measurements
+    ]
+    return found[0].unionByName(found[1])
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Implausible amounts and bid counts."""
+    return p4_reasons(spark, sf_dir).select("act", "row_id")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tax ids that hold at least 2 % of all awards."""
     return heavy_keys.heavy(p5_profile(spark, sf_dir)).select(F.col("vat"))
@@ -102,6 +139,8 @@ QUERIES = {
     "p1_failed_casts": p1_failed_casts,
     "p2_found": p2_found,
     "p2_profile": p2_profile,
+    "p4_found": p4_found,
+    "p4_reasons": p4_reasons,
     "p5_found": p5_found,
     "p5_profile": p5_profile,
     "p6_found": p6_found,
