@@ -27,12 +27,13 @@ def block_counts(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
 
 def number_rows(rows: DataFrame, counts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add ``rank`` (from 0, in order of pos) within the key; rows with a null key are left out."""
+    """Add ``rank`` (from 0, in order of pos, then the other columns) within the key; rows with a null key are left out."""
     by_block = Window.partitionBy("k").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.filter(F.col("k").isNotNull()).select(
         "k", "block", F.coalesce(F.sum("n").over(by_block), F.lit(0)).alias("offset")
     )
-    inside = Window.partitionBy("k", "block").orderBy("pos", *[c for c in ("v",) if c in rows.columns])
+    others = [c for c in rows.columns if c not in ("k", "pos")]
+    inside = Window.partitionBy("k", "block").orderBy("pos", *others)
     numbered = (
         rows.filter(F.col("k").isNotNull())
         .withColumn("block", F.floor(F.col("pos") / block_rows).cast("long"))
