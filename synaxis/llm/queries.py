@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from synaxis.llm import groups
+from synaxis.llm import groups, packing
 from synaxis.session import read_table
 
 
@@ -13,8 +14,26 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.group_records(read_table(spark, sf_dir, "entity_resolution_matches"), "id_l", "id_r")
 
 
+CAPACITY = 8192
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, or piece of a larger one, with its container."""
+    # ByT5: one token per UTF-8 byte and one end mark per document; a null text is an empty one
+    tokens = F.octet_length(F.coalesce("text", F.lit(""))) + 1
+    return packing.pack(read_table(spark, sf_dir, "documents"), F.col("doc_id"), tokens, CAPACITY)
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that had to be cut."""
+    cut_items = p8_containers(spark, sf_dir).filter("n_pieces > 1")
+    return cut_items.select(F.col("item").alias("doc_id")).distinct()
+
+
 QUERIES = {
     "p3_found": p3_found,
+    "p8_containers": p8_containers,
+    "p8_found": p8_found,
 }
 
 ORACLE: dict[str, str] = {}
