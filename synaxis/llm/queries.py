@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from synaxis.llm import groups, packing
+from synaxis.llm import groups, packing, spamlines
 from synaxis.session import read_table
 
 
@@ -30,8 +30,20 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_items.select(F.col("item").alias("doc_id")).distinct()
 
 
+def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of every document's words by kind of line."""
+    return spamlines.line_shares(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are mostly keyword, link, tag or product lines."""
+    return spamlines.stuffed(p10_shares(spark, sf_dir)).select("doc_id")
+
+
 QUERIES = {
     "p3_found": p3_found,
+    "p10_found": p10_found,
+    "p10_shares": p10_shares,
     "p8_containers": p8_containers,
     "p8_found": p8_found,
 }
