@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from synaxis.llm import groups, packing, spamlines
+from synaxis.llm import groups, leaks, packing, spamlines
 from synaxis.session import read_table
 
 
@@ -30,6 +30,23 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_items.select(F.col("item").alias("doc_id")).distinct()
 
 
+def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every evaluation item in every document that holds a passage of it, with its place."""
+    documents, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")
+    return leaks.leaks(documents, "doc_id", "text", items, "item_id", "text")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the evaluation items they leak."""
+    return p9_passages(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that remain when all that leak an item are removed."""
+    documents = read_table(spark, sf_dir, "documents")
+    return documents.join(p9_found(spark, sf_dir).select("doc_id"), "doc_id", "left_anti").select("doc_id", "lang", "source")
+
+
 def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of every document's words by kind of line."""
     return spamlines.line_shares(read_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -46,6 +63,9 @@ QUERIES = {
     "p10_shares": p10_shares,
     "p8_containers": p8_containers,
     "p8_found": p8_found,
+    "p9_clean": p9_clean,
+    "p9_found": p9_found,
+    "p9_passages": p9_passages,
 }
 
 ORACLE: dict[str, str] = {}
