@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from synaxis.llm import groups, leaks, packing, spamlines
+from synaxis.llm import groups, leaks, packing, spamlines, variants
 from synaxis.session import read_table
 
 
@@ -14,6 +14,23 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.group_records(read_table(spark, sf_dir, "entity_resolution_matches"), "id_l", "id_r")
 
 
+def p7_contractors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of alias rows that name the same contractor."""
+    return variants.contractor_pairs(read_table(spark, sf_dir, "contractor_aliases"), "alias_id", "vat", "canonical_name")
+
+
+def p7_organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered organisations of awards that carry no tax id and a differently typed name."""
+    awards = read_table(spark, sf_dir, "auction").filter("organizationVatNumber is null")
+    return variants.organisation_links(read_table(spark, sf_dir, "entities"), "org_id", "name", awards, "row_id", "organization.value")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All links between name variants."""
+    alias = p7_contractors(spark, sf_dir).select(F.lit("alias").alias("side"), "key_a", "key_b")
+    return alias.unionByName(p7_organisations(spark, sf_dir).select(F.lit("organisation").alias("side"), "key_a", "key_b"))
+
+
 CAPACITY = 8192
 
 
@@ -61,6 +78,9 @@ QUERIES = {
     "p3_found": p3_found,
     "p10_found": p10_found,
     "p10_shares": p10_shares,
+    "p7_contractors": p7_contractors,
+    "p7_found": p7_found,
+    "p7_organisations": p7_organisations,
     "p8_containers": p8_containers,
     "p8_found": p8_found,
     "p9_clean": p9_clean,
