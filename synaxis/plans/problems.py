@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from synaxis.functions.scalars import VALUE_CAP, normalize_vat, to_day, to_number
 from synaxis.operators import drift, heavy_keys, nested, quality, spikes
+from synaxis.plans import problems_sql
 from synaxis.session import cut, q, read_table
 
 AMOUNT = "totalCostWithoutVAT"
@@ -104,7 +105,8 @@ def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = heavy_keys.per_key(
         auction, normalize_vat(q("organizationVatNumber")), q("row_id"), q("totalCostWithVAT")
     )
-    return result.withColumnRenamed("k", "vat")
+    measures = ("n", "n_values", "low", "high", "first_v", "last_v", "n_up", "n_all")
+    return result.select(F.col("k").alias("vat"), *measures)
 
 
 CPV_CHAIN = nested.Chain(OBJECTS, ("object", "cpv"), ("cpvs",), "key")
@@ -133,6 +135,8 @@ def p6_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("p0", "pos")
 
 
+ORACLE = problems_sql.ORACLE
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_table": p1_table,
