@@ -88,4 +88,11 @@ QUERIES = {
     "p9_passages": p9_passages,
 }
 
-ORACLE: dict[str, str] = {}
+P3_SQL = """WITH RECURSIVE e AS (SELECT id_l AS a, id_r AS b FROM entity_resolution_matches WHERE id_l IS NOT NULL AND id_r IS NOT NULL UNION SELECT id_r, id_l FROM entity_resolution_matches WHERE id_l IS NOT NULL AND id_r IS NOT NULL),
+    v AS (SELECT id_l AS a FROM entity_resolution_matches WHERE id_l IS NOT NULL UNION SELECT id_r FROM entity_resolution_matches WHERE id_r IS NOT NULL),
+    reach AS (SELECT a, a AS b FROM v UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+    SELECT a AS record_id, min(b) AS group_id FROM reach GROUP BY 1"""
+
+P8_SQL = "SELECT doc_id FROM documents WHERE strlen(text) + 1 > 8192"
+
+ORACLE: dict[str, str] = {"p3_found": P3_SQL, "p8_found": P8_SQL}
