@@ -266,7 +266,7 @@ def organisation_links(
     """
     entities = registry.select(F.col(org_id).cast("long").alias("org_id"), F.col(registered_name).alias("name")).filter("name is not null")
     rows = acts.select(F.col(row_id).cast("long").alias("row_id"), F.col("`" + typed_name + "`").alias("name")).filter("name is not null")
-    common = set(common_tokens(entities.select("name"), 0.02, 2))
+    common = set(common_tokens(entities.select("name"), 0.02, 5))
 
     def split_registered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
