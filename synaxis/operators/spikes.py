@@ -32,7 +32,7 @@ class Limits:
     """
 
     min_run: int
-    gap: float = 4.0
+    gap: float = 3.5
     min_rows: int = 20
     max_share: float = 0.1
     residual: float = float(np.log(2.0))
