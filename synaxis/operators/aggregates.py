@@ -6,6 +6,8 @@ its row with a null measure and a note, and ratios with a zero denominator are n
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,19 +111,17 @@ def digit_tests(payments: DataFrame, minimum: int = 300) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.count_if("ok").alias("n_amounts"),
         F.count_if(F.col("ok") & (F.col("value") >= 10)).alias("n2"), F.grouping_id("year", "vat").alias("g"),
     ).filter(F.col("g").isin(0, 2)).withColumn("period", F.when(F.col("g") == 0, F.col("year").cast("string")).otherwise("all"))
-    spark = payments.sparkSession
-    e1 = spark.range(1, 10).select(F.col("id").cast("int").alias("d"), F.log10(1 + 1 / F.col("id")).alias("p"))
-    e2 = spark.range(0, 10).select(F.col("id").cast("int").alias("d")).select(
-        "d", F.aggregate(F.sequence(F.lit(1), F.lit(9)), F.lit(0.0), lambda a, k: a + F.log10(1 + 1 / (10 * k + F.col("d")))).alias("p")
-    )
+    e1 = {d: math.log10(1 + 1 / d) for d in range(1, 10)}
+    e2 = {d: sum(math.log10(1 + 1 / (10 * k + d)) for k in range(1, 10)) for d in range(10)}
 
-    def test(digit: Column, expected: DataFrame, of: str, name: str) -> DataFrame:
+    def test(digit: Column, expected: dict[int, float], of: str, name: str) -> DataFrame:
         seen = rows.filter("ok").select("vat", "year", digit.alias("d")).filter("d is not null")
         counts = seen.groupBy("vat", "year", "d").agg(F.count(F.lit(1)).alias("n"))
         both = counts.select("vat", F.col("year").cast("string").alias("period"), "d", "n").unionByName(
             counts.groupBy("vat", "d").agg(F.sum("n").alias("n")).select("vat", F.lit("all").alias("period"), "d", "n")
         )
-        grid = sizes.filter(F.col(of) >= minimum).select("vat", "period", F.col(of).alias("total")).crossJoin(F.broadcast(expected))
+        digits = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(p).alias("p")) for d, p in expected.items()])
+        grid = sizes.filter(F.col(of) >= minimum).select("vat", "period", F.col(of).alias("total"), F.inline(digits))
         diff = F.coalesce(F.col("n"), F.lit(0)) / F.col("total") - F.col("p")
         return grid.join(both, ["vat", "period", "d"], "left").groupBy("vat", "period").agg(
             F.round(F.avg(F.abs(diff)), 5).alias(f"mad_{name}"), F.round(F.sum(diff * diff / F.col("p")) * F.max("total"), 2).alias(f"chi2_{name}")

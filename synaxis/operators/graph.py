@@ -59,7 +59,7 @@ def communities(edges: DataFrame, rounds: int = 6, levels: int = 3) -> DataFrame
     assignment: DataFrame | None = None
     for level in range(levels):
         degree = Cut(current.groupBy("src").agg(F.sum("w").alias("k")).withColumnRenamed("src", "v"))
-        total = F.broadcast(degree.df.agg(F.sum("k").alias("m2")))  # one row
+        m2 = degree.df.agg(F.sum("k")).first()[0]  # one number
         members = Cut(degree.df.select("v", F.col("v").alias("c")))
         for i in range(rounds):
             strength = members.df.join(degree.df, "v").groupBy("c").agg(F.sum("k").alias("kc"))
@@ -70,10 +70,10 @@ def communities(edges: DataFrame, rounds: int = 6, levels: int = 3) -> DataFrame
             own = members.df.withColumnRenamed("c", "own")
             options = (
                 near.unionByName(members.df.withColumn("w", F.lit(0.0))).groupBy("v", "c").agg(F.sum("w").alias("w"))
-                .join(strength, "c").join(degree.df, "v").join(own, "v").crossJoin(total)
+                .join(strength, "c").join(degree.df, "v").join(own, "v")
             )
             rest = F.col("kc") - F.when(F.col("c") == F.col("own"), F.col("k")).otherwise(0.0)
-            gain = F.col("w") - F.col("k") * rest / F.col("m2")
+            gain = F.col("w") - F.col("k") * rest / F.lit(m2)
             best = options.groupBy("v").agg(F.max(F.struct(F.round(gain, 9).alias("g"), F.col("c") == F.col("own"), F.col("c").alias("c"))).alias("b"), F.first("own").alias("own"))
             may = F.pmod(F.xxhash64("v", F.lit(level * 100 + i)), F.lit(2)) == 0
             moved = Cut(best.select("v", F.when(may, F.col("b.c")).otherwise(F.col("own")).alias("c")))

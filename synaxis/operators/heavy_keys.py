@@ -81,7 +81,7 @@ def per_key(
             F.coalesce(F.sum("up"), F.lit(0)).alias("ups"),
         )
     )
-    return merge_states(states).crossJoin(F.broadcast(counts.agg(F.sum("n").alias("n_all"))))
+    return merge_states(states).withColumn("n_all", counts.agg(F.sum("n")).scalar())
 
 
 def merge_states(states: DataFrame) -> DataFrame:

@@ -59,12 +59,28 @@ def histogram(df: DataFrame, value: str, within: Sequence[str], bins: int = 12)
     return grid.join(counts, [*within, "bin"], "left").na.fill(0, ["count"])
 
 
-def adjust_p_values(df: DataFrame, p: str, tie: str) -> DataFrame:
-    """Benjamini-Hochberg: p * n / rank, running minimum from the largest p down, clipped to [0, 1]."""
-    ranked = df.withColumn("__rank", F.row_number().over(Window.orderBy(p, tie))).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy()))
-    down = Window.orderBy(F.desc("__rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    raw = F.col(p) * F.col("__n") / F.col("__rank")
-    return ranked.withColumn("adjusted", F.greatest(F.least(F.min(raw).over(down), F.lit(1.0)), F.lit(0.0))).drop("__rank", "__n")
+def adjust_p_values(df: DataFrame, p: str, tie: str, buckets: int = 4096) -> DataFrame:
+    """Benjamini-Hochberg: p * n / rank, running minimum from the largest p down, clipped to [0, 1].
+
+    Ranks and minima are taken inside buckets of p and carried over the short list of buckets, so no
+    task sorts all rows. Null values have no rank and stay null.
+    """
+    bucket = F.least(F.greatest(F.floor(F.col(p) * buckets), F.lit(-1)), F.lit(buckets)).cast("int")
+    rows = df.withColumn("__b", bucket)
+    known = rows.filter(F.col(p).isNotNull())
+    sizes = known.groupBy("__b").agg(F.count(F.lit(1)).alias("c"))
+    earlier = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__b", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("offset"), F.sum("c").over(Window.partitionBy()).alias("n"))
+    inside = Window.partitionBy("__b").orderBy(p, tie)
+    raw = F.col(p) * F.col("n") / F.col("__rank")
+    ranked = known.join(offsets, "__b").withColumn("__rank", F.col("offset") + F.row_number().over(inside)).withColumn("__raw", raw)
+    down = Window.partitionBy("__b").orderBy(F.desc("__rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later = Window.orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
+    above = ranked.groupBy("__b").agg(F.min("__raw").alias("m")).select("__b", F.min("m").over(later).alias("above"))
+    best = F.least(F.min("__raw").over(down), F.coalesce("above", F.lit(1.0)), F.lit(1.0))
+    done = ranked.join(above, "__b").withColumn("adjusted", F.greatest(best, F.lit(0.0)))
+    rest = rows.filter(F.col(p).isNull()).withColumn("adjusted", F.lit(None).cast("double"))
+    return done.select(*df.columns, "adjusted").unionByName(rest.select(*df.columns, "adjusted"))
 
 
 def stratified_sample(df: DataFrame, strata: Sequence[str], key: str, quota: int, seed: int = 42) -> DataFrame:
