@@ -30,20 +30,23 @@ def _shift(vertex, level: int):
     return F.least(-F.log(uniform) / RATE, F.lit(RADIUS - 1e-6))
 
 
-def _grow(edges: DataFrame, level: int) -> DataFrame:
-    """(v, c): the centre whose cluster each vertex of the edges joins.
-
-    A label is (remaining head start, centre). In each hop a vertex takes the best label among its
-    own (a loop that costs nothing) and its neighbours', less one; ties go to the smaller centre.
-    The maximum per vertex is partly aggregated before the shuffle, and a label that has no time
-    left is not sent, so a vertex with very many arcs burdens no single task.
-    """
+def _arcs(edges: DataFrame) -> DataFrame:
+    """(u, v, cost): every edge in both directions at cost 1, and a free loop at every vertex."""
     forth = edges.select(F.col("a").alias("u"), F.col("b").alias("v"), F.lit(1.0).alias("cost"))
     back = edges.select(F.col("b").alias("u"), F.col("a").alias("v"), F.lit(1.0).alias("cost"))
     vertices = edges.select(F.explode(F.array("a", "b")).alias("u")).distinct()
-    loops = vertices.select("u", F.col("u").alias("v"), F.lit(0.0).alias("cost"))
-    arcs = forth.unionByName(back).unionByName(loops)
-    labels = vertices.select("u", F.struct(_shift(F.col("u"), level).alias("t"), (-F.col("u")).alias("neg_c")).alias("best"))
+    return forth.unionByName(back).unionByName(vertices.select("u", F.col("u").alias("v"), F.lit(0.0).alias("cost")))
+
+
+def _grow(arcs: DataFrame, level: int) -> DataFrame:
+    """(v, c): the centre whose cluster each vertex joins.
+
+    A label is (remaining head start, centre). In each hop a vertex takes the best label among its
+    own (over its loop) and its neighbours', less one; ties go to the smaller centre. The maximum
+    per vertex is partly aggregated before the shuffle, and a label that has no time left is not
+    sent, so a vertex with very many arcs burdens no single task.
+    """
+    labels = arcs.filter("cost = 0").select("u", F.struct(_shift(F.col("u"), level).alias("t"), (-F.col("u")).alias("neg_c")).alias("best"))
     for _ in range(RADIUS):
         labels = (
             arcs.join(labels, "u")
@@ -73,7 +76,9 @@ def group_records(pairs: DataFrame, left: str, right: str) -> DataFrame:
     for level in range(MAX_LEVELS):
         if current.df.isEmpty():
             break
-        grown = Cut(_grow(current.df, level))
+        arcs = Cut(_arcs(current.df))
+        grown = Cut(_grow(arcs.df, level))
+        arcs.drop()
         a_side = grown.df.select(F.col("v").alias("a"), F.col("c").alias("ca"))
         b_side = grown.df.select(F.col("v").alias("b"), F.col("c").alias("cb"))
         between = Cut(
