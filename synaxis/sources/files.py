@@ -43,7 +43,7 @@ def write_months(df: DataFrame, path: str) -> None:
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; a byte-order mark starts the first header cell, where spreadsheet programs look for it."""
     first = df.columns[0]
-    df.withColumnRenamed(first, "﻿" + first).write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    df.withColumnRenamed(first, "\ufeff" + first).write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
