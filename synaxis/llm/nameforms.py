@@ -61,7 +61,7 @@ _INITIALS = re.compile(r"(?<![^\W_])(?:[^\W\d_]\.\s?){1,}[^\W\d_]?(?:\.|(?![^\W_
 
 def upper_plain(name: str) -> str:
     """Upper case without accents or invisible characters."""
-    text = unicodedata.normalize("NFKD", name.replace("­", "").replace("​", "").upper())
+    text = unicodedata.normalize("NFKD", name.replace("\u00ad", "").replace("\u200b", "").upper())
     return "".join(c for c in text if not unicodedata.combining(c))
 
 

@@ -66,7 +66,7 @@ def pieces(text: str | None) -> list[Piece]:
     """The pieces of a text with their feature symbols; none for null, empty or wordless texts."""
     if not text:
         return []
-    clean = html.unescape(text).replace(" ", " ").replace("­", "").replace("​", "")
+    clean = html.unescape(text).replace("\u00a0", " ").replace("\u00ad", "").replace("\u200b", "")
     spans: list[tuple[str, list[str]]] = []
     for line in _BREAK.split(clean):
         for sentence in _SENTENCE.split(line):
