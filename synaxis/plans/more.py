@@ -318,7 +318,7 @@ def gr12(spark, d):
 
 @query(
     "snk03_05_keyed_json",
-    "SELECT cast(org_id AS VARCHAR) AS key, to_json(struct_pack(org_id := org_id, vat := vat, n_records := n_records)) AS json FROM entities",
+    "SELECT cast(org_id AS VARCHAR) AS key, cast(to_json(struct_pack(org_id := org_id, vat := vat, n_records := n_records)) AS VARCHAR) AS json FROM entities",
 )
 def snk05(spark, d):
     return keyed_json(read_table(spark, d, "entities").select("org_id", "vat", "n_records"), "org_id").withColumn("key", F.col("key").cast("string"))

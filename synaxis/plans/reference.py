@@ -407,7 +407,7 @@ def agg25(spark, d):
     return panel(spark, d).groupBy("vat").agg(F.round(ratio, 6).alias("ratio"))
 
 
-@query("agg26_baseline_gate", _PANEL + " SELECT vat, sum(n_direct) AS n FROM panel WHERE year(month) IN (2021, 2022) GROUP BY 1 HAVING sum(n_direct) >= 30")
+@query("agg26_baseline_gate", _PANEL + " SELECT vat, cast(sum(n_direct) AS BIGINT) AS n FROM panel WHERE year(month) IN (2021, 2022) GROUP BY 1 HAVING sum(n_direct) >= 30")
 def agg26(spark, d):
     return panel(spark, d).filter(F.year("month").isin(2021, 2022)).groupBy("vat").agg(F.sum("n_direct").alias("n")).filter("n >= 30")
 
@@ -768,8 +768,8 @@ def agg20(spark, d):
 @query(
     "agg21_22_month_quality",
     X.acts("auctions")
-    + f""" SELECT year, month, count(*) AS n, sum((vat IS NULL)::INT) AS no_vat, sum((objects IS NOT NULL AND objects <> '' AND (NOT json_valid(objects) OR lower(objects) = 'nan'))::INT) AS bad_objects,
-    sum((signed IS NOT NULL AND try_cast(signed AS TIMESTAMP) IS NULL)::INT) AS bad_date, round(100.0 * sum((vat IS NULL)::INT) / count(*), 3) > 0.5 AS over_limit FROM auctions GROUP BY 1, 2""",
+    + f""" SELECT year, month, count(*) AS n, count(*) FILTER (vat IS NULL) AS no_vat, count(*) FILTER (objects IS NOT NULL AND objects <> '' AND (NOT json_valid(objects) OR lower(objects) = 'nan')) AS bad_objects,
+    count(*) FILTER (signed IS NOT NULL AND try_cast(signed AS TIMESTAMP) IS NULL) AS bad_date, round(100.0 * sum((vat IS NULL)::INT) / count(*), 3) > 0.5 AS over_limit FROM auctions GROUP BY 1, 2""",
 )
 def agg21(spark, d):
     rows = acts.auctions(spark, d)
@@ -824,7 +824,7 @@ def agg29(spark, d):
 
 @query(
     "agg30_31_by_type",
-    "SELECT coalesce(org_type, 'Άγνωστο') AS org_type, count(*) AS n, sum(n_records) AS n_records, median(n_records) AS med FROM entities GROUP BY 1 ORDER BY n_records DESC, org_type LIMIT 6",
+    "SELECT coalesce(org_type, 'Άγνωστο') AS org_type, count(*) AS n, cast(sum(n_records) AS BIGINT) AS n_records, median(n_records) AS med FROM entities GROUP BY 1 ORDER BY n_records DESC, org_type LIMIT 6",
 )
 def agg30(spark, d):
     return (
