@@ -1,6 +1,6 @@
 """Variant spellings of names, linked by suffix blocking and the longest-common-subsequence ratio.
 
-Names are taken apart into phonetic tokens; words that are common in the data (trades, kinds of
+Names are taken apart into phonetic tokens; words that stand beside many others (trades, kinds of
 organisation), legal forms and first names are set aside and kept as further fields, and the telling
 token is indexed under the first letters of every suffix above a minimum length. Overly common suffixes
 are refined with other fields (the start of the token, the tax id) before they are given up. Tokens that
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,11 +24,14 @@ from synaxis.session import cut
 MIN_SUFFIX = 6
 MIN_PLACE_SUFFIX = 4
 COMMON_KEY = 400
-COMMON_SHARE = 0.004
-COMMON_LEAST = 6
+TRADE_LEAST = 4
+TRADE_OF_WORDS = 0.004
+TRADE_SHARE = 0.5
+DEGREE_CAP = 64
+DEGREE_PIECES = 64
 
 
-def common_tokens(names: DataFrame, share: float = COMMON_SHARE, least: int = COMMON_LEAST) -> list[str]:
+def common_tokens(names: DataFrame, share: float, least: int) -> list[str]:
     """Token sounds that stand in at least ``share`` of the rows of ``name`` (at most words-per-name / share of them)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -42,9 +46,82 @@ def common_tokens(names: DataFrame, share: float = COMMON_SHARE, least: int = CO
     return [r.sound for r in rows]
 
 
+@lru_cache(maxsize=200_000)
+def _tells(part: str) -> bool:
+    """Whether a word can be a surname or a trade: no first name, legal form, initials or abbreviation."""
+    sound = N.sound(part)
+    if len(sound) < 3 or len(sound) == 3 and any(f.startswith(sound) for f in N.FIRST):
+        return False
+    if "/" in part or N.legal_form(part) or sound in N._LEGAL_WORDS or sound == N._COMPANY or sound in N.FIRST:
+        return False
+    if len(sound) <= 11 and any(len(f) >= 4 and abs(len(f) - len(sound)) <= 2 and N.errors(sound, f) <= 1 for f in N.FIRST):
+        return False
+    return not (any(N.errors(sound, w) <= 1.5 for w in N._LEGAL_WORDS if len(w) >= 7) or N.errors(sound, N._COMPANY) <= 1)
+
+
+def unlike(sounds: list[str], cap: int = DEGREE_CAP) -> list[str]:
+    """Up to ``cap`` of the sounds, none of them a mistyped or cut form of another, in the order given."""
+    kept: list[str] = []
+    for s in sounds:
+        if len(kept) >= cap:
+            break
+        if not any(s.startswith(k) or k.startswith(s) for k in kept) and all(abs(len(s) - len(k)) > 3 or N.errors(s, k) > (1.5 if len(k) >= 7 else 1.0) for k in kept):
+            kept.append(s)
+    return kept
+
+
+def _degrees(pairs: DataFrame) -> DataFrame:
+    """(word, degree): how many unlike words a word stands beside, up to DEGREE_CAP; found by pieces of bounded result."""
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"word": batch["word"], "others": [unlike(list(x)) for x in batch["others"]]})
+
+    def grouped(df: DataFrame, *by: str) -> DataFrame:
+        lists = df.groupBy(*by).agg(F.array_sort(F.collect_set("other")).alias("others")).select("word", "others")
+        return lists.mapInPandas(keep, "word string, others array<string>")
+
+    pieces = grouped(pairs.withColumn("piece", F.pmod(F.xxhash64("other"), F.lit(DEGREE_PIECES))), "word", "piece")
+    return grouped(pieces.select("word", F.explode("others").alias("other")), "word").select("word", F.size("others").alias("degree"))
+
+
+def trade_words(names: DataFrame, least: int = TRADE_LEAST, share: float = TRADE_SHARE) -> list[str]:
+    """Sounds of trades: words beside ``least`` or more unlike words that themselves stand beside fewer.
+
+    With many distinct words ``least`` rises to TRADE_OF_WORDS of them, at most DEGREE_CAP. A surname stands beside its holder's trade and first name however many rows the holder has, and a
+    trade stands beside the surnames of many. Mistyped forms of a word count once, and the words of lower
+    degree must be there in ``share`` of the distinct names that hold another telling word at all.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for name in batch["name"]:
+                sounds = sorted({N.sound(t) for t in N.tokens(name) if _tells(t)})
+                found += [(name, a, b) for a in sounds for b in sounds if a != b and N.errors(a, b) > 1.5]
+            yield pd.DataFrame(found, columns=["name", "word", "other"])
+
+    beside = cut(names.filter("name is not null").select("name").distinct().mapInPandas(run, "name string, word string, other string"))
+    degrees = cut(_degrees(beside.select("word", "other").distinct()))
+    least = max(least, min(DEGREE_CAP, int(TRADE_OF_WORDS * degrees.count())))
+    of_other = degrees.select(F.col("word").alias("other"), F.col("degree").alias("other_degree"))
+    ranked = cut(beside.join(degrees.filter(F.col("degree") >= least), "word").join(of_other, "other"))
+    lower = ranked.filter(F.col("other_degree") < F.col("degree"))
+    enough = _degrees(lower.select("word", "other").distinct()).filter(F.col("degree") >= least).select("word")
+    shares = (
+        ranked.groupBy("word", "name").agg(F.max((F.col("other_degree") < F.col("degree")).cast("int")).alias("low"))
+        .groupBy("word").agg(F.avg("low").alias("low")).filter(F.col("low") >= share)
+    )
+    return [r.word for r in shares.join(enough, "word").select("word").orderBy("word").collect()]
+
+
 def _near_common(sound: str, common: list[str]) -> bool:
     """Whether a token is a common word, mistyped or cut short."""
     for word in common:
+        if len(word) <= 3:
+            if sound == word:
+                return True
+            continue
         if abs(len(word) - len(sound)) <= 3 and N.errors(sound, word) <= (1.5 if len(word) >= 7 else 0.5):
             return True
         if 3 <= len(sound) < len(word) and word.startswith(sound):
@@ -55,9 +132,11 @@ def _near_common(sound: str, common: list[str]) -> bool:
 def contractor_fields(name: str, common: list[str]) -> tuple[str, str, str] | None:
     """(telling token, first name or initials, kind) of a contractor's name; None where nothing tells it.
 
-    Kind is ``company`` where a trade or legal form stands in the name, else ``person``.
+    Kind is ``company`` where a trade or legal form stands in the name, else ``person``. Where all words
+    are trades or near one, those near one tell the name, else all together.
     """
     telling, first, kind = "", "", "person"
+    trades: list[str] = []
     skip = False
     parts = N.tokens(name)
     for part in parts:
@@ -73,6 +152,8 @@ def contractor_fields(name: str, common: list[str]) -> tuple[str, str, str] | No
             first = N.FIRST[sound]
         elif "/" in part or _near_common(sound, [c for c in common if c not in N.FIRST]):
             kind = "company"
+            if "/" not in part and len(sound) >= 4:
+                trades.append(part)
         elif len(sound) <= 3:
             first = first or sound
         else:
@@ -83,6 +164,8 @@ def contractor_fields(name: str, common: list[str]) -> tuple[str, str, str] | No
                 kind = "company"
             elif len(sound) > len(N.sound(telling)):
                 telling = part
+    if len(N.sound(telling)) < 4:
+        telling = max((t for t in trades if N.sound(t) not in common), key=len, default="") or "".join(sorted(set(trades)))
     return (N.token(telling), first, kind) if len(N.sound(telling)) >= 4 else None
 
 
@@ -182,7 +265,7 @@ def contractor_pairs(aliases: DataFrame, id_column: str, vat_column: str, name_c
     paired like variants; two rows of equal id are not a pair. An empty table gives none.
     """
     rows = aliases.select(F.col(id_column).cast("long").alias("id"), F.col(vat_column).cast("string").alias("vat"), F.col(name_column).alias("name"))
-    common = common_tokens(rows)
+    common = trade_words(rows)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -45,6 +45,16 @@ def test_contractors(spark):
     assert got == {(1, 2), (1, 3), (2, 3), (5, 6), (5, 9), (6, 9)}
 
 
+def test_contractor_with_a_third_of_the_rows(spark):
+    big = [(i, None, ["ΚΡΟΤΑΛΟΠΕΤΡΙΔΗΣ ΜΕΤΑΦΟΡΕΣ Α.Ε.", "ΜΕΤΑΦΟΡΕΣ ΚΡΟΤΑΛΟΠΕΤΡΙΔΗΣ", "ΚΡΟΤΑΛΟΠΕΤΡΗΔΗΣ ΜΕΤΑΦΟΡΕΣ"][i % 3]) for i in range(1, 11)]
+    assert aliases(spark, big) == {(a, b) for a in range(1, 11) for b in range(a + 1, 11)}
+
+
+def test_last_telling_token_stays():
+    assert V.contractor_fields("ΜΕΤΑΦΟΡΑΣ Α.Ε.", ["metafores"])[0] == N.token("ΜΕΤΑΦΟΡΑΣ")
+    assert V.contractor_fields("ΜΕΤΑΦΟΡΕΣ Α.Ε.", ["metafores"])[0] == N.token("ΜΕΤΑΦΟΡΕΣ")
+
+
 def test_no_aliases(spark):
     df = spark.createDataFrame([], ALIAS)
     assert V.contractor_pairs(df, "alias_id", "vat", "canonical_name").count() == 0
