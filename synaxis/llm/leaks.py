@@ -3,7 +3,8 @@
 Texts are reduced to words without looks (markup, case, accents, invisible characters). A shard of
 the corpus is a run of whole documents; its suffix array holds every suffix that could match a test
 text at all, that is whose first SEED words occur in one. Every test suffix that is not boilerplate
-(its first SEED words stand in more than MAX_ITEMS items) is looked up in it by binary search; each
+(its first SEED words stand in more than MAX_ITEMS distinct texts, and in no longer passage that some
+texts share) is looked up in it by binary search; each
 location is extended to its longest verbatim match, and the matches of a document with an item are
 chained in order, over interruptions and changed words, to the passage they are parts of.
 
@@ -26,6 +27,8 @@ from pyspark.sql import types as T
 
 SEED = 3
 MAX_ITEMS = 3
+MANY_ITEMS = 10
+MANY_SHARE = 0.1
 MIN_PASSAGE = 13
 MIN_MATCHED = 8
 MIN_OWN = 6
@@ -56,18 +59,33 @@ def words_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield texts.map(plain_words)
 
 
+def _runs(worded: DataFrame, length: int) -> DataFrame:
+    """(item_id, pos, run, n): every run of so many words of an item, and in how many distinct texts it stands."""
+    starts = F.sequence(F.lit(1), F.size("words") - (length - 1))
+    runs = worded.filter(F.size("words") >= length).select(
+        "item_id", "text_hash", F.posexplode(F.transform(starts, lambda i: F.array_join(F.slice("words", i, length), " "))).alias("pos", "run")
+    )
+    return runs.join(runs.groupBy("run").agg(F.count_distinct("text_hash").alias("n")), "run").select("item_id", "pos", "n")
+
+
 def test_items(items: DataFrame, id_column: str, text_column: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """(item_id, words, marked): an item's words and the positions whose seed is no boilerplate."""
+    """(item_id, words, marked): an item's words and the positions whose seed is no boilerplate.
+
+    Equal texts count once. A seed in more than ``max_items`` texts is still an item's own inside
+    MIN_PASSAGE words that the same few texts share, behind the opening that many have: a passage that
+    several questions use. Many are MANY_SHARE of the texts and at least MANY_ITEMS, or most of a few.
+    """
     worded = items.select(F.col(id_column).alias("item_id"), words_udf(F.col(text_column)).alias("words")).filter(F.size("words") >= SEED)
-    seeds = worded.select(
-        "item_id",
-        F.posexplode(
-            F.transform(F.sequence(F.lit(1), F.size("words") - (SEED - 1)), lambda i: F.array_join(F.slice("words", i, SEED), " "))
-        ).alias("pos", "seed"),
-    )
-    rare = seeds.groupBy("seed").agg(F.count_distinct("item_id").alias("n")).filter(F.col("n") <= max_items).select("seed")
-    marked = seeds.join(rare, "seed").groupBy("item_id").agg(F.array_sort(F.collect_list("pos")).alias("marked"))
-    return worded.join(marked, "item_id")
+    worded = worded.withColumn("text_hash", F.xxhash64("words"))
+    n_texts = worded.select("text_hash").distinct().count()
+    many = max(max_items + 1, min(n_texts // 2 + 1, max(MANY_ITEMS, int(MANY_SHARE * n_texts))))
+    seeds = _runs(worded, SEED)
+    rare = seeds.filter(F.col("n") <= max_items).select("item_id", "pos")
+    opening = seeds.groupBy("item_id").agg(F.min(F.when(F.col("n") < many, F.col("pos"))).alias("opening"))
+    shared = _runs(worded, MIN_PASSAGE).filter((F.col("n") > max_items) & (F.col("n") < many)).join(opening, "item_id").filter("pos >= opening")
+    inside = shared.select("item_id", F.explode(F.sequence("pos", F.col("pos") + (MIN_PASSAGE - SEED))).alias("pos"))
+    marked = rare.unionByName(inside).groupBy("item_id").agg(F.array_sort(F.collect_set("pos")).alias("marked"))
+    return worded.select("item_id", "words").join(marked, "item_id")
 
 
 class TestBlock:

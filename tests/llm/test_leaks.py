@@ -34,6 +34,15 @@ def test_empty_sides(spark):
     assert search(spark, [(1, " ".join(WORDS[1]))], items=[(1, None, "x"), (2, "a b", "x")]) == set()
 
 
+def test_copies_and_passages_of_several_items(spark):
+    own = [(i, " ".join(INSTRUCTION + w), "x") for i, w in enumerate(WORDS)]
+    copies = [(10 + i, own[3][1], "x") for i in range(5)]
+    passage = [f"p{j}" for j in range(24)]
+    reused = [(20 + i, " ".join(INSTRUCTION + passage + [f"q{i}x{j}" for j in range(8)]), "x") for i in range(4)]
+    docs = [(1, " ".join(WORDS[3][4:24])), (2, " ".join(passage[2:20])), (3, " ".join(INSTRUCTION) + " and more of it"), (4, " ".join(passage[2:12]))]
+    assert search(spark, docs, own + copies + reused) == {(1, i) for i in (3, *range(10, 15))} | {(2, 20 + i) for i in range(4)}
+
+
 def test_suffix_ranks_are_lexicographic():
     for seed in range(20):
         rng = np.random.default_rng(seed)
