@@ -32,6 +32,7 @@ MANY_SHARE = 0.1
 MIN_PASSAGE = 13
 MIN_MATCHED = 8
 MIN_OWN = 6
+MIN_NAMES = 2
 MIN_SHARE = 0.4
 MAX_GAP = 60
 SHARD_WORDS = 1_000_000
@@ -69,7 +70,7 @@ def _runs(worded: DataFrame, length: int) -> DataFrame:
 
 
 def test_items(items: DataFrame, id_column: str, text_column: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """(item_id, words, marked): an item's words and the positions whose seed is no boilerplate.
+    """(item_id, words, marked, named): an item's words, the positions whose seed is no boilerplate, and of its names.
 
     Equal texts count once. A seed in more than ``max_items`` texts is still an item's own inside
     MIN_PASSAGE words that the same few texts share, behind the opening that many have: a passage that
@@ -85,7 +86,13 @@ def test_items(items: DataFrame, id_column: str, text_column: str, max_items: in
     shared = _runs(worded, MIN_PASSAGE).filter((F.col("n") > max_items) & (F.col("n") < many)).join(opening, "item_id").filter("pos >= opening")
     inside = shared.select("item_id", F.explode(F.sequence("pos", F.col("pos") + (MIN_PASSAGE - SEED))).alias("pos"))
     marked = rare.unionByName(inside).groupBy("item_id").agg(F.array_sort(F.collect_set("pos")).alias("marked"))
-    return worded.select("item_id", "words").join(marked, "item_id")
+    single = _runs(worded, 1)
+    reused = shared.select("item_id", F.explode(F.sequence("pos", F.col("pos") + (MIN_PASSAGE - 1))).alias("pos")).distinct()
+    names = single.filter(F.col("n") <= max_items).select("item_id", "pos").unionByName(
+        single.filter(F.col("n") < many).join(reused, ["item_id", "pos"]).select("item_id", "pos")
+    )
+    named = names.groupBy("item_id").agg(F.array_sort(F.collect_set("pos")).alias("named"))
+    return worded.select("item_id", "words").join(marked, "item_id").join(named, "item_id", "left").withColumn("named", F.coalesce("named", F.array().cast("array<int>")))
 
 
 class TestBlock:
@@ -94,8 +101,8 @@ class TestBlock:
     def __init__(self, rows: list[tuple]):
         self.items = [r[0] for r in rows]
         self.vocabulary: dict[str, int] = {}
-        words, item, where, marked = [], [], [], []
-        for n, (_, own, positions) in enumerate(rows):
+        words, item, where, marked, named = [], [], [], [], []
+        for n, (_, own, positions, *names) in enumerate(rows):
             for w in own:
                 words.append(self.vocabulary.setdefault(w, len(self.vocabulary) + 1))
             item += [n] * len(own)
@@ -103,10 +110,13 @@ class TestBlock:
             flags = np.zeros(len(own), dtype=bool)
             flags[np.asarray(positions, dtype=int)] = True
             marked.append(flags)
+            flags = np.zeros(len(own), dtype=bool)
+            flags[np.asarray(names[0] if names else [], dtype=int)] = True
+            named.append(flags)
         self.item, self.where = np.array(item), np.array(where)
         self.base = len(self.vocabulary) + 1
         self.codes, valid = seed_codes(np.array(words, dtype=np.int64), self.item, self.base)
-        self.marked = np.concatenate(marked) & valid
+        self.marked, self.named = np.concatenate(marked) & valid, np.concatenate(named)
         self.codes[~valid] = -1
         self.first = np.searchsorted(self.item, np.arange(len(rows)))
         self.marked_before = np.concatenate([[0], np.cumsum(self.marked)])
@@ -196,6 +206,34 @@ def find_matches(words: np.ndarray, doc: np.ndarray, test: TestBlock) -> pd.Data
     return out.drop_duplicates()
 
 
+def own_parts(test: TestBlock, item: int, t: np.ndarray, n: np.ndarray, begin: int, end: int) -> tuple[int, int, int, int]:
+    """(own seeds, words in them, names matched, names in all) of matches of an item between two of its words."""
+    first = test.first[item]
+    seeds, words = np.zeros(end - begin, dtype=bool), np.zeros(end - begin, dtype=bool)
+    for a, m in zip((t - begin).tolist(), n.tolist(), strict=True):
+        words[a : a + m] = True
+        seeds[a : a + m - SEED + 1] |= test.marked[first + begin + a : first + begin + a + m - SEED + 1]
+    names = test.named[first + begin : first + end]
+    return int(seeds.sum()), np.count_nonzero(np.convolve(seeds, np.ones(SEED, dtype=np.int64))), int((names & words).sum()), int(names.sum())
+
+
+def near_matches(words: np.ndarray, doc: np.ndarray, test: TestBlock, i: int, item: int, at: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(d, t, n): all maximal matches of an item with a document, boilerplate too, near its own ones from ``at`` until ``until``."""
+    begin, end = np.searchsorted(doc, [i, i + 1])
+    a, b = max(begin, int(at.min()) - MAX_GAP), min(end, int(until.max()) + MAX_GAP)
+    codes, valid = seed_codes(words[a:b], doc[a:b], test.base)
+    begin = test.first[item]
+    own = test.codes[begin : begin + np.count_nonzero(test.item == item)]
+    own = np.where(own >= 0, own, -1)
+    place, where = np.nonzero(np.where(valid, codes, -2)[:, None] == own[None, :])
+    # seeds on one diagonal that follow each other are one match
+    order = np.lexsort((place, where - place))
+    place, where = place[order], where[order]
+    starts = np.flatnonzero(np.r_[True, (np.diff(place) != 1) | (np.diff(where) != 1)])
+    n = np.diff(np.r_[starts, len(place)]) + SEED - 1
+    return place[starts] + a, where[starts], n
+
+
 def _extend(d, t, d_step, t_step, d_code, t_code) -> np.ndarray:
     """How many steps each pair of places goes on with equal codes."""
     length = np.zeros(len(d), dtype=np.int64)
@@ -210,44 +248,60 @@ def _extend(d, t, d_step, t_step, d_code, t_code) -> np.ndarray:
     return length
 
 
-def chain(d: np.ndarray, t: np.ndarray, n: np.ndarray, own: np.ndarray, max_gap: int = MAX_GAP) -> tuple[int, int, int, int, int]:
-    """The best chain of matches in order in both texts: (matched, seeds of the item's own, item span, first, last place).
+def chain(d: np.ndarray, t: np.ndarray, n: np.ndarray, max_gap: int = MAX_GAP) -> tuple[int, int, int, int, np.ndarray]:
+    """The best chain of matches in order in both texts: (matched, item span, first, last place, its matches).
 
     Neighbours in a chain are at most ``max_gap`` words apart in either text; overlaps count once.
     """
     order = np.lexsort((t, d))
-    d, t, n, own = (x[order].tolist() for x in (d, t, n, own))
+    d, t, n = (x[order].tolist() for x in (d, t, n))
     best: list[tuple[int, int, int, int]] = []
-    top = (0, 0, 0, 0, 0)
+    top, at = 0, -1
     for j in range(len(d)):
-        here = (n[j], own[j], t[j], d[j])
+        here = (n[j], t[j], d[j], -1)
         i = j - 1
         while i >= 0 and d[j] - d[i] <= max_gap + 200:
             d_gap, t_gap = d[j] - (d[i] + n[i]), t[j] - (t[i] + n[i])
             if d_gap <= max_gap and t_gap <= max_gap and d[i] < d[j] and t[i] < t[j]:
                 gain = n[j] - max(0, -d_gap, -t_gap)
                 if gain > 0 and best[i][0] + gain > here[0]:
-                    here = (best[i][0] + gain, best[i][1] + min(own[j], gain), best[i][2], best[i][3])
+                    here = (best[i][0] + gain, best[i][1], best[i][2], i)
             i -= 1
         best.append(here)
-        if here[0] > top[0]:
-            top = (here[0], here[1], t[j] + n[j] - here[2], here[3], d[j] + n[j])
-    return top
+        if here[0] > top:
+            top, at = here[0], j
+    if at < 0:
+        return 0, 0, 0, 0, order[:0]
+    path = [at]
+    while best[path[-1]][3] >= 0:
+        path.append(best[path[-1]][3])
+    return top, t[at] + n[at] - best[at][1], best[at][2], d[at] + n[at], order[path]
 
 
 def passages(words: np.ndarray, doc: np.ndarray, test: TestBlock, min_passage: int, min_matched: int, min_own: int, min_share: float):
-    """(doc, item, matched, own seeds, span, first, last) of the chains of a shard that are long enough.
+    """(doc, item, matched, own words, span, first, last) of the chains of a shard that are long enough.
 
-    ``own`` counts seeds that are no boilerplate: an instruction, or a turn of phrase that many items
-    share, is no passage however long the match.
+    An instruction, or a turn of phrase that many items share, is no passage however long the match. A chain
+    is the item's own by ``min_own`` seeds that are no boilerplate. As each changed word takes up to SEED
+    seeds from a passage, as many words in such seeds do where the chain also holds two names (words and
+    numbers that few texts hold) and at least half of those in its span. Boilerplate around own matches that
+    make no passage alone is matched too, since turns of phrase are part of one.
     """
     found = find_matches(words, doc, test)
     for (i, item), g in found.groupby(["doc", "item"], sort=False):
-        begin, n = test.first[item] + g["t"].to_numpy(), g["n"].to_numpy()
-        own = test.marked_before[begin + n - SEED + 1] - test.marked_before[begin]
-        matched, seeds, span, first, last = chain(g["d"].to_numpy(), g["t"].to_numpy(), n, own)
-        if span >= min_passage and matched >= min_matched and seeds >= min_own and matched >= min_share * span:
-            yield i, item, matched, seeds, span, first, last
+        d, t, n = (g[c].to_numpy() for c in ("d", "t", "n"))
+        if own_parts(test, item, t, n, t.min(), (t + n).max())[1] < min_own:
+            continue
+        for again in (False, True):
+            if again:
+                d, t, n = near_matches(words, doc, test, i, item, d, d + n)
+            matched, span, first, last, path = chain(d, t, n)
+            begin = t[path].min()
+            seeds, mine, names, all_names = own_parts(test, item, t[path], n[path], begin, begin + span)
+            own = seeds >= min_own or mine >= min_own and names >= MIN_NAMES and 2 * names >= all_names
+            if span >= min_passage and matched >= min_matched and own and matched >= min_share * span:
+                yield i, item, matched, mine, span, first, last
+                break
 
 
 def leaks(
@@ -255,11 +309,12 @@ def leaks(
     min_passage: int = MIN_PASSAGE, min_matched: int = MIN_MATCHED, min_own: int = MIN_OWN,
     min_share: float = MIN_SHARE,
 ) -> DataFrame:
-    """(doc_id, item_id, matched_words, own_seeds, passage_words, first_word, last_word): leaked passages.
+    """(doc_id, item_id, matched_words, own_words, passage_words, first_word, last_word): leaked passages.
 
     One row per document and item; ``passage_words`` is what the chain spans in the item, and
     the places are word numbers in the document. Null and empty texts match nothing; repeated
     documents and items are found once for each row; an empty corpus or no items give no rows.
+    ``own_words`` are matched words in runs of SEED that few texts hold.
     ``min_passage`` lies below the wanted length by what changed words at the ends may hide.
     """
     spark = corpus.sparkSession
@@ -269,11 +324,11 @@ def leaks(
     docs = corpus.select(F.col(doc_column).alias("doc_id"), F.col(text_column).alias("text")).filter("text is not null")
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     item_type = items.schema[item_column].dataType.simpleString()
-    schema = f"doc_id {doc_type}, item_id {item_type}, matched_words int, own_seeds int, passage_words int, first_word int, last_word int"
+    schema = f"doc_id {doc_type}, item_id {item_type}, matched_words int, own_words int, passage_words int, first_word int, last_word int"
     found = None
     for block in range(n_blocks):
         rows = prepared.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block).collect()  # about BLOCK_WORDS words
-        sent = spark.sparkContext.broadcast([(r.item_id, r.words, r.marked) for r in sorted(rows)])
+        sent = spark.sparkContext.broadcast([(r.item_id, r.words, r.marked, r.named) for r in sorted(rows)])
 
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             if not sent.value:
@@ -291,7 +346,7 @@ def leaks(
                         words, np.repeat(np.arange(len(parts)), lengths), test, min_passage, min_matched, min_own, min_share
                     )
                 ]
-                return pd.DataFrame(rows, columns=["doc_id", "item_id", "matched_words", "own_seeds", "passage_words", "first_word", "last_word"])
+                return pd.DataFrame(rows, columns=["doc_id", "item_id", "matched_words", "own_words", "passage_words", "first_word", "last_word"])
 
             ids, parts, size = [], [], 0
             for batch in batches:

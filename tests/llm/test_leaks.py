@@ -43,6 +43,19 @@ def test_copies_and_passages_of_several_items(spark):
     assert search(spark, docs, own + copies + reused) == {(1, i) for i in (3, *range(10, 15))} | {(2, 20 + i) for i in range(4)}
 
 
+def test_short_passages_with_changed_words(spark):
+    w = [f"n{j}" if j % 3 != 1 else ["the", "of", "and", "to"][j % 4] for j in range(40)]
+    others = [" ".join(["of", "the", "and", "to"] * 3 + [f"v{i}x{j}" for j in range(20)]) for i in range(6)]
+    rows = [(2, " ".join(w), "x")] + [(10 + i, t, "x") for i, t in enumerate(others)]
+
+    def changed(a, n, at, gap=None):
+        out = ["other" if j in at else x for j, x in enumerate(w[a : a + n])]
+        return " ".join(out if gap is None else out[:gap] + "a sentence of one hand stands here".split() + out[gap:])
+
+    docs = [(1, changed(3, 15, (3, 7, 11))), (2, changed(4, 15, (4, 11), 7)), (3, changed(2, 18, (3, 7, 14), 10)), (4, changed(5, 10, (4,)))]
+    assert search(spark, docs, rows) == {(1, 2), (2, 2), (3, 2)}
+
+
 def test_suffix_ranks_are_lexicographic():
     for seed in range(20):
         rng = np.random.default_rng(seed)
