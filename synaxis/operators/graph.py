@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from synaxis.session import Cut
 
+BATCH_ROWS = 50_000_000
+
 
 def undirected(edges: DataFrame) -> DataFrame:
     """(src, dst, w) in both directions; equal pairs are added up, loops are left out."""
@@ -90,34 +92,64 @@ def communities(edges: DataFrame, rounds: int = 6, levels: int = 3) -> DataFrame
     return assignment
 
 
-def betweenness(edges: DataFrame, sources: DataFrame, max_depth: int = 30) -> DataFrame:
+def betweenness(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """(v, score): unweighted betweenness from the given sources (column v); exact when all vertices are.
 
     Level-synchronous Brandes: shortest-path counts grow level by level for all sources at once,
     then dependencies flow back. Work and space are sources x edges; nothing is broadcast.
     """
     arcs = Cut(edges.filter("src != dst").select("src", "dst").distinct())
-    frontier = Cut(sources.select(F.col("v").alias("s"), "v", F.lit(1.0).alias("sigma")))
+    return _betweenness(arcs.df, sources, [])
+
+
+def _betweenness(arcs: DataFrame, sources: DataFrame, made: list[Cut]) -> DataFrame:
+    """Scores from the given sources; the tables they are read from are added to ``made``."""
+
+    def keep(df: DataFrame) -> Cut:
+        made.append(Cut(df))
+        return made[-1]
+
+    frontier = keep(sources.select(F.col("v").alias("s"), "v", F.lit(1.0).alias("sigma")))
     levels = [frontier]
-    seen = Cut(frontier.df.select("s", "v"))
-    while len(levels) <= max_depth:
-        reached = frontier.df.join(arcs.df, frontier.df.v == arcs.df.src).select("s", F.col("dst").alias("v"), "sigma")
-        fresh = Cut(reached.join(seen.df, ["s", "v"], "left_anti").groupBy("s", "v").agg(F.sum("sigma").alias("sigma")))
+    seen = keep(frontier.df.select("s", "v"))
+    while True:
+        reached = frontier.df.join(arcs, frontier.df.v == arcs.src).select("s", F.col("dst").alias("v"), "sigma")
+        fresh = keep(reached.join(seen.df, ["s", "v"], "left_anti").groupBy("s", "v").agg(F.sum("sigma").alias("sigma")))
         if fresh.df.isEmpty():
-            fresh.drop()
             break
         levels.append(fresh)
-        more = Cut(seen.df.unionByName(fresh.df.select("s", "v")))
+        more = keep(seen.df.unionByName(fresh.df.select("s", "v")))
         seen.drop()
         seen, frontier = more, fresh
-    below = Cut(levels[-1].df.select("s", "v", "sigma", F.lit(0.0).alias("delta")))
+    below = keep(levels[-1].df.select("s", "v", "sigma", F.lit(0.0).alias("delta")))
     total = below.df.select("s", "v", "delta")
     for level in reversed(levels[:-1]):
         up = below.df.select("s", F.col("v").alias("dst"), (((1 + F.col("delta")) / F.col("sigma"))).alias("part"))
         back = (
-            level.df.join(arcs.df, level.df.v == arcs.df.src).join(up, ["s", "dst"])
+            level.df.join(arcs, level.df.v == arcs.src).join(up, ["s", "dst"])
             .groupBy("s", "v").agg((F.first("sigma") * F.sum("part")).alias("delta"))
         )
-        below = Cut(level.df.join(back, ["s", "v"], "left").select("s", "v", "sigma", F.coalesce("delta", F.lit(0.0)).alias("delta")))
+        below = keep(level.df.join(back, ["s", "v"], "left").select("s", "v", "sigma", F.coalesce("delta", F.lit(0.0)).alias("delta")))
         total = total.unionByName(below.df.select("s", "v", "delta"))
     return total.filter("s != v").groupBy("v").agg((F.sum("delta") / 2).alias("score"))
+
+
+def all_betweenness(edges: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """(v, score): exact unweighted betweenness of every vertex, 0 for those on no shortest path.
+
+    Sources go in batches of about ``batch_rows`` source-edge pairs; a batch's scores are written and its
+    tables dropped before the next one.
+    """
+    arcs = Cut(edges.filter("src != dst").select("src", "dst").distinct())
+    vertices = arcs.df.select(F.col("src").alias("v")).distinct()
+    n_batches = max(1, -(-vertices.count() * arcs.df.count() // batch_rows))
+    held = Cut(vertices.select("v", F.lit(0.0).alias("score")))
+    for b in range(n_batches):
+        made: list[Cut] = []
+        part = _betweenness(arcs.df, vertices.filter(F.pmod(F.xxhash64("v"), F.lit(n_batches)) == b), made)
+        fresh = Cut(held.df.unionByName(part).groupBy("v").agg(F.sum("score").alias("score")))
+        for x in (held, *made):
+            x.drop()
+        held = fresh
+    arcs.drop()
+    return held.df

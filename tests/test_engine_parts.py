@@ -7,6 +7,7 @@ import pytest
 
 from synaxis.operators import graph as G
 from synaxis.operators import linkage as L
+from synaxis.plans import more as M
 from synaxis.sources import files as SF
 from synaxis.sources import rest as R
 from synaxis.streaming import incremental as I
@@ -117,6 +118,40 @@ def test_betweenness_of_a_path(spark):
     assert got == {"a": 0.5, "b": 1.0, "c": 3.5, "d": 0.0, "x": 1.0}
 
 
+def test_registered_betweenness_is_whole(spark, data):
+    edges = M._award_graph(spark, data).select("src", "dst").collect()
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+    want = dict.fromkeys(near, 0.0)
+    for s in near:  # Brandes
+        order, paths, depth, before = [], {s: 1}, {s: 0}, {v: [] for v in near}
+        queue = [s]
+        for v in queue:
+            order.append(v)
+            for x in near[v]:
+                if x not in depth:
+                    depth[x], paths[x] = depth[v] + 1, 0
+                    queue.append(x)
+                if depth[x] == depth[v] + 1:
+                    paths[x] += paths[v]
+                    before[x].append(v)
+        delta = dict.fromkeys(near, 0.0)
+        for x in reversed(order):
+            for v in before[x]:
+                delta[v] += paths[v] / paths[x] * (1 + delta[x])
+            if x != s:
+                want[x] += delta[x] / 2
+    got = {r.v: r.score for r in M.gr09(spark, data).collect()}
+    assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-6 * (1 + want[v]) for v in want)
+
+
+def test_betweenness_of_a_long_path_in_batches(spark):
+    edges = G.undirected(spark.createDataFrame([(f"{i:02}", f"{i + 1:02}", 1.0) for i in range(35)], "src string, dst string, w double"))
+    got = {r.v: round(r.score, 6) for r in G.all_betweenness(edges, batch_rows=1500).collect()}
+    assert got == {f"{i:02}": float(i * (35 - i)) for i in range(36)}
+
+
 def test_communities_of_two_cliques(spark):
     import itertools
 
