@@ -24,6 +24,7 @@ from synaxis.session import cut, q
 STRONG_SHIFT = 0.6
 TIMES_USUAL = 6.0
 MIN_ROWS = 20
+LEAST_SHARE = 0.02
 
 
 @dataclass(frozen=True)
@@ -178,7 +179,8 @@ def _mean_shift(n: str, s1: str, s2: str, w) -> Column:
 def load_shifts(sums: DataFrame, values: DataFrame, forms: DataFrame) -> DataFrame:
     """(column_name, load_id, aspect, n, shift): every load against all others, by aspect.
 
-    For values and forms the one with the largest shift stands for its load. Loads without a
+    For values and forms the one that rises most and the one that falls most stand for their load, one
+    that is frequent elsewhere and absent from the load among them. Loads without a
     number (null load_id) are not compared. With fewer than two loads every shift is null.
     """
     w = Window.partitionBy("column_name")
@@ -195,18 +197,24 @@ def load_shifts(sums: DataFrame, values: DataFrame, forms: DataFrame) -> DataFra
     )
     base = wide.unpivot(["column_name", "load_id", "n"], wide.columns[3:], "aspect", "shift")
     sizes = sums.select("column_name", "load_id", F.col("n").alias("n_load"), all_n.alias("n_all"))
+    # rows of all loads but the largest: what is rare even among them is no loss where it is absent
+    least = sums.groupBy("column_name").agg((F.sum("n") - F.max("n")).alias("n_least"))
 
     def shares(counts: DataFrame, what: str, aspect: str) -> DataFrame:
-        everywhere = Window.partitionBy("column_name", what)
+        counts = counts.filter(F.col("load_id").isNotNull())
+        totals = counts.groupBy("column_name", what).agg(F.sum("n").alias("n_what"))
+        frequent = totals.join(least, "column_name").filter(F.col("n_what") >= LEAST_SHARE * F.col("n_least")).select("column_name", what)
+        absent = frequent.join(sizes.select("column_name", "load_id"), "column_name").join(counts, ["column_name", "load_id", what], "left_anti")
         shifted = (
-            counts.filter(F.col("load_id").isNotNull())
-            .withColumn("n_what", F.sum("n").over(everywhere))
+            counts.select("column_name", "load_id", what, "n").unionByName(absent.select("*", F.lit(0).cast("long").alias("n")))
+            .join(totals, ["column_name", what])
             .join(sizes, ["column_name", "load_id"])
             .withColumn("shift", _share_shift(F.col("n"), F.col("n_load"), F.col("n_what"), F.col("n_all")))
         )
-        return shifted.groupBy("column_name", "load_id").agg(
-            F.max("n_load").alias("n"), F.lit(aspect).alias("aspect"), F.max("shift").alias("shift")
+        most = shifted.groupBy("column_name", "load_id").agg(
+            F.max("n_load").alias("n"), F.max("shift").alias(aspect), F.min("shift").alias(f"{aspect} fallen")
         )
+        return most.unpivot(["column_name", "load_id", "n"], [aspect, f"{aspect} fallen"], "aspect", "shift")
 
     return base.unionByName(shares(values, "value_hash", "single value")).unionByName(shares(forms, "form", "single form"))
 

@@ -67,6 +67,18 @@ def test_departing_loads(spark):
     assert departing(spark, rows) == {(P.AMOUNT, 2), (P.AMOUNT, 5), (P.VAT, 7), (P.OBJECTS, 9)}
 
 
+def test_load_without_a_dominant_value(spark):
+    rows = loads(5)
+    rnd = random.Random(8)
+    ids = []
+    while len(ids) < 40:
+        digits = [rnd.randrange(10) for _ in range(8)]
+        ids.append("".join(map(str, digits)) + str(sum(x << (8 - i) for i, x in enumerate(digits)) % 11 % 10))
+    for r in rows:
+        r[3] = rnd.choice(ids) if r[1] == 4 or rnd.random() > 0.35 else "090016590"
+    assert departing(spark, rows) == {(P.VAT, 4)}
+
+
 def test_power_sums_merge(spark):
     cells = Q.observe(table(spark, loads(1)), "row_id", "load_id", P._rules())
     whole = Q.power_sums(cells.withColumn("load_id", F.lit(0))).orderBy("column_name").select("n", "n_null", "n_violations", F.round("measure_2", 6)).collect()
