@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from synaxis.session import Cut
 
 BATCH_ROWS = 50_000_000
+TOLERANCE = 1e-6
+STILL_ROUNDS = 4
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -51,19 +53,25 @@ def modularity(edges: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def communities(edges: DataFrame, rounds: int = 6, levels: int = 3) -> DataFrame:
+def communities(edges: DataFrame, rounds: int | None = None, levels: int | None = None, still: int = STILL_ROUNDS) -> DataFrame:
     """(v, c): communities by greedy modularity moves, contracted and repeated.
 
     In a round every vertex weighs the communities of its neighbours; only half of the vertices,
-    by a hash that changes with the round, may move, so neighbours do not swap for ever.
+    by a hash that changes with the round, may move, so neighbours do not swap for ever. A level ends
+    when modularity has gained less than TOLERANCE in ``still`` rounds, with the best partition seen,
+    and levels go on until one gains less; ``rounds`` and ``levels`` bound both where they are given.
     """
     current = edges
     assignment: DataFrame | None = None
-    for level in range(levels):
+    last, level = None, 0
+    while levels is None or level < levels:
         degree = Cut(current.groupBy("src").agg(F.sum("w").alias("k")).withColumnRenamed("src", "v"))
         m2 = degree.df.agg(F.sum("k")).first()[0]  # one number
         members = Cut(degree.df.select("v", F.col("v").alias("c")))
-        for i in range(rounds):
+        best_members, best_q = members, modularity(current, members.df).first()[0]
+        last = best_q if last is None else last
+        i = idle = 0
+        while best_q is not None and (rounds is None or i < rounds) and idle < still:
             strength = members.df.join(degree.df, "v").groupBy("c").agg(F.sum("k").alias("kc"))
             near = (
                 current.filter("src != dst").join(members.df.withColumnRenamed("v", "dst"), "dst")
@@ -79,8 +87,18 @@ def communities(edges: DataFrame, rounds: int = 6, levels: int = 3) -> DataFrame
             best = options.groupBy("v").agg(F.max(F.struct(F.round(gain, 9).alias("g"), F.col("c") == F.col("own"), F.col("c").alias("c"))).alias("b"), F.first("own").alias("own"))
             may = F.pmod(F.xxhash64("v", F.lit(level * 100 + i)), F.lit(2)) == 0
             moved = Cut(best.select("v", F.when(may, F.col("b.c")).otherwise(F.col("own")).alias("c")))
-            members.drop()
+            if members is not best_members:
+                members.drop()
             members = moved
+            reached = modularity(current, members.df).first()[0]
+            idle = 0 if reached > best_q + TOLERANCE else idle + 1
+            if reached > best_q:
+                best_members.drop()
+                best_members, best_q = members, reached
+            i += 1
+        if members is not best_members:
+            members.drop()
+            members = best_members
         if assignment is None:
             assignment = members.df
         else:
@@ -89,6 +107,10 @@ def communities(edges: DataFrame, rounds: int = 6, levels: int = 3) -> DataFrame
         a = members.df.select(F.col("v").alias("src"), F.col("c").alias("cs"))
         b = members.df.select(F.col("v").alias("dst"), F.col("c").alias("cd"))
         current = Cut(current.join(a, "src").join(b, "dst").groupBy(F.col("cs").alias("src"), F.col("cd").alias("dst")).agg(F.sum("w").alias("w"))).df
+        level += 1
+        if best_q is None or best_q <= last + TOLERANCE:
+            break
+        last = best_q
     return assignment
 
 

@@ -291,7 +291,7 @@ def gr10(spark, d):
 
 @query("gr07_communities")
 def gr07(spark, d):
-    return G.communities(_award_graph(spark, d), rounds=4, levels=2)
+    return G.communities(_award_graph(spark, d))
 
 
 @query("gr09_betweenness")

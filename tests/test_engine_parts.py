@@ -176,3 +176,43 @@ def test_stream_upsert(spark, tmp_path):
     assert run() == [("r", 1), ("s", 2)]
     spark.createDataFrame([("r", 3, 2020, 1)], schema).coalesce(1).write.mode("append").parquet(source)
     assert run() == [("r", 3), ("s", 2)]
+
+
+def louvain(w):
+    """Modularity that sequential Louvain moves reach on a graph {vertex: {neighbour: weight}}."""
+    m2 = sum(sum(x.values()) for x in w.values())
+    member, current = {v: v for v in w}, w
+    while True:
+        k = {v: sum(x.values()) for v, x in current.items()}
+        own, total, moved = {v: v for v in current}, dict(k), True
+        while moved:
+            moved = False
+            for v in sorted(current):
+                near = {own[v]: 0.0}
+                for x, y in current[v].items():
+                    if x != v:
+                        near[own[x]] = near.get(own[x], 0.0) + y
+                total[own[v]] -= k[v]
+                best = max(near, key=lambda c: (near[c] - k[v] * total[c] / m2, c == own[v]))
+                if near[best] - k[v] * total[best] / m2 > near[own[v]] - k[v] * total[own[v]] / m2 + 1e-9 * m2:
+                    own[v], moved = best, True
+                total[own[v]] += k[v]
+        member = {v: own[c] for v, c in member.items()}
+        merged = {}
+        for v, x in current.items():
+            for y, z in x.items():
+                into = merged.setdefault(own[v], {})
+                into[own[y]] = into.get(own[y], 0.0) + z
+        if len(merged) == len(current):
+            break
+        current = merged
+    return sum(x.get(c, 0.0) for c, x in current.items()) / m2 - sum((sum(x.values()) / m2) ** 2 for x in current.values())
+
+
+def test_registered_communities_reach_louvain(spark, data):
+    edges = M._award_graph(spark, data)
+    w = {}
+    for r in edges.collect():
+        w.setdefault(r.src, {})[r.dst] = r.w
+    got = G.modularity(edges, M.gr07(spark, data)).first().modularity
+    assert got >= louvain(w) - 0.01
