@@ -1,8 +1,9 @@
 """Per-key results over keys of very unequal size, by exact offset chunking.
 
-Rows are counted per (key, input block), the counts are prefix-summed over the blocks of a
-key, and every row gets its exact rank within its key from its block's offset. Ranks are cut
-into chunks of equal size; each chunk is reduced to one ordered state (count, sums, first and
+Rows are put into partitions of equal size in order of their position and written once; those
+partitions are the blocks. Rows are counted per (key, block), the counts are prefix-summed over the
+blocks of a key, and every row gets its exact rank within its key from its block's offset. Ranks
+are cut into chunks of equal size; each chunk is reduced to one ordered state (count, sums, first and
 last value, steps inside), and the states of a key are merged in order, which adds the steps
 between neighbouring chunks. No task ever holds more than a block or a chunk of one key.
 """
@@ -12,33 +13,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 65_536
-CHUNK_ROWS = 20_000
+from synaxis.session import Cut
 
+BLOCK_ROWS = 1_000_000
+CHUNK_ROWS = 100_000
 
-def block_counts(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Rows of (k, pos, ...) counted per key and input block; the null key is counted too.
 
-    A block is a range of ``block_rows`` positions, so it holds at most that many rows
-    wherever positions are unique, and it is the same block in every pass over the input.
+def ordered_blocks(rows: DataFrame, position: str, n_rows: int, block_rows: int = BLOCK_ROWS) -> Cut:
+    """Rows with a ``block``: partitions of about ``block_rows`` rows in order of ``position``, written once.
+
+    The partitions' bounds are sampled from the positions, so blocks are equal however these are spread
+    (dense, sparse or random); equal positions share a block, and null ones are in the first.
     """
-    block = F.floor(F.col("pos") / block_rows).cast("long")
-    return rows.groupBy("k", block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
+    parts = max(1, -(-n_rows // block_rows))
+    return Cut(rows.repartitionByRange(parts, position).withColumn("block", F.spark_partition_id()))
+
+
+def block_counts(rows: DataFrame) -> DataFrame:
+    """Rows of (k, block, ...) counted per key and block; the null key is counted too."""
+    return rows.groupBy("k", "block").agg(F.count(F.lit(1)).alias("n"))
 
 
-def number_rows(rows: DataFrame, counts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add ``rank`` (from 0, in order of pos, then the other columns) within the key; rows with a null key are left out."""
+def number_rows(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``block`` replaced by ``rank``, from 0 within the key; rows with a null key are left out.
+
+    Ranks go in order of block, then pos (null first), then the other columns. Every row with a key has one.
+    """
     by_block = Window.partitionBy("k").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.filter(F.col("k").isNotNull()).select(
         "k", "block", F.coalesce(F.sum("n").over(by_block), F.lit(0)).alias("offset")
     )
-    others = [c for c in rows.columns if c not in ("k", "pos")]
+    others = [c for c in rows.columns if c not in ("k", "pos", "block")]
     inside = Window.partitionBy("k", "block").orderBy("pos", *others)
-    numbered = (
-        rows.filter(F.col("k").isNotNull())
-        .withColumn("block", F.floor(F.col("pos") / block_rows).cast("long"))
-        .withColumn("rn", F.row_number().over(inside) - 1)
-    )
+    numbered = rows.filter(F.col("k").isNotNull()).withColumn("rn", F.row_number().over(inside) - 1)
     return (
         numbered.join(offsets, ["k", "block"])
         .withColumn("rank", F.col("offset") + F.col("rn"))
@@ -56,15 +63,15 @@ def per_key(
 ) -> DataFrame:
     """One row per key: n, n_values, total, low, high, first_v, last_v, n_up, n_chunks, n_all.
 
-    ``position`` orders the rows of a key (unique ids; ties are ordered by value and stay in
-    one block). ``n_up`` counts the steps from a row to the next of its key on which the value
+    ``position`` orders the rows of a key (ties are ordered by value and stay in one block, rows
+    with a null position come first, in order of value). ``n_up`` counts the steps from a row to the next of its key on which the value
     rises; rows with a null value count in n only. ``n_all`` is the number of all input rows,
     those without a key included, which have no row of their own. An empty input gives no row.
     Extra columns are ignored; the key's rows never meet in one task.
     """
-    rows = df.select(key.alias("k"), position.cast("long").alias("pos"), value.cast("double").alias("v"))
-    counts = block_counts(rows, block_rows)
-    ranked = number_rows(rows, counts, block_rows).withColumn("chunk", F.floor(F.col("rank") / chunk_rows))
+    n_all = df.count()  # footers only, for a stored table
+    rows = ordered_blocks(df.select(key.alias("k"), position.cast("long").alias("pos"), value.cast("double").alias("v")), "pos", n_all, block_rows).df
+    ranked = number_rows(rows, block_counts(rows)).withColumn("chunk", F.floor(F.col("rank") / chunk_rows))
     in_chunk = Window.partitionBy("k", "chunk").orderBy("rank")
     before = F.last("v", ignorenulls=True).over(in_chunk.rowsBetween(Window.unboundedPreceding, -1))
     states = (
@@ -81,7 +88,7 @@ def per_key(
             F.coalesce(F.sum("up"), F.lit(0)).alias("ups"),
         )
     )
-    return merge_states(states).withColumn("n_all", counts.agg(F.sum("n")).scalar())
+    return merge_states(states).withColumn("n_all", F.lit(n_all))
 
 
 def merge_states(states: DataFrame) -> DataFrame:

@@ -127,9 +127,12 @@ def child_rows(df: DataFrame, id_column: str, chains: Sequence[Chain]) -> DataFr
     pos is the position in the outermost list, sub_pos that in the inner one or -1. An object
     where a list is expected is a list of one, a JSON string that holds JSON counts as that JSON,
     and a text that is not JSON (null, blank, cut off) has no children. Repeated rows give their
-    children once for each; an empty table gives none; other columns are not read. Chains of at
-    most two nodes. The work is done in Arrow batches inside the scan's own tasks: no shuffle.
+    children once for each; an empty table gives none; other columns are not read. A chain of more
+    than two nodes has more positions than columns here and raises (:func:`child_table` takes any
+    depth). The work is done in Arrow batches inside the scan's own tasks: no shuffle.
     """
+    if any(len(c.nodes) > 2 for c in chains):
+        raise ValueError("child_rows has two positions; use child_table for deeper chains")
     columns = list(dict.fromkeys(c.column for c in chains))
     id_type = df.schema[id_column].dataType.simpleString()
     src = df.select(q(id_column).alias("id"), *[q(c).alias(f"c{i}") for i, c in enumerate(columns)])

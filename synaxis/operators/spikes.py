@@ -2,14 +2,17 @@
 
 Spikes: the readings of a source form a daily profile matrix (weeks x weekdays, one more column for
 undated readings of a month; a cell holds the day's largest reading on the log scale). Robust
-principal components split it into a low-rank part, the source's normal behaviour, and sparse
-residuals. Days with a large positive residual are candidates; an exact check on the source's value
-histogram then keeps the readings that stand several times above everything else it records.
-Constant runs and ranges are tested on their own.
+principal components split it into a low-rank part, the source's normal behaviour on that day, and a
+sparse rest. Every reading is measured by its excess over the low-rank part of its cell; spikes are the
+readings above a gap in the excesses of their source. How wide a gap must be is read from the gaps
+of all sources: between the many narrow ones that ordinary tails have and the wide ones that errors
+leave lies a stretch with few, and its emptiest point parts them. An exact check on the readings
+themselves follows. Constant runs and ranges are tested on their own.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,25 +20,26 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from synaxis.session import cut
-
-BLOCK_ROWS = 65_536
+from synaxis.operators.heavy_keys import BLOCK_ROWS, ordered_blocks
+from synaxis.session import Cut
 
 
 @dataclass(frozen=True)
 class Limits:
     """What counts as implausible for one measurement.
 
-    ``gap``: a spike is at least this many times above the rest; ``min_rows``: readings a source
-    needs for that; ``max_share``: largest share of a source's readings that can be spikes;
-    ``residual``: log excess over normal behaviour that makes a day a candidate.
+    ``least_gap``, ``most_gap``: a spike is several times above the rest, between these two, where
+    exactly is read from the data; ``min_rows``: readings a source needs for that; ``max_share``:
+    largest share of a source's readings that can be spikes; ``width``: kernel width of the density
+    of gaps, on the log scale.
     """
 
     min_run: int
-    gap: float = 3.5
+    least_gap: float = 3.0
+    most_gap: float = 8.0
     min_rows: int = 20
     max_share: float = 0.1
-    residual: float = float(np.log(2.0))
+    width: float = 0.15
 
 
 def robust_low_rank(x: np.ndarray, seen: np.ndarray, rank: int = 1, rounds: int = 25, cutoff: float = 2.5) -> np.ndarray:
@@ -53,8 +57,8 @@ def robust_low_rank(x: np.ndarray, seen: np.ndarray, rank: int = 1, rounds: int
         clean = low + np.clip(residual, -cutoff * scale, cutoff * scale)
         mean = float(clean[seen].mean())
         u, s, vt = np.linalg.svd(clean - mean, full_matrices=False)
-        # components weaker than the noise of the cells are no behaviour
-        keep = np.maximum(s[:rank] - scale * np.sqrt(max(x.shape)), 0.0)
+        # a matrix of mere noise has components up to this size; weaker ones are no behaviour
+        keep = np.maximum(s[:rank] - 1.1 * scale * (np.sqrt(x.shape[0]) + np.sqrt(x.shape[1])), 0.0)
         new = mean + (u[:, :rank] * keep) @ vt[:rank]
         done = np.max(np.abs(new - low)) < 1e-4
         low = new
@@ -63,8 +67,8 @@ def robust_low_rank(x: np.ndarray, seen: np.ndarray, rank: int = 1, rounds: int
     return low
 
 
-def profile_residuals(cells: pd.DataFrame) -> pd.DataFrame:
-    """Residual of each cell (source, week, slot, level) of one source against its normal behaviour."""
+def normal_behaviour(cells: pd.DataFrame) -> pd.DataFrame:
+    """(source, week, slot, normal): the low-rank part of each cell (source, week, slot, level) of one source."""
     weeks, row = np.unique(cells["week"].to_numpy(), return_inverse=True)
     slot = cells["slot"].to_numpy()
     x = np.zeros((len(weeks), 8))
@@ -72,7 +76,7 @@ def profile_residuals(cells: pd.DataFrame) -> pd.DataFrame:
     x[row, slot] = cells["level"].to_numpy()
     seen[row, slot] = True
     low = robust_low_rank(x, seen)
-    return cells[["source", "week", "slot"]].assign(residual=(x - low)[row, slot])
+    return cells[["source", "week", "slot"]].assign(normal=low[row, slot])
 
 
 def _cells(rows: DataFrame) -> DataFrame:
@@ -87,16 +91,15 @@ def _with_cell(rows: DataFrame) -> DataFrame:
     return rows.withColumn("week", F.floor(epoch / 7).cast("int")).withColumn("slot", slot.cast("int"))
 
 
-def spike_floor(rows: DataFrame, limits: Limits) -> DataFrame:
-    """(source, floor): the least reading that is ``gap`` times above all readings below it.
+def excess_gaps(rows: DataFrame, limits: Limits) -> DataFrame:
+    """(source, floor, gap): gaps in the excesses of a source that at most ``max_share`` of its readings lie above.
 
-    Exact and bounded per source: readings are counted in log bins much narrower than the gap
-    with the least and largest reading of each bin, so any such gap lies between two neighbouring
-    bins. The readings above it must be at most ``max_share`` of the source's (one is always
-    allowed); of several gaps the lowest counts.
+    Exact and bounded per source: excesses are counted in bins much narrower than any gap asked for with
+    the least and largest of each bin, so such a gap lies between two neighbouring bins. One reading
+    above is always allowed; ``floor`` is the least excess above the gap.
     """
-    bins = rows.groupBy("source", F.floor(F.log2("v") * 8).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most")
+    bins = rows.groupBy("source", F.floor(F.col("excess") * 12).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("excess").alias("least"), F.max("excess").alias("most")
     )
     up = Window.partitionBy("source").orderBy("bin")
     whole = Window.partitionBy("source")
@@ -107,41 +110,53 @@ def spike_floor(rows: DataFrame, limits: Limits) -> DataFrame:
         F.sum("n").over(whole).alias("n_all"),
         F.sum("n").over(up.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("n_above"),
     )
-    return (
-        marked.filter(
-            (F.col("n_all") >= limits.min_rows)
-            & (F.col("least") >= F.col("below") * limits.gap)
-            & (F.col("n_above") <= F.greatest(F.lit(1.0), F.col("n_all") * limits.max_share))
-        )
-        .groupBy("source")
-        .agg(F.min("least").alias("floor"))
-    )
+    return marked.filter(
+        (F.col("n_all") >= limits.min_rows)
+        & (F.col("least") - F.col("below") >= math.log(2.0))
+        & (F.col("n_above") <= F.greatest(F.lit(1.0), F.col("n_all") * limits.max_share))
+    ).select("source", F.col("least").alias("floor"), (F.col("least") - F.col("below")).alias("gap"))
+
+
+def gap_threshold(gaps: DataFrame, limits: Limits) -> float:
+    """Where the gaps of all sources are sparsest between ``least_gap`` and ``most_gap``, on the log scale.
+
+    A kernel density over a fixed grid of some forty points; only these come to the driver. Without any
+    gap the least one is taken.
+    """
+    low, high = math.log(limits.least_gap), math.log(limits.most_gap)
+    steps = math.ceil((high - low) / 0.025)
+    grid = F.explode(F.array(*[F.lit(low + (high - low) * i / steps) for i in range(steps + 1)]))
+    z = (F.col("gap") - F.col("at")) / limits.width
+    density = gaps.select("gap", grid.alias("at")).groupBy("at").agg(F.sum(F.exp(-z * z / 2)).alias("density"))
+    points = [(r.density, r["at"]) for r in density.collect()]
+    return min(points)[1] if points else low
 
 
 def spikes(rows: DataFrame, limits: Limits) -> DataFrame:
     """Rows (source, pos) that stand above their source's normal behaviour; rows must be plausible."""
     placed = _with_cell(rows)
-    residuals = _cells(placed).groupBy("source").applyInPandas(
-        profile_residuals, "source string, week int, slot int, residual double"
-    )
-    days = residuals.filter(F.col("residual") > limits.residual).select("source", "week", "slot")
-    return (
-        placed.join(spike_floor(rows, limits), "source")
-        .filter(F.col("v") >= F.col("floor"))
-        .join(days, ["source", "week", "slot"], "left_semi")
-        .select("source", "pos")
-    )
-
-
-def constant_runs(rows: DataFrame, min_run: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    cells = _cells(placed).repartition(rows.sparkSession.sparkContext.defaultParallelism * 2, "source")
+    normal = cells.groupBy("source").applyInPandas(normal_behaviour, "source string, week int, slot int, normal double")
+    measured = Cut(placed.join(normal, ["source", "week", "slot"]).select("source", "pos", "v", (F.log("v") - F.col("normal")).alias("excess"))).df
+    gaps = Cut(excess_gaps(measured, limits)).df
+    threshold = gap_threshold(gaps, limits)
+    floors = gaps.filter(F.col("gap") >= threshold).groupBy("source").agg(F.min("floor").alias("floor"))
+    high = F.col("excess") >= F.col("floor")
+    # exact check: several times above every reading of the source that is no candidate
+    rest = measured.join(floors, "source").groupBy("source", "floor").agg(F.max(F.when(~high, F.col("v"))).alias("rest"))
+    return measured.join(rest, "source").filter(high & (F.log("v") >= F.log("rest") + threshold * (1 - 1e-9))).select("source", "pos")
+
+
+def constant_runs(rows: DataFrame, min_run: int) -> DataFrame:
     """Rows (source, pos) in a run of at least ``min_run`` equal readings, in order of pos.
 
-    Runs are found inside (source, block) pieces of bounded size; the first and last run of each
-    piece are then joined with their neighbours over the short list of boundary runs, so a source
-    with a third of all rows is never sorted in one task.
+    ``rows`` has a ``block`` that rises with pos (:func:`ordered_blocks`). Runs are found inside (source,
+    block) pieces of bounded size; the first and last run of each piece are then joined with their
+    neighbours over the short list of boundary runs, so a source with a third of all rows is never
+    sorted in one task.
     """
     piece = Window.partitionBy("source", "block").orderBy("pos", "v")
-    pieces = rows.select("source", "pos", "v", F.floor(F.col("pos") / block_rows).cast("long").alias("block"))
+    pieces = rows.select("source", "pos", "v", "block")
     marked = pieces.withColumn("begins", F.coalesce((F.col("v") != F.lag("v").over(piece)).cast("int"), F.lit(1))).withColumn(
         "run", F.sum("begins").over(piece.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
@@ -173,19 +188,20 @@ def constant_runs(rows: DataFrame, min_run: int, block_rows: int = BLOCK_ROWS) -
 
 def implausible(
     df: DataFrame, source: Column, position: Column, value: Column, day: Column, month: Column,
-    impossible: Column, limits: Limits,
+    impossible: Column, limits: Limits, n_rows: int | None = None,
 ) -> DataFrame:
     """(pos, reasons): flagged rows of one measurement, each once, with a sorted list of reasons.
 
     ``impossible`` is a condition on the column ``v``. Rows without source or value (NaN is none)
     do not count. Impossible readings are left out of normal behaviour but take part in runs.
-    Repeated rows with equal positions are flagged alike. An empty table gives no row.
+    Repeated rows with equal positions are flagged alike. An empty table gives no row. ``n_rows`` is
+    a known number of rows, or a bound; without it they are counted.
     """
     rows = df.select(
         source.alias("source"), position.cast("long").alias("pos"), value.cast("double").alias("v"),
         day.alias("day"), month.alias("month"),
     ).filter("source is not null and v is not null and not isnan(v)")
-    rows = cut(rows)
+    rows = ordered_blocks(rows, "pos", rows.count() if n_rows is None else n_rows, BLOCK_ROWS).df
     plausible = rows.filter(~impossible & (F.col("v") > 0))
     found = (
         rows.filter(impossible).select("pos", F.lit("impossible").alias("reason"))

@@ -50,7 +50,10 @@ def _p4(act: str, column: str, bad: str, run: int) -> str:
     ok AS (SELECT * FROM r WHERE NOT ({bad})),
     d AS (SELECT vat, v, lag(v) OVER (PARTITION BY vat ORDER BY v) AS below, sum(n) OVER (PARTITION BY vat) AS n_all, sum(n) OVER (PARTITION BY vat ORDER BY v DESC) AS n_above
     FROM (SELECT vat, v, count(*) AS n FROM ok GROUP BY 1, 2)),
-    f AS (SELECT vat, min(v) AS floor_v FROM d WHERE n_all >= 20 AND v >= 3.5 * below AND n_above <= greatest(1, n_all * 0.1) GROUP BY 1),
+    gaps AS (SELECT vat, v, ln(v) - ln(below) AS gap FROM d WHERE n_all >= 20 AND v >= 2 * below AND n_above <= greatest(1, n_all * 0.1)),
+    grid AS (SELECT ln(3) + (ln(8) - ln(3)) * i / 40 AS a FROM range(41) s(i)),
+    th AS (SELECT coalesce(arg_min(a, density), ln(3)) AS t FROM (SELECT a, sum(exp(-((gap - a) / 0.15) * ((gap - a) / 0.15) / 2)) AS density FROM gaps, grid GROUP BY 1)),
+    f AS (SELECT vat, min(v) AS floor_v FROM gaps, th WHERE gap >= t GROUP BY 1),
     g AS (SELECT *, row_number() OVER (PARTITION BY vat ORDER BY row_id) - row_number() OVER (PARTITION BY vat, v ORDER BY row_id) AS island FROM r)
     SELECT row_id FROM r WHERE {bad} UNION SELECT ok.row_id FROM ok JOIN f ON ok.vat = f.vat AND ok.v >= f.floor_v
     UNION SELECT row_id FROM (SELECT row_id, count(*) OVER (PARTITION BY vat, v, island) AS n FROM g) WHERE n >= {run})"""

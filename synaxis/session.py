@@ -29,12 +29,18 @@ def build_session(app: str = "synaxis", master: str | None = None, **conf: str)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``, or the one set on the context.
+
+    Only a local master, where every task runs on this machine, may do without: it gets a folder of
+    its own. Any other raises, as tables written to one machine's disk cannot be read from another.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return configured or current.get()
+    if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {sc.master} share")
     path = configured or os.path.join(tempfile.gettempdir(), f"synaxis-checkpoint-{uuid.uuid4().hex[:8]}")
     sc.setCheckpointDir(path)
     return path
@@ -59,6 +65,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system that owns it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 class Cut:
     """A DataFrame written once as a Parquet table in the shared checkpoint folder.
 

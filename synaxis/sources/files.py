@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from synaxis.session import exists
+
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """(key, size, modified): files below a folder, without reading them."""
@@ -48,9 +50,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a fixed schema (ids stay text); a path that does not exist gives an empty table."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("header", True).csv(path)
 

@@ -8,11 +8,11 @@ os.environ["PYTHONPATH"] = os.pathsep.join([sys.path[0], os.environ.get("PYTHONP
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from synaxis.session import build_session
 
     session = build_session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"}
+        "tests", "local[4]", **{"spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

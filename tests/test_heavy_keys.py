@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 from hypothesis import HealthCheck, given, settings
@@ -40,12 +41,32 @@ def test_hot_key_is_cut_into_equal_chunks(spark):
 
 
 def test_ranks_are_exact(spark):
-    rows = spark.createDataFrame([("a" if i % 3 else "b", i) for i in range(50)], "k string, pos long")
-    ranked = H.number_rows(rows, H.block_counts(rows, 7), 7).orderBy("k", "pos").collect()
+    df = spark.createDataFrame([("a" if i % 3 else "b", i) for i in range(50)], "k string, pos long")
+    rows = H.ordered_blocks(df, "pos", 50, 7).df
+    ranked = H.number_rows(rows, H.block_counts(rows)).orderBy("k", "pos").collect()
     for key in "ab":
         assert [r["rank"] for r in ranked if r.k == key] == list(range(sum(r.k == key for r in ranked)))
 
 
+def test_null_and_random_positions_lose_no_row(spark):
+    rnd = random.Random(4)
+    rows = [("a", rnd.randrange(-(2**62), 2**62) if i % 5 else None, float(i)) for i in range(200)] + [("a", None, None), ("b", None, 1.0)]
+    df = spark.createDataFrame(rows, "key string, row long, val double")
+    got = {r.k: r for r in H.per_key(df, F.col("key"), F.col("row"), F.col("val"), block_rows=30, chunk_rows=20).collect()}
+    assert (got["a"].n, got["a"].n_values, got["a"].n_all, got["b"].n) == (201, 200, 202, 1)
+    ordered = [v for _, v in sorted((p, v) for _, p, v in rows if p is not None)]
+    nulls = sorted(v for k, p, v in rows if p is None and v is not None and k == "a")
+    seen = nulls + ordered
+    assert got["a"].n_up == sum(b > a for a, b in zip(seen, seen[1:])) and got["a"].last_v == ordered[-1]
+
+
+def test_blocks_of_random_positions_are_even(spark):
+    rnd = random.Random(5)
+    df = spark.createDataFrame([("a", rnd.randrange(2**62)) for _ in range(4000)], "k string, pos long")
+    sizes = [r.n for r in H.block_counts(H.ordered_blocks(df, "pos", 4000, 500).df).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
+
+
 def test_heavy_share_is_inclusive(spark):
     got = run(spark, [("a", 1.0)] * 2 + [("b", 1.0)] + [(None, 1.0)] * 97)
     df = spark.createDataFrame([(r.k, r.n, r.n_all) for r in got.values()], "k string, n long, n_all long")

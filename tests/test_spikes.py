@@ -1,10 +1,12 @@
 import datetime as dt
+import math
 import random
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from synaxis.operators import spikes as S
+from synaxis.operators.heavy_keys import ordered_blocks
 
 SCHEMA = "org string, row_id long, x double, day date, month date, pos string, week int"
 
@@ -50,7 +52,7 @@ def test_runs_across_pieces(spark):
     values = [1, 2] + [5] * 9 + [3] + [7] * 7 + [4] + [6] * 30 + [6] * 1
     df = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate(values)] + [("b", 100 + i, 5.0) for i in range(7)], "source string, pos long, v double")
     for block in (1, 3, 8, 1000):
-        got = sorted(r.pos for r in S.constant_runs(df, 8, block).collect())
+        got = sorted(r.pos for r in S.constant_runs(ordered_blocks(df, "pos", len(values) + 7, block).df, 8).collect())
         assert got == list(range(2, 11)) + list(range(20, 51)), block
 
 
@@ -64,4 +66,35 @@ def test_hot_source_runs_equal_brute_force(spark):
                 want |= set(range(start, i))
             start = i
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "source string, pos long, v double")
-    assert {r.pos for r in S.constant_runs(df, 5, 17).collect()} == want and want
+    assert {r.pos for r in S.constant_runs(ordered_blocks(df, "pos", 600, 17).df, 5).collect()} == want and want
+
+
+def weekly(n_weeks, sunday, seed=3):
+    """Readings of a source that records one large amount every Sunday, on top of many usual ones."""
+    rnd, rows = random.Random(seed), []
+    for w in range(n_weeks):
+        for d in range(7):
+            day = dt.date(2021, 1, 4) + dt.timedelta(days=7 * w + d)
+            rows += [("a", round(rnd.lognormvariate(7, 0.3) * (sunday if d == 6 else 1), 2), day) for _ in range(1 if d == 6 else 4)]
+    return rows
+
+
+def test_components_tell_a_weekly_pattern_from_spikes(spark):
+    rows = weekly(60, 50)
+    assert flagged(spark, rows) == {}  # by the amounts alone all sixty would be spikes
+    tuesday = next(i for i, r in enumerate(rows) if r[2].weekday() == 1)
+    rows[tuesday] = ("a", max(v for _, v, _ in rows) * 20, rows[tuesday][2])
+    assert flagged(spark, rows) == {tuesday: ["spike"]}
+    flat = weekly(60, 1)
+    sunday = next(i for i, r in enumerate(flat) if r[2].weekday() == 6)
+    flat[sunday] = ("a", max(v for _, v, _ in flat) * 20, flat[sunday][2])
+    assert flagged(spark, flat) == {sunday: ["spike"]}
+
+
+def test_threshold_lies_where_gaps_are_sparsest(spark):
+    rnd = random.Random(2)
+    narrow = [0.69 + rnd.expovariate(4) for _ in range(300)]
+    wide = [2.0 + rnd.random() * 2 for _ in range(200)]
+    gaps = spark.createDataFrame([(g,) for g in narrow + wide], "gap double")
+    assert 5.0 < math.exp(S.gap_threshold(gaps, S.Limits(min_run=8))) < 7.0
+    assert S.gap_threshold(gaps.filter("gap < 0"), S.Limits(min_run=8)) == math.log(3.0)
