@@ -3,9 +3,10 @@
 Only the histogram of item lengths, at most one entry per length up to the capacity, is planned with.
 Shallow patterns (few distinct lengths, each possibly several times) whose total falls into a narrow
 window below the capacity are enumerated; non-negative least squares finds how often each must
-repeat to use up the histogram; repeats are rounded down and what is left is packed greedily, again
-by length. Items then take their places by their exact rank within their length: one join with the
-plan, whose size depends on the capacity and not on the number of items.
+repeat to use up the histogram; repeats are rounded by largest remainder within the counts, and what is
+left is packed greedily, again by length. Items then take their places by their exact rank within
+their length: one join with the plan on (length, rank bucket), whose size depends on the capacity and
+not on the number of items.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from synaxis.session import cut
 WINDOW = 24
 PATTERNS_PER_LENGTH = 6
 ROUNDS = 200
+RANK_BUCKETS = 64
 
 Pattern = tuple[tuple[int, int], ...]
 
@@ -103,10 +105,19 @@ def plan(histogram: dict[int, int], capacity: int, window: int = WINDOW) -> list
 
     patterns = enumerate_patterns(lengths, left, capacity, window)
     if patterns:
-        repeats = np.floor(solve_repeats(patterns, lengths, left) + 1e-6).astype(np.int64)
+        solved = solve_repeats(patterns, lengths, left)
+        repeats = np.floor(solved + 1e-6).astype(np.int64)
         for i in np.argsort(-repeats, kind="stable"):
             if repeats[i] > 0:
                 use(patterns[i], int(repeats[i]))
+        # the fractions by largest remainder: as many more containers as they add up to, where the counts allow
+        more = round(float((solved - repeats).clip(0).sum()))
+        for i in np.argsort(repeats - solved, kind="stable"):
+            if more <= 0 or solved[i] - repeats[i] <= 1e-6:
+                break
+            before = len(chosen)
+            use(patterns[i], 1)
+            more -= len(chosen) - before
     # what rounding and the residual left: largest first, each container closed as tightly as it can be
     while left.any():
         room, parts, rest = capacity, {}, left.copy()
@@ -133,14 +144,18 @@ def plan(histogram: dict[int, int], capacity: int, window: int = WINDOW) -> list
     return chosen
 
 
-def plan_rows(chosen: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(length, lo, hi, first container, places): rank r of a length goes to first + (r - lo) // places."""
+def plan_rows(chosen: list[tuple[Pattern, int]], bucket: int) -> list[tuple[int, int, int, int, int, int]]:
+    """(length, bucket, lo, hi, first container, places): rank r of a length goes to first + (r - lo) // places.
+
+    A range of ranks has one row for each bucket of so many ranks that it touches, so items meet only
+    the few ranges of their bucket.
+    """
     rows, used, container = [], {}, 0
     for pattern, repeats in chosen:
         for a, m in pattern:
             lo = used.get(a, 0)
             used[a] = lo + m * repeats
-            rows.append((a, lo, used[a], container, m))
+            rows += [(a, b, lo, used[a], container, m) for b in range(lo // bucket, (used[a] - 1) // bucket + 1)]
         container += repeats
     return rows
 
@@ -150,8 +165,7 @@ def pack(df: DataFrame, item: Column, size: Column, capacity: int) -> DataFrame:
 
     An item larger than the capacity, and only such, is cut into pieces of the capacity and a
     rest; rests are packed with the other items. Items of size null or below 1 take no room and
-    are left out. Equal items are separate items; items of equal id share a rank block only.
-    An empty table gives no rows. ``item`` is a whole number.
+    are left out. Equal items are separate items, and so are items with a null id. An empty table gives no rows. ``item`` is a whole number.
     """
     spark = df.sparkSession
     sized = df.select(item.cast("long").alias("item"), size.cast("long").alias("size")).filter("size >= 1")
@@ -166,16 +180,19 @@ def pack(df: DataFrame, item: Column, size: Column, capacity: int) -> DataFrame:
         (F.col("piece").cast("long") * capacity).alias("start"),
         F.least(F.lit(capacity), F.col("size") - F.col("piece").cast("long") * capacity).cast("int").alias("k"),
     )
-    rows = cut(placed)
+    rows = cut(placed.withColumn("block", F.spark_partition_id()))  # the written partitions are the blocks
     counts = block_counts(rows)
-    histogram = counts.groupBy("k").agg(F.sum("n").alias("n")).collect()  # at most ``capacity`` rows
-    spots = plan_rows(plan({r.k: r.n for r in histogram}, capacity))
-    table = spark.createDataFrame(spots, "k int, lo long, hi long, first_container long, places long")
-    ranked = number_rows(rows, counts)
+    histogram = {r.k: r.n for r in counts.groupBy("k").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
+    chosen = plan(histogram, capacity)
+    # at most RANK_BUCKETS buckets for the commonest length, so the table stays within the plan's size and capacity x RANK_BUCKETS
+    bucket = max(1, -(-max(histogram.values(), default=1) // RANK_BUCKETS))
+    table = spark.createDataFrame(plan_rows(chosen, bucket), "k int, bucket long, lo long, hi long, first_container long, places long")
+    ranked = number_rows(rows, counts).withColumn("bucket", F.floor(F.col("rank") / bucket))
     return (
-        ranked.join(F.broadcast(table), (ranked.k == table.k) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
+        ranked.join(F.broadcast(table), ["k", "bucket"])
+        .filter((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
         .select(
-            F.col("pos").alias("item"), "piece", "n_pieces", "start", ranked.k.alias("length"),
+            F.col("pos").alias("item"), "piece", "n_pieces", "start", F.col("k").alias("length"),
             (F.col("first_container") + F.floor((F.col("rank") - F.col("lo")) / F.col("places"))).cast("long").alias("container"),
         )
     )

@@ -47,6 +47,21 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_items.select(F.col("item").alias("doc_id")).distinct()
 
 
+def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a packing must hold: tokens and documents placed, documents in pieces, containers over capacity, and waste.
+
+    ``within_bound``: no more than 1 % and two containers above what the tokens alone need.
+    """
+    placed = p8_containers(spark, sf_dir)
+    fill = placed.groupBy("container").agg(F.sum("length").cast("long").alias("filled"), F.count(F.lit(1)).alias("n"))
+    per = fill.agg(F.sum("filled").alias("n_tokens"), F.count(F.lit(1)).alias("n_containers"), F.count_if(F.col("filled") > CAPACITY).alias("n_over"), F.sum("n").alias("n_placed"))
+    items = placed.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.max("n_pieces").alias("n_pieces"), F.count_distinct("start").alias("n_starts"))
+    whole = items.agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("n_pieces") > 1).alias("n_cut"), F.count_if((F.col("n") != F.col("n_pieces")) | (F.col("n_starts") != F.col("n"))).alias("n_torn"))
+    both = per.unionByName(whole, allowMissingColumns=True).agg(*[F.sum(c).cast("long").alias(c) for c in (*per.columns, *whole.columns)])
+    least = F.ceil(F.col("n_tokens") / CAPACITY)
+    return both.select("n_tokens", "n_placed", "n_docs", "n_cut", "n_over", "n_torn", (F.col("n_containers") <= least * 1.01 + 2).alias("within_bound"))
+
+
 def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every evaluation item in every document that holds a passage of it, with its place."""
     documents, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")
@@ -81,6 +96,7 @@ QUERIES = {
     "p7_contractors": p7_contractors,
     "p7_found": p7_found,
     "p7_organisations": p7_organisations,
+    "p8_checks": p8_checks,
     "p8_containers": p8_containers,
     "p8_found": p8_found,
     "p9_clean": p9_clean,
@@ -95,4 +111,7 @@ P3_SQL = """WITH RECURSIVE e AS (SELECT id_l AS a, id_r AS b FROM entity_resolut
 
 P8_SQL = "SELECT doc_id FROM documents WHERE strlen(text) + 1 > 8192"
 
-ORACLE: dict[str, str] = {"p3_found": P3_SQL, "p8_found": P8_SQL}
+P8_CHECKS_SQL = """SELECT cast(sum(n) AS BIGINT) AS n_tokens, cast(sum((n + 8191) // 8192) AS BIGINT) AS n_placed, count(*) AS n_docs, count(*) FILTER (n > 8192) AS n_cut,
+    cast(0 AS BIGINT) AS n_over, cast(0 AS BIGINT) AS n_torn, true AS within_bound FROM (SELECT strlen(coalesce(text, '')) + 1 AS n FROM documents)"""
+
+ORACLE: dict[str, str] = {"p3_found": P3_SQL, "p8_checks": P8_CHECKS_SQL, "p8_found": P8_SQL}

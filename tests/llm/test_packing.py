@@ -38,6 +38,31 @@ def test_round_trip_and_fill(spark):
     assert len(fill) <= -(-total // 8192) + 2
 
 
+def test_items_without_id_are_packed(spark):
+    df = spark.createDataFrame([(None, 5), (None, 5), (3, 7), (3, 7), (2**62, 20)], "doc long, size long")
+    rows = K.pack(df, F.col("doc"), F.col("size"), 10).collect()
+    assert Counter((r.item, r.length) for r in rows) == Counter({(None, 5): 2, (3, 7): 2, (2**62, 10): 2})
+    fill = Counter()
+    for r in rows:
+        fill[r.container] += r.length
+    assert max(fill.values()) <= 10 and len(fill) == 5
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 400), min_size=1, max_size=8), st.integers(1, 50))
+def test_every_rank_has_one_place(histogram, bucket):
+    chosen = K.plan(histogram, 64, 2)
+    rows = K.plan_rows(chosen, bucket)
+    places = Counter()
+    for a, n in histogram.items():
+        for r in range(n):
+            hits = [(c, lo, m) for k, b, lo, hi, c, m in rows if k == a and b == r // bucket and lo <= r < hi]
+            assert len(hits) == 1
+            c, lo, m = hits[0]
+            places[c + (r - lo) // m] += a
+    assert max(places.values()) <= 64
+
+
 def test_nothing_to_pack(spark):
     df = spark.createDataFrame([], "doc long, size long")
     assert K.pack(df, F.col("doc"), F.col("size"), 8192).count() == 0
