@@ -79,11 +79,12 @@ class Cut:
     left is removed when the driver ends.
     """
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, *by: str):
+        """Write ``df``, in folders by the columns ``by`` if any are given."""
         spark = df.sparkSession
         self.path = f"{checkpoint_dir(spark)}/synaxis-{uuid.uuid4().hex}"
         self._spark = spark
-        df.write.parquet(self.path)
+        df.write.partitionBy(*by).parquet(self.path) if by else df.write.parquet(self.path)
         _LEFT.append((spark, self.path))
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
