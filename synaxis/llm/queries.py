@@ -79,6 +79,12 @@ def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.join(p9_found(spark, sf_dir).select("doc_id"), "doc_id", "left_anti").select("doc_id", "lang", "source")
 
 
+def p9_verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every unbroken run of 13 or more equal words of a document and an item, with its places."""
+    documents, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items")
+    return leaks.verbatim(documents, "doc_id", "text", items, "item_id", "text", 13)
+
+
 def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of every document's words by kind of line."""
     return spamlines.line_shares(read_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -102,6 +108,7 @@ QUERIES = {
     "p9_clean": p9_clean,
     "p9_found": p9_found,
     "p9_passages": p9_passages,
+    "p9_verbatim": p9_verbatim,
 }
 
 P3_SQL = """WITH RECURSIVE e AS (SELECT id_l AS a, id_r AS b FROM entity_resolution_matches WHERE id_l IS NOT NULL AND id_r IS NOT NULL UNION SELECT id_r, id_l FROM entity_resolution_matches WHERE id_l IS NOT NULL AND id_r IS NOT NULL),
@@ -114,4 +121,15 @@ P8_SQL = "SELECT doc_id FROM documents WHERE strlen(text) + 1 > 8192"
 P8_CHECKS_SQL = """SELECT cast(sum(n) AS BIGINT) AS n_tokens, cast(sum((n + 8191) // 8192) AS BIGINT) AS n_placed, count(*) AS n_docs, count(*) FILTER (n > 8192) AS n_cut,
     cast(0 AS BIGINT) AS n_over, cast(0 AS BIGINT) AS n_torn, true AS within_bound FROM (SELECT strlen(coalesce(text, '')) + 1 AS n FROM documents)"""
 
-ORACLE: dict[str, str] = {"p3_found": P3_SQL, "p8_checks": P8_CHECKS_SQL, "p8_found": P8_SQL}
+
+def _grams(table: str, key: str, n: int) -> str:
+    return f"""SELECT {key}, p, array_to_string(w[p:p + {n - 1}], ' ') AS g FROM (SELECT {key}, w, unnest(range(1, len(w) - {n - 2})) AS p
+    FROM (SELECT {key}, regexp_extract_all(text, '[{leaks.LETTERS}]+') AS w FROM {table} WHERE text IS NOT NULL) WHERE len(w) >= {n})"""
+
+
+P9_VERBATIM_SQL = f"""WITH d AS ({_grams("documents", "doc_id", 13)}), t AS ({_grams("eval_items", "item_id", 13)}),
+    j AS (SELECT doc_id, item_id, d.p AS dp, t.p AS tp FROM d JOIN t ON d.g = t.g),
+    r AS (SELECT *, dp - row_number() OVER (PARTITION BY doc_id, item_id, dp - tp ORDER BY dp) AS island FROM j)
+    SELECT doc_id, item_id, cast(min(dp) - 1 AS INT) AS first_word, cast(min(tp) - 1 AS INT) AS item_word, cast(count(*) + 12 AS INT) AS n_words FROM r GROUP BY doc_id, item_id, dp - tp, island"""
+
+ORACLE: dict[str, str] = {"p9_verbatim": P9_VERBATIM_SQL, "p3_found": P3_SQL, "p8_checks": P8_CHECKS_SQL, "p8_found": P8_SQL}

@@ -56,11 +56,56 @@ def test_short_passages_with_changed_words(spark):
     assert search(spark, docs, rows) == {(1, 2), (2, 2), (3, 2)}
 
 
-def test_suffix_ranks_are_lexicographic():
+def test_many_copies_of_an_item(spark):
+    for n in (1, 4, 1000):
+        rows = [(i, " ".join(INSTRUCTION + w), "x") for i, w in enumerate(WORDS)] + [(100 + i, " ".join(INSTRUCTION + WORDS[3]), "x") for i in range(n - 1)]
+        assert search(spark, [(1, " ".join(WORDS[3])), (2, " ".join(INSTRUCTION))], rows) == {(1, 3)} | {(1, 100 + i) for i in range(n - 1)}
+
+
+def test_long_matches_chain_whole(spark):
+    w = [f"n{j}" for j in range(700)]
+    text = " ".join(w[:300] + [f"x{j}" for j in range(10)] + w[310:610])
+    d = spark.createDataFrame([(1, text, "c", "c")], DOCS)
+    row = L.leaks(d, "doc_id", "text", spark.createDataFrame([(5, " ".join(w), "x")], ITEMS), "item_id", "text").first()
+    assert (row.matched_words, row.passage_words, row.first_word, row.last_word) == (600, 610, 0, 610)
+
+
+def test_blocks_change_nothing(spark, monkeypatch):
+    docs = [(i, " ".join(WORDS[i % 6][i : i + 20])) for i in range(12)] + [(50, " ".join(WORDS[0][:20] + WORDS[5][10:30]))]
+    whole = search(spark, docs)
+    monkeypatch.setattr(L, "BLOCK_WORDS", 60)
+    assert search(spark, docs) == whole and len(whole) == 14
+
+
+def test_verbatim_equals_brute_force(spark):
+    rng = np.random.default_rng(7)
+    items = [(i, " ".join(f"A{x}" for x in rng.integers(0, 3, 30)), "x") for i in range(4)] + [(9, None, "x"), (10, "A1", "x")]
+    docs = [(i, "; ".join(f"A{x}" for x in rng.integers(0, 3, 80)), "c", "c") for i in range(6)] + [(7, None, "c", "c"), (8, "", "c", "c")]
+    out = L.verbatim(spark.createDataFrame(docs, DOCS), "doc_id", "text", spark.createDataFrame(items, ITEMS), "item_id", "text", 5)
+    want = set()
+    for d, text, *_ in docs[:6]:
+        for i, own, _ in items[:4]:
+            want |= {(d, i, a, b, n) for a, b, n in maximal(text.split("; "), own.split(), 5)}
+    assert {tuple(r) for r in out.collect()} == want and len(want) > 50
+
+
+def maximal(t, own, least):
+    for a in range(len(t)):
+        for b in range(len(own)):
+            if a and b and t[a - 1] == own[b - 1]:
+                continue
+            n = 0
+            while a + n < len(t) and b + n < len(own) and t[a + n] == own[b + n]:
+                n += 1
+            if n >= least:
+                yield a, b, n
+
+
+def test_suffixes_are_ranked_and_compared():
     for seed in range(20):
         rng = np.random.default_rng(seed)
         codes, owner = rng.integers(0, 3, 30), np.sort(rng.integers(0, 4, 30))
-        following = L._following(codes, owner)
+        following, _ = L._steps(np.arange(30), owner)
 
         def suffix(i):
             out = []
@@ -69,30 +114,34 @@ def test_suffix_ranks_are_lexicographic():
                 i = following[i]
             return out
 
-        ranks = L.suffix_ranks(codes, following)
-        for i in range(30):
-            for j in range(30):
-                assert (ranks[i] < ranks[j]) == (suffix(i) < suffix(j))
+        made = L.Suffixes(codes, following)
+        pairs = [(i, j) for i in range(30) for j in range(30)]
+        common = made.common(np.array([i for i, _ in pairs]), np.array([j for _, j in pairs]))
+        for (i, j), n in zip(pairs, common):
+            a, b = suffix(i), suffix(j)
+            assert (made.rank[i] < made.rank[j]) == (a < b)
+            assert n == next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
 def test_matches_equal_brute_force():
     rng = np.random.default_rng(3)
-    items = [(i, [f"a{x}" for x in rng.integers(0, 6, 25)], list(range(23))) for i in range(3)]
-    test = L.TestBlock(items)
-    texts = [[f"a{x}" for x in rng.integers(0, 7, 60)] for _ in range(5)]
-    words = np.array([test.vocabulary.get(w, 0) for t in texts for w in t])
-    found = L.find_matches(words, np.repeat(np.arange(5), 60), test)
-    got = {(int(r.doc), int(r.item), int(r.d) - int(r.doc) * 60, int(r.t), int(r.n)) for r in found.itertuples()}
-    want = set()
-    for d, t in enumerate(texts):
-        for i, own, _ in items:
-            for a in range(60):
-                for b in range(25):
-                    if a and b and t[a - 1] == own[b - 1]:
-                        continue
-                    n = 0
-                    while a + n < 60 and b + n < 25 and t[a + n] == own[b + n]:
-                        n += 1
-                    if n >= 3:
-                        want.add((d, i, a, b, n))
-    assert got == want
+    for need in (3, 4, 6):
+        own = [[f"a{x}" for x in rng.integers(0, 4, 25)] for _ in range(3)]
+        test = L.TestBlock([(i, w, np.full(25, need), np.zeros(25, dtype=int), np.zeros(25, dtype=bool)) for i, w in enumerate(own)])
+        texts = [[f"a{x}" for x in rng.integers(0, 5, 60)] for _ in range(5)]
+        words = L.Codes().of([w for t in texts for w in t])
+        found = L.find_matches(words, np.repeat(np.arange(5), 60), test)
+        got = [(int(r.doc), int(r.item), int(r.d) - int(r.doc) * 60, int(r.t), int(r.n)) for r in found.itertuples()]
+        want = {(d, i, a, b, n) for d, t in enumerate(texts) for i, w in enumerate(own) for a, b, n in maximal(t, w, need)}
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_needs_follow_the_number_of_texts():
+    boilerplate = [1, *[20] * 7, 0, 0, 0]  # even 13 words from here stand in 20 texts
+    rare, shared = [9, 9, 9, 2, 1, 1, 1, 1, 0, 0, 0], [9, 9, 9, 9, 9, 9, 9, 0, 0, 0, 0]
+    need, own, named = L.suffix_needs(np.array([boilerplate] * 3 + [rare] + [shared] * 2), 3, 10)
+    assert own.tolist() == [0] * 6 and L.suffix_needs(np.array([rare]), 3, 10, 5)[1].tolist() == [5]
+    assert need.tolist() == [8, 7, 6, 5, 8, 8] and named.tolist() == [True] * 3 + [False] * 3
+    # what a few texts share behind the opening is theirs, by any three words
+    need, own, _ = L.suffix_needs(np.array([boilerplate] * 3 + [[9] * 8 + [0] * 3] + [[9] * 7 + [0] * 4] * 12), 3, 10)
+    assert own.tolist() == [0] * 3 + [3] * 11 + [0] * 2 and need.tolist()[:4] == [6, 5, 4, 3]
