@@ -19,6 +19,11 @@ def p7_contractors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.contractor_pairs(read_table(spark, sf_dir, "contractor_aliases"), "alias_id", "vat", "canonical_name")
 
 
+def p7_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each alias row's class of equal records, and how many other classes name the same contractor."""
+    return variants.contractor_members(read_table(spark, sf_dir, "contractor_aliases"), "alias_id", "vat", "canonical_name").withColumnRenamed("id", "alias_id")
+
+
 def p7_organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered organisations of awards that carry no tax id and a differently typed name."""
     awards = read_table(spark, sf_dir, "auction").filter("organizationVatNumber is null")
@@ -101,6 +106,7 @@ QUERIES = {
     "p10_shares": p10_shares,
     "p7_contractors": p7_contractors,
     "p7_found": p7_found,
+    "p7_members": p7_members,
     "p7_organisations": p7_organisations,
     "p8_checks": p8_checks,
     "p8_containers": p8_containers,

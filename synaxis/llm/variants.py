@@ -2,10 +2,12 @@
 
 Names are taken apart into phonetic tokens; words that stand beside many others (trades, kinds of
 organisation), legal forms and first names are set aside and kept as further fields, and the telling
-token is indexed under the first letters of every suffix above a minimum length. Overly common suffixes
-are refined with other fields (the start of the token, the tax id) before they are given up. Tokens that
-meet under a key are compared by their longest common subsequence, once per distinct spelling; only the
-records of similar spellings are then compared by the other fields.
+token is indexed under each of its suffixes above a minimum length, whole, as it is, read backwards, and
+with its last letters cut, so that a slip anywhere leaves one. Overly common suffixes are refined with
+other fields (the letters before the suffix, with slips allowed for, and the tax id) and discarded only where
+a refined one is still overly common. Tokens that meet under a key are compared by the ratio of their
+longest common subsequence, once per distinct spelling; only the classes of equal records of similar
+spellings are then compared by the other fields.
 """
 
 from __future__ import annotations
@@ -21,9 +23,13 @@ from pyspark.sql import functions as F
 from synaxis.llm import nameforms as N
 from synaxis.session import cut
 
-MIN_SUFFIX = 6
-MIN_PLACE_SUFFIX = 4
-COMMON_KEY = 400
+MIN_SUFFIX = 4
+SHORT_TOKEN = 8
+CUT_LETTERS = (0, 2, 3, 4)
+COMMON_KEY = 200
+MIN_RATIO = 5 / 6
+MIN_RATIO_SHORT = 0.9
+HOT_TOKEN = 1000
 TRADE_LEAST = 4
 TRADE_OF_WORDS = 0.004
 TRADE_SHARE = 0.5
@@ -169,57 +175,81 @@ def contractor_fields(name: str, common: list[str]) -> tuple[str, str, str] | No
     return (N.token(telling), first, kind) if len(N.sound(telling)) >= 4 else None
 
 
+def token_ratio(a: str, b: str) -> float:
+    """Longest-common-subsequence ratio of two tokens, by sound or by spelling, whichever is larger."""
+    (sound_a, spell_a), (sound_b, spell_b) = a.split("|"), b.split("|")
+    return max(N.ratio(sound_a, sound_b), N.ratio(spell_a, spell_b))
+
+
 def tokens_similar(a: str, b: str) -> bool:
-    """Longest-common-subsequence test of two telling tokens: up to two wrong letters in long ones."""
-    size = min(a.index("|"), b.index("|"))
-    allowed = 2.0 if size >= 11 else 1.5 if size >= 9 else 1.0 if size >= 6 else 0.5
-    return N.token_errors(a, b) <= allowed
+    """Ratio test of two telling tokens; short ones may only have lost a letter."""
+    short = min(a.index("|"), b.index("|")) < 6
+    return token_ratio(a, b) >= (MIN_RATIO_SHORT if short else MIN_RATIO) - 1e-9
 
 
 def places_similar(a: str, b: str) -> bool:
-    """Stricter test for place names, which share long endings: one wrong or swapped letter."""
-    return N.token_errors(a, b) <= 1.0
+    """Stricter test for place names, which share long endings: the ratio of one wrong or swapped letter."""
+    (sound_a, spell_a), (sound_b, spell_b) = a.split("|"), b.split("|")
+    return any(N.ratio(x, y) >= 1 - 2 / max(2, len(x) + len(y)) - 1e-9 for x, y in ((sound_a, sound_b), (spell_a, spell_b)))
 
 
-def suffix_keys(tokens: DataFrame, length: int = MIN_SUFFIX) -> DataFrame:
-    """(token, key): the first letters of every suffix of at least ``length``, of both forms of a token; shorter ones whole."""
-    forms = tokens.select("*", F.explode(F.array_distinct(F.split("token", r"\|"))).alias("form"))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("form") - (length - 1), F.lit(1)))
-    return forms.select(
-        *tokens.columns, F.explode(F.transform(starts, lambda i: F.substring(F.col("form"), i, F.lit(length)))).alias("key")
-    ).distinct()
+def suffix_keys(tokens: DataFrame) -> DataFrame:
+    """The columns of ``tokens`` with (key, before): whole suffixes of both forms of a token and the letters before them.
+
+    Suffixes have at least MIN_SUFFIX letters, one less for tokens of less than SHORT_TOKEN; a token shorter than
+    that is its only suffix. They are taken of a form, of the form without its last CUT_LETTERS, and of the
+    form read backwards (marked ``<``). One slip leaves the end before or behind it, and so do two
+    unless they are near both ends and neither within the letters cut.
+    """
+    forms = tokens.select("*", F.explode(F.array_distinct(F.split("token", r"\|"))).alias("form")).withColumn("size", F.length("form"))
+    least = F.when(F.col("size") < SHORT_TOKEN, MIN_SUFFIX - 1).otherwise(MIN_SUFFIX)
+
+    def suffixes(form, mark: str):
+        starts = F.sequence(F.lit(1), F.greatest(F.length(form) - least + 1, F.lit(1)))
+        one = lambda i: F.struct(
+            F.concat(F.lit(mark), F.substring(form, i, F.length(form))).alias("key"), F.reverse(F.substring(F.reverse(F.substring(form, F.lit(1), i - 1)), 1, 3)).alias("before")
+        )
+        return F.transform(starts, one)
+
+    cuts = [F.when(F.col("size") - k >= least, suffixes(F.substring(F.col("form"), F.lit(1), F.col("size") - k), "")) for k in CUT_LETTERS[1:]]
+    every = F.flatten(F.array_compact(F.array(suffixes(F.col("form"), ""), suffixes(F.reverse("form"), "<"), *cuts)))
+    return forms.select(*tokens.columns, F.inline(every)).distinct()
 
 
 def _refined(keyed: DataFrame, common_key: int) -> DataFrame:
-    """Keys with too many tokens are refined with the token's start and with the tax id's."""
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    marked = keyed.join(sizes, "key")
+    """(token, side, key): keys with too many tokens refined, those that still have too many discarded.
+
+    A common suffix goes with what is left of the three letters before it when one or two of them are lost,
+    as in two tokens that differ there only, and with the tax id. Tokens that agree further share a longer
+    suffix as well.
+    """
+
+    def sized(df: DataFrame) -> DataFrame:
+        return df.join(df.groupBy("key").agg(F.count_distinct("token").alias("n")), "key")
+
+    marked = sized(keyed)
     fine = marked.filter(F.col("n") <= common_key).select("token", "side", "key")
+    letter = [F.substring("before", i, 1) for i in (1, 2, 3)]
+    left = [F.concat(letter[0], letter[1]), F.concat(letter[0], letter[2]), F.concat(letter[1], letter[2]), *letter]
     refined = marked.filter(F.col("n") > common_key).select(
-        "token",
-        "side",
+        "token", "side",
         F.explode(
-            F.array_compact(
-                F.array(
-                    F.concat_ws("^", "key", F.substring("token", 1, 4)),
-                    F.concat_ws("$", "key", F.substring(F.substring_index("token", "|", 1), -4, 4)),
-                    F.when(F.col("field").isNotNull(), F.concat_ws("#", "key", "field")),
-                )
-            )
+            F.array_distinct(F.array_compact(F.array(*[F.concat_ws("~", "key", x) for x in left], F.when(F.col("field").isNotNull(), F.concat_ws("#", "key", "field")))))
         ).alias("key"),
-    )
-    return fine.unionByName(refined).distinct()
+    ).distinct()
+    return fine.unionByName(sized(refined).filter(F.col("n") <= common_key).select("token", "side", "key")).distinct()
 
 
-def similar_tokens(tokens: DataFrame, similar: Callable[[str, str], bool], min_suffix: int = MIN_SUFFIX, common_key: int = COMMON_KEY) -> DataFrame:
+def similar_tokens(tokens: DataFrame, similar: Callable[[str, str], bool], common_key: int = COMMON_KEY) -> DataFrame:
     """(a, b) of similar distinct tokens of sides 0 and 1, or of one table with itself (side null: a <= b).
 
-    ``tokens`` has token, side and field (a start of the tax id for refining, or null).
+    ``tokens`` has token, side and field (a start of the tax id for refining, or null). A key holds at most
+    ``common_key`` tokens, so no task ever compares more than that many with each other.
     """
-    keyed = cut(_refined(suffix_keys(tokens, min_suffix), common_key))
+    keyed = cut(_refined(suffix_keys(tokens), common_key))
     two_sided = F.col("l.side").isNotNull()
     joined = keyed.alias("l").join(keyed.alias("r"), "key").filter(
-        F.when(two_sided, (F.col("l.side") == 0) & (F.col("r.side") == 1)).otherwise(F.col("l.token") <= F.col("r.token"))
+        F.when(two_sided, (F.col("l.side") == 0) & (F.col("r.side") == 1)).otherwise(F.col("l.token") < F.col("r.token"))
     )
     pairs = joined.select(F.col("l.token").alias("a"), F.col("r.token").alias("b")).distinct()
 
@@ -228,7 +258,9 @@ def similar_tokens(tokens: DataFrame, similar: Callable[[str, str], bool], min_s
             keep = [a == b or similar(a, b) for a, b in zip(batch["a"], batch["b"], strict=True)]
             yield batch[keep]
 
-    return pairs.mapInPandas(run, "a string, b string")
+    found = pairs.mapInPandas(run, "a string, b string")
+    same = tokens.filter("side is null").select(F.col("token").alias("a"), F.col("token").alias("b")).distinct()
+    return found.unionByName(same)
 
 
 def _first_agrees(a: str, b: str) -> bool:
@@ -258,11 +290,11 @@ def same_contractor(x: tuple, y: tuple) -> bool:
     return kind_x == "company" or (_first_agrees(first_x, first_y) and (near or bool(first_x) and bool(first_y)))
 
 
-def contractor_pairs(aliases: DataFrame, id_column: str, vat_column: str, name_column: str) -> DataFrame:
-    """(key_a, key_b), key_a < key_b: each pair of rows that name the same contractor.
+def contractor_classes(aliases: DataFrame, id_column: str, vat_column: str, name_column: str, common_key: int = COMMON_KEY) -> tuple[DataFrame, DataFrame]:
+    """(id, class_id) of the rows whose name tells something, and (class_a, class_b) of classes that name one contractor.
 
-    Rows with a null or empty name, or one without any telling word, have no pair. Equal rows are
-    paired like variants; two rows of equal id are not a pair. An empty table gives none.
+    Rows with equal fields (telling token, first name, kind, tax id) are one class, named by its least id;
+    only classes are compared.
     """
     rows = aliases.select(F.col(id_column).cast("long").alias("id"), F.col(vat_column).cast("string").alias("vat"), F.col(name_column).alias("name"))
     common = trade_words(rows)
@@ -275,12 +307,21 @@ def contractor_pairs(aliases: DataFrame, id_column: str, vat_column: str, name_c
             found = pd.DataFrame([f for f in fields if f is not None], columns=["token", "first", "kind"])
             yield pd.concat([out, found], axis=1)
 
-    parsed = cut(rows.filter("name is not null").mapInPandas(parse, "id long, vat string, token string, first string, kind string"))
-    tokens = parsed.select("token", F.lit(None).cast("int").alias("side"), F.substring("vat", 1, 5).alias("field")).distinct()
-    pairs = similar_tokens(tokens, tokens_similar)
-    left = parsed.select(*[F.col(c).alias(f"{c}_a") for c in ("id", "vat", "first", "kind")], F.col("token").alias("a"))
-    right = parsed.select(*[F.col(c).alias(f"{c}_b") for c in ("id", "vat", "first", "kind")], F.col("token").alias("b"))
-    meet = pairs.join(left, "a").join(right, "b").filter((F.col("id_a") != F.col("id_b")) & ((F.col("a") != F.col("b")) | (F.col("id_a") < F.col("id_b"))))
+    parsed = cut(rows.filter("name is not null and id is not null").mapInPandas(parse, "id long, vat string, token string, first string, kind string"))
+    fields = ["vat", "token", "first", "kind"]
+    classes = cut(parsed.groupBy(*fields).agg(F.min("id").alias("class_id")))
+    tokens = classes.select("token", F.lit(None).cast("int").alias("side"), F.substring("vat", 1, 5).alias("field")).distinct()
+    pairs = similar_tokens(tokens, tokens_similar, common_key)
+    # a token of many classes is compared in pieces of HOT_TOKEN
+    hot = classes.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / HOT_TOKEN).cast("int").alias("pieces")).filter("pieces > 1")
+    split = classes.join(hot, "token", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("class_id", "vat", "first", "kind")] + [F.col("token").alias(x)]
+    left = split.select(*side("a"), F.pmod(F.xxhash64("class_id"), F.col("pieces")).cast("int").alias("piece"))
+    every = split.select("token", "pieces").distinct().select(F.col("token").alias("a"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+    meet = (
+        pairs.join(every, "a").join(left, ["a", "piece"]).join(split.select(*side("b")), "b")
+        .filter((F.col("class_id_a") != F.col("class_id_b")) & ((F.col("a") != F.col("b")) | (F.col("class_id_a") < F.col("class_id_b"))))
+    )
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -290,10 +331,40 @@ def contractor_pairs(aliases: DataFrame, id_column: str, vat_column: str, name_c
                     batch["first_a"], batch["kind_a"], batch["vat_a"], batch["first_b"], batch["kind_b"], batch["vat_b"], strict=True
                 )
             ]
-            yield batch.loc[keep, ["id_a", "id_b"]]
+            yield batch.loc[keep, ["class_id_a", "class_id_b"]]
+
+    judged = meet.mapInPandas(judge, "class_id_a long, class_id_b long")
+    links = judged.select(F.least("class_id_a", "class_id_b").alias("class_a"), F.greatest("class_id_a", "class_id_b").alias("class_b")).distinct()
+    # within a class only the rows' own fields speak, as between two classes with equal ones
+    whole = classes.filter((F.col("kind") == "company") | (F.col("vat") != "") | (F.col("first") != "")).select("class_id")
+    member = parsed.alias("p").join(classes.alias("c"), [F.col(f"p.{f}").eqNullSafe(F.col(f"c.{f}")) for f in fields]).select(F.col("p.id").alias("id"), "class_id")
+    return member.join(whole.withColumn("whole", F.lit(True)), "class_id", "left").select("id", "class_id", F.coalesce("whole", F.lit(False)).alias("whole")), links
+
+
+def contractor_pairs(aliases: DataFrame, id_column: str, vat_column: str, name_column: str, common_key: int = COMMON_KEY) -> DataFrame:
+    """(key_a, key_b), key_a < key_b: each pair of rows that name the same contractor.
+
+    Rows with a null or empty name, or one without any telling word, have no pair. Equal rows are
+    paired like variants; two rows of equal id are not a pair. An empty table gives none.
+    """
+    member, links = contractor_classes(aliases, id_column, vat_column, name_column, common_key)
+    member = cut(member)
+    inside = member.filter("whole").select(F.col("id").alias("key_a"), "class_id").join(member.select(F.col("id").alias("key_b"), "class_id"), "class_id")
+    a, b = member.select(F.col("id").alias("key_a"), F.col("class_id").alias("class_a")), member.select(F.col("id").alias("key_b"), F.col("class_id").alias("class_b"))
+    across = links.join(a, "class_a").join(b, "class_b").filter("key_a != key_b")
+    both = inside.filter("key_a < key_b").select("key_a", "key_b").unionByName(across.select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b")))
+    return both.distinct()
 
-    judged = meet.mapInPandas(judge, "id_a long, id_b long")
-    return judged.select(F.least("id_a", "id_b").alias("key_a"), F.greatest("id_a", "id_b").alias("key_b")).distinct()
+
+def contractor_members(aliases: DataFrame, id_column: str, vat_column: str, name_column: str) -> DataFrame:
+    """(id, class_id, n_links): each row's class of equal records and how many other classes name its contractor.
+
+    Rows with a null or empty name, or one without any telling word, are in no class. The size of the result
+    is that of the table, however many rows a contractor has.
+    """
+    member, links = contractor_classes(aliases, id_column, vat_column, name_column)
+    ends = links.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))
+    return member.select("id", "class_id").join(ends, "class_id", "left").select("id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 _NOTE = re.compile(r"\([^()]*\)")
@@ -379,7 +450,7 @@ def organisation_links(
     typed = cut(rows.select("name").distinct().mapInPandas(split_typed, "name string, token string, others array<string>"))
     no_field = F.lit(None).cast("string").alias("field")
     tokens = known.select("token", F.lit(0).alias("side"), no_field).unionByName(typed.select("token", F.lit(1).alias("side"), no_field)).distinct()
-    pairs = similar_tokens(tokens, places_similar, MIN_PLACE_SUFFIX)
+    pairs = similar_tokens(tokens, places_similar)
     meet = pairs.join(known.withColumnRenamed("token", "a"), "a").join(typed.withColumnRenamed("token", "b"), "b")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -392,10 +463,8 @@ def organisation_links(
             yield out[out["score"] >= least_kind - 0.2]
 
     judged = meet.mapInPandas(judge, "name string, org_id long, registered string, score double")
-    best = judged.groupBy("name", "org_id", "registered").agg(F.max("score").alias("score")).groupBy("name").agg(
-        F.max_by(F.struct("org_id", "registered"), "score").alias("best"), F.sort_array(F.collect_list("score"), False).alias("scores")
-    )
-    clear = best.filter(
-        (F.element_at("scores", 1) >= least_kind) & (F.coalesce(F.try_element_at("scores", F.lit(2)), F.lit(-1.0)) < F.element_at("scores", 1))
-    ).select("name", F.col("best.org_id").alias("org_id"), F.col("best.registered").alias("registered"))
+    scored = judged.groupBy("name", "org_id", "registered").agg(F.max("score").alias("score"))
+    best = scored.groupBy("name").agg(F.max_by(F.struct("org_id", "registered"), "score").alias("best"), F.max("score").alias("top"))
+    equal = scored.join(best, "name").filter(F.col("score") == F.col("top")).groupBy("name").agg(F.count(F.lit(1)).alias("n_equal"))
+    clear = best.join(equal, "name").filter((F.col("top") >= least_kind) & (F.col("n_equal") == 1)).select("name", F.col("best.org_id").alias("org_id"), F.col("best.registered").alias("registered"))
     return rows.join(clear, "name").filter(F.col("name") != F.col("registered")).select(F.col("org_id").alias("key_a"), F.col("row_id").alias("key_b"))

@@ -72,3 +72,41 @@ def test_organisations(spark):
     acts = spark.createDataFrame([(k, v[0], "x") for k, v in typed.items()], "row_id long, `org.value` string, org_id string")
     got = {r.key_b: r.key_a for r in V.organisation_links(registry, "org_id", "name", acts, "row_id", "org.value").collect()}
     assert got == {k: v[1] for k, v in typed.items() if v[1] is not None}
+
+
+def test_slips_anywhere_meet_under_a_whole_suffix(spark):
+    import random
+
+    rnd, base = random.Random(4), ["georgakis", "karagianis", "papadopulos", "vasilakopulos", "maniatis", "konstadinidis"]
+    pairs = []
+    for w in base:
+        for i in range(len(w)):
+            pairs.append((w, w[:i] + ("x" if w[i] != "x" else "q") + w[i + 1 :]))
+            if len(w) >= 11:
+                j = rnd.randrange(len(w) // 2)
+                v = pairs[-1][1]
+                pairs.append((w, v[:j] + "y" + v[j + 1 :]))
+    named = [(f"{a}|{a}", f"{b}|{b}") for a, b in pairs]
+    rows = sorted({x for p in named for x in p})
+    tokens = spark.createDataFrame([(x, None, None) for x in rows], "token string, side int, field string")
+    met = {frozenset((r.a, r.b)) for r in V.similar_tokens(tokens, V.tokens_similar).collect()}
+    wanted = [p for p in named if V.tokens_similar(*p)]
+    assert len(wanted) > 60 and all(frozenset(p) in met for p in wanted)
+
+
+def test_common_suffixes_are_refined_before_they_go(spark):
+    rows = [f"{a}{b}{c}stopulos" for a in "bdgklmnprt" for b in "aeiou" for c in "klmn"]
+    tokens = spark.createDataFrame([(f"{x}|{x}", None, None) for x in rows], "token string, side int, field string")
+    same = lambda a, b: V.token_ratio(a, b) >= 1 - 1 / 11 - 1e-9
+    want = {frozenset((f"{x}|{x}", f"{y}|{y}")) for x in rows for y in rows if same(f"{x}|{x}", f"{y}|{y}")}
+    got = {frozenset((r.a, r.b)) for r in V.similar_tokens(tokens, same, 60).collect()}
+    assert got == want
+
+
+def test_members_have_one_row_each(spark):
+    rows = [(1, None, "ΡΟΜΠΟΛΟΜΗΧΑΡΑΣ ΜΕΤΑΦΟΡΕΣ Α.Ε."), (2, None, "ΜΕΤΑΦΟΡΕΣ ΡΟΜΠΟΛΟΜΗΧΑΡΑΣ"), (3, None, "ΡΟΜΠΟΛΟΜΗΧΑΡΑΣ ΜΕΤΑΦΟΡΕΣ Α.Ε."), (4, None, None)]
+    filler = [(1000 + i, None, f"ΖΖΖΞΞΨ{chr(913 + i)}ΨΩΡΤΛ{chr(913 + i)}ΘΦ {TRADES[i % 3]}") for i in range(15)]
+    df = spark.createDataFrame([(*r, "c", "k") for r in rows + filler], ALIAS)
+    got = {r.id: (r.class_id, r.n_links) for r in V.contractor_members(df, "alias_id", "vat", "canonical_name").collect()}
+    assert got[1] == got[3] == (1, 0) or got[1][0] == got[3][0]
+    assert 4 not in got and len(got) == 18
