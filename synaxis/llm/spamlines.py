@@ -3,9 +3,12 @@
 A text is cut into lines (and long lines into pieces); every piece becomes one symbol per feature:
 links, tags, function words, sentence end, separators, repetition. A hidden Markov model with the
 states prose, link list, tag list and menu (keyword and product lines) labels the sequence, so a short
-piece takes its label from its neighbours. The model starts from a prior and is trained on the whole
-corpus by expectation-maximisation; expected counts are summed per batch, so only tables of a few
-hundred numbers leave the tasks. A page is flagged by the share of its words outside prose.
+piece takes its label from its neighbours. Function words are learned from the corpus, by how many texts
+they stand in and how little of each they make up; for languages it does not know, very short words
+stand in for them. The model starts from a prior, whose weight is a share of the corpus, and is trained
+on all of it by expectation-maximisation until it stands still; expected counts are summed per
+partition, so only tables of a few hundred numbers leave the tasks. A page is flagged by the share of
+its words outside prose.
 """
 
 from __future__ import annotations
@@ -25,21 +28,18 @@ from synaxis.session import cut
 
 STATES = ("prose", "links", "tags", "menu")
 PIECE_WORDS = 16
-ROUNDS = 3
-PRIOR_WEIGHT = 200.0
+MAX_ROUNDS = 12
+STILL = 0.005
+PRIOR_SHARE = 0.05
 THRESHOLD = 0.6
 
-# Frequent function words of the corpus' languages.
-FUNCTION_WORDS = frozenset(
-    """
-    the a an is was were are to of and that this for with it has have not but so on at by from will would which who
-    nobody my i you we they if than too very after before please
-    die das den dem des ein eine einen einem einer und ist war nicht zu mit auf für von hat haben wird dass sich ich wir
-    sie es bei nach aus wie noch unser mein wenn oder bitte niemand zum zur vor am
-    και να το του της την τον τη στο στη στην στον με για που πως δεν θα είναι ήταν από ότι μια ένα ένας ο η οι τα τις
-    τους σε αν μη μας σας πολύ κανείς αλλά όμως γι μετά πριν πρώτα χωρίς
-    """.split()
-)
+SHORT_WORD = 3
+FUNCTION_WORD = 5
+SPREAD_SHARE = 0.03
+SPREAD_LEAST = 30
+EVEN_SHARE = 0.05
+MOST_SHARE = 0.06
+LONG_TEXT = 30
 
 _BREAK = re.compile(r"\n|<br\s*/?>|</?p\b[^>]*>|</?div\b[^>]*>|</?li\b[^>]*>|</?blockquote\b[^>]*>|\[/?quote[^\]]*\]", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?;…])\s+")
@@ -58,12 +58,12 @@ class Piece:
     words: int
 
 
-def _bucket(share: float, low: float) -> int:
-    return 0 if share <= 0 else 1 if share < low else 2
+def _bucket(share: float, *bounds: float) -> int:
+    return 0 if share <= 0 else 1 + sum(share >= b for b in bounds)
 
 
-def pieces(text: str | None) -> list[Piece]:
-    """The pieces of a text with their feature symbols; none for null, empty or wordless texts."""
+def spans_of(text: str | None) -> list[tuple[str, list[str]]]:
+    """The pieces of a text with their words in lower case; none for null, empty or wordless texts."""
     if not text:
         return []
     clean = html.unescape(text).replace("\u00a0", " ").replace("\u00ad", "").replace("\u200b", "")
@@ -83,23 +83,35 @@ def pieces(text: str | None) -> list[Piece]:
                     part, words = [], []
             if words:
                 spans.append((" ".join(part), words))
+    return spans
+
+
+def pieces(text: str | None, learned: frozenset[str] = frozenset()) -> list[Piece]:
+    """The pieces of a text with their feature symbols.
+
+    Function words are the ``learned`` ones and others of up to SHORT_WORD letters, unless in a text of LONG_TEXT
+    words or more a learned one makes up more than MOST_SHARE of it or another more than EVEN_SHARE.
+    """
+    spans = spans_of(text)
     often = Counter(w for _, words in spans for w in words)
+    total = sum(often.values())
+    most, even = (MOST_SHARE * total, EVEN_SHARE * total) if total >= LONG_TEXT else (total, total)
+    function = {w for w, k in often.items() if (k <= most if w in learned else len(w) <= SHORT_WORD and w.isalpha() and k <= even)}
     out = []
     for span, words in spans:
         n = len(words)
         link_words = sum(len(_WORD.findall(m)) for m in _LINK.findall(span))
         tag_words = sum(len(_WORD.findall(m)) for m in _TAG.findall(span))
-        function = sum(w in FUNCTION_WORDS for w in words)
-        repeated = sum(often[w] >= 4 and w not in FUNCTION_WORDS for w in words)
-        function_symbol = 3 if n < 4 and not function else _bucket(function / n, 0.12)
+        n_function = sum(w in function for w in words)
+        repeated = sum(often[w] >= 4 and w not in function for w in words)
         out.append(
             Piece(
                 (
                     _bucket(link_words / n, 0.3),
                     _bucket(tag_words / n, 0.3),
-                    function_symbol,
+                    3 if n < 4 and not n_function else _bucket(n_function / n, 0.12),
                     int(span[-1:] in ".!?;:…"),
-                    int("|" in span),
+                    int("|" in span.lstrip("|> ")),  # at the start it marks a quote
                     0 if repeated / n < 0.25 else 1 if repeated / n < 0.6 else 2,
                 ),
                 n,
@@ -108,6 +120,38 @@ def pieces(text: str | None) -> list[Piece]:
     return out
 
 
+def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(word, n, share): texts of a partition that hold a short enough word, and the sum of its shares of them."""
+    n: Counter[str] = Counter()
+    share: Counter[str] = Counter()
+    for batch in batches:
+        for text in batch["text"]:
+            words = Counter(w for _, words in spans_of(text) for w in words)
+            total = sum(words.values())
+            if total < LONG_TEXT:
+                continue
+            for w, k in words.items():
+                if len(w) <= FUNCTION_WORD and w.isalpha():
+                    n[w] += 1
+                    share[w] += k / total
+        if len(n) > 500_000:
+            yield pd.DataFrame({"word": list(n), "n": list(n.values()), "share": [share[w] for w in n]})
+            n, share = Counter(), Counter()
+    if n:
+        yield pd.DataFrame({"word": list(n), "n": list(n.values()), "share": [share[w] for w in n]})
+
+
+def function_words(texts: DataFrame) -> frozenset[str]:
+    """Words of up to FUNCTION_WORD letters in many of the texts (column text) that on average make up little of them.
+
+    Many are SPREAD_SHARE of the texts of LONG_TEXT words or more, and at least SPREAD_LEAST; so there are at
+    most (short words in a text) / SPREAD_SHARE of them, some thousands, in a corpus of any size.
+    """
+    found = texts.mapInPandas(_spread, "word string, n long, share double").groupBy("word").agg(F.sum("n").alias("n"), F.sum("share").alias("share"))
+    frequent = found.filter((F.col("n") >= SPREAD_LEAST) & (F.col("share") <= EVEN_SHARE * F.col("n"))).filter(F.col("n") >= SPREAD_SHARE * texts.count())
+    return frozenset(r.word for r in frequent.select("word").collect())
+
+
 def _table(rows: list[list[float]]) -> np.ndarray:
     a = np.array(rows, dtype=float)
     return a / a.sum(axis=1, keepdims=True)
@@ -210,35 +254,37 @@ def _expect(model: dict):
     return run
 
 
-def train(sequences: DataFrame, rounds: int = ROUNDS) -> dict:
-    """Expectation-maximisation over all sequences, held near the prior by its pseudo-counts.
+def train(sequences: DataFrame, max_rounds: int = MAX_ROUNDS) -> dict:
+    """Expectation-maximisation over all sequences, held near the prior by PRIOR_SHARE of as many counts as they have.
 
-    ``sequences`` has one row per distinct symbol sequence with the number of texts that have it.
+    ``sequences`` has one row per distinct symbol sequence with the number of texts that have it. Rounds go on
+    until no probability moves by more than STILL.
     """
     base = prior()
     model = base
-    for _ in range(rounds):
+    size = sequences.agg(F.coalesce(F.sum(F.size("symbols") * F.col("times")), F.lit(0)).alias("n"), F.coalesce(F.sum("times"), F.lit(0)).alias("k")).first()
+    weight, weight_start = max(1.0, PRIOR_SHARE * size.n / len(WIDTHS)), max(1.0, PRIOR_SHARE * size.k)
+    for _ in range(max_rounds):
         sums = sequences.mapInPandas(_expect(model), "part int, i int, j int, value double")
         counts = sums.groupBy("part", "i", "j").agg(F.sum("value").alias("value")).collect()  # under 200 numbers
-        tables = [PRIOR_WEIGHT * np.asarray(e) for e in base["emit"]]
-        tables += [PRIOR_WEIGHT * np.asarray(base["move"]), PRIOR_WEIGHT * np.asarray([base["start"]])]
+        tables = [weight * np.asarray(t) for t in (*base["emit"], base["move"])] + [weight_start * np.asarray([base["start"]])]
         for r in counts:
             tables[r.part][r.i, r.j] += r.value
         tables = [t / t.sum(axis=1, keepdims=True) for t in tables]
+        before = [np.asarray(t) for t in (*model["emit"], model["move"], [model["start"]])]
         model = {"emit": [t.tolist() for t in tables[:-2]], "move": tables[-2].tolist(), "start": tables[-1][0].tolist()}
+        if max(float(np.abs(a - b).max()) for a, b in zip(before, tables, strict=True)) < STILL:
+            break
     return model
 
 
-def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found = batch["text"].map(pieces)
-        yield pd.DataFrame(
-            {
-                "id": batch["id"],
-                "symbols": found.map(lambda ps: [s for p in ps for s in p.symbols]),
-                "words": found.map(lambda ps: [p.words for p in ps]),
-            }
-        )
+def _features(learned: frozenset[str]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [pieces(t, learned) for t in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"], "symbols": [[s for p in ps for s in p.symbols] for ps in found], "words": [[p.words for p in ps] for ps in found]})
+
+    return run
 
 
 def _label(model: dict):
@@ -263,7 +309,7 @@ def line_shares(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """
     src = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).filter("text is not null")
     id_type = src.schema["id"].dataType.simpleString()
-    pieced = cut(src.mapInPandas(_features, f"id {id_type}, symbols array<int>, words array<int>").filter(F.size("words") > 0))
+    pieced = cut(src.mapInPandas(_features(function_words(src.select("text"))), f"id {id_type}, symbols array<int>, words array<int>").filter(F.size("words") > 0))
     sequences = pieced.groupBy("symbols").agg(F.count(F.lit(1)).alias("times"))
     model = train(cut(sequences))
     out = pieced.mapInPandas(_label(model), f"id {id_type}, " + ", ".join(f"{s} double" for s in STATES))

@@ -26,6 +26,35 @@ def test_kinds(spark):
     assert abs(sum(got[n][s] for s in P.STATES) - 1) < 1e-9
 
 
+ORDINARY = [
+    "El viejo vecino me dijo esta mañana que la tetera del tejado era demasiado estrecha. No me fiaría de una bomba barata, pero detrás de la casa funciona bien. Ayer por la tarde fuimos al mercado con mi hermana y compramos pan y queso para la cena.",
+    "Il vecchio proprietario mi ha detto questa mattina che il bollitore sul tetto era stretto. Non mi fiderei di una pompa a buon mercato, ma dietro la casa funziona bene. Ieri sera siamo andati al mercato con mia sorella e abbiamo comprato pane e formaggio per la cena.",
+    "Vanha omistaja kertoi minulle tänä aamuna, että katolla oleva kattila oli kapea. En luottaisi halpaan pumppuun, mutta talon takana se toimii hyvin. Eilen illalla menimme torille siskoni kanssa ja ostimme leipää ja juustoa.",
+]
+
+
+def test_languages_the_corpus_does_not_know(spark, data):
+    corpus = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").select("text").collect()]
+    texts = ORDINARY + [t.replace(". ", "\n") for t in ORDINARY[:2]] + ["neumáticos baratos oferta envío gratis comprar zapatos descuento " * 12]
+    got = shares(spark, texts + corpus)
+    assert all(got[i].prose > 0.9 for i in range(5)) and got[5].prose < 0.1
+
+
+def test_function_words_are_spread_and_even(spark):
+    nouns = ["kettle", "ladder", "router", "window", "garden", "basket", "bottle", "candle"]
+    texts = [f"the {nouns[i % 8]} and the {nouns[(i + 3) % 8]} of my aunt {i} " * 4 for i in range(60)] + ["buy loan " * 30] * 40
+    df = spark.createDataFrame([(t,) for t in texts] + [("the the",)], "text string")
+    found = P.function_words(df)
+    assert "buy" not in found and "loan" not in found and "kettle" not in found
+    assert P.function_words(df.filter("false")) == frozenset()
+
+
+def test_quoted_lines_are_prose(spark):
+    quoted = "We read this before.\n" + "\n".join("| " + x for x in PROSE.split(". "))
+    got = shares(spark, [PROSE] * 10 + [quoted, PRODUCTS, KEYWORDS])
+    assert got[10].prose > 0.9 and got[11].prose < 0.1
+
+
 def test_no_texts(spark):
     assert shares(spark, []) == {}
 
