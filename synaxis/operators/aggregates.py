@@ -56,21 +56,21 @@ def direct_share(auctions: DataFrame) -> DataFrame:
 def concentration(contracts: DataFrame, minimum: int = 10) -> DataFrame:
     """Per organisation and year: how far value is concentrated on single contractors.
 
-    Two levels: values per contractor first (partly aggregated before the shuffle), then squares
-    of shares. Groups whose total is not positive have no row.
+    Two levels of partial aggregation: values per contractor first, then their sum, sum of squares and
+    maximum, which give the squared shares. Groups whose total is not positive have no row.
     """
     rows = by_group(contracts, "vat").filter("member.vat is not null and value is not null")
     per = rows.groupBy("vat", "year", F.col("member.vat").alias("c")).agg(
         F.sum("value").alias("v"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_members") > 1).alias("multi")
     )
-    total = F.sum("v").over(Window.partitionBy("vat", "year"))
-    share = F.col("v") / F.col("total")
-    out = per.withColumn("total", total).filter("total > 0").groupBy("vat", "year").agg(
+    total, squares, most = F.sum("v"), F.sum(F.col("v") * F.col("v")), F.max("v")
+    out = per.groupBy("vat", "year").agg(
         F.sum("n").alias("n_contracts"),
-        F.round(F.sum(share * share), 4).alias("hhi"),
-        F.round(F.max(share), 4).alias("top1_share"),
+        total.alias("total"),
+        F.round(F.try_divide(squares, total * total), 4).alias("hhi"),
+        F.round(F.try_divide(most, total), 4).alias("top1_share"),
         F.sum("multi").alias("n_multi"),
-    )
+    ).filter("total > 0")
     enough = F.col("n_contracts") >= minimum
     return out.select(
         "vat", "year", "n_contracts",
@@ -103,33 +103,36 @@ def single_bids(contracts: DataFrame, since: int = 202504, most: float = 100.0,
 def digit_tests(payments: DataFrame, minimum: int = 300) -> DataFrame:
     """First and second digits of amounts against the logarithmic law, per year and over all years.
 
-    Counts come from grouping sets over (organisation, year, digit); digits that do not occur are
-    filled from the table of expected shares.
+    One pass counts the rows by (organisation, year, both digits); the few counts are then added up per
+    year and over all years, one column for each digit, and tested in place.
     """
-    rows = by_group(payments, "vat").withColumn("ok", F.col("value") > 0)
-    sizes = rows.cube("year", "vat").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if("ok").alias("n_amounts"),
-        F.count_if(F.col("ok") & (F.col("value") >= 10)).alias("n2"), F.grouping_id("year", "vat").alias("g"),
-    ).filter(F.col("g").isin(0, 2)).withColumn("period", F.when(F.col("g") == 0, F.col("year").cast("string")).otherwise("all"))
+    v = F.col("value")
+    keyed = by_group(payments, "vat").select(
+        "vat", "year", (v > 0).alias("ok"), (v >= 10).alias("two"), F.when(v > 0, S.first_digit(v)).alias("d1"), S.first_two_second_digit(v).alias("d2")
+    )
+    counts = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
     e1 = {d: math.log10(1 + 1 / d) for d in range(1, 10)}
     e2 = {d: sum(math.log10(1 + 1 / (10 * k + d)) for k in range(1, 10)) for d in range(10)}
 
-    def test(digit: Column, expected: dict[int, float], of: str, name: str) -> DataFrame:
-        seen = rows.filter("ok").select("vat", "year", digit.alias("d")).filter("d is not null")
-        counts = seen.groupBy("vat", "year", "d").agg(F.count(F.lit(1)).alias("n"))
-        both = counts.select("vat", F.col("year").cast("string").alias("period"), "d", "n").unionByName(
-            counts.groupBy("vat", "d").agg(F.sum("n").alias("n")).select("vat", F.lit("all").alias("period"), "d", "n")
-        )
-        digits = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(p).alias("p")) for d, p in expected.items()])
-        grid = sizes.filter(F.col(of) >= minimum).select("vat", "period", F.col(of).alias("total"), F.inline(digits))
-        diff = F.coalesce(F.col("n"), F.lit(0)) / F.col("total") - F.col("p")
-        return grid.join(both, ["vat", "period", "d"], "left").groupBy("vat", "period").agg(
-            F.round(F.avg(F.abs(diff)), 5).alias(f"mad_{name}"), F.round(F.sum(diff * diff / F.col("p")) * F.max("total"), 2).alias(f"chi2_{name}")
+    def sum_if(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    periods = counts.withColumn("period", F.explode(F.array(F.col("year").cast("string"), F.lit("all")))).groupBy("vat", "period").agg(
+        F.sum("n").alias("n_rows"), sum_if(F.col("ok")).alias("n_amounts"), sum_if(F.col("two")).alias("n2"),
+        F.array(*[sum_if(F.col("d1") == d) for d in e1]).alias("c1"), F.array(*[sum_if(F.col("d2") == d) for d in e2]).alias("c2"),
+    )
+
+    def test(seen: str, of: str, expected: dict[int, float]) -> tuple[Column, Column]:
+        enough = F.col(of) >= minimum
+        off = F.zip_with(seen, F.array(*[F.lit(p) for p in expected.values()]), lambda n, p: F.struct((n / F.col(of) - p).alias("x"), p.alias("p")))
+        total = lambda f: F.aggregate(F.transform(off, f), F.lit(0.0), lambda a, x: a + x)
+        return (
+            F.when(enough, F.round(total(lambda e: F.abs(e["x"])) / len(expected), 5)),
+            F.when(enough, F.round(total(lambda e: e["x"] * e["x"] / e["p"]) * F.col(of), 2)),
         )
 
-    d1 = test(S.first_digit(F.col("value")), e1, "n_amounts", "d1")
-    d2 = test(S.first_two_second_digit(F.col("value")), e2, "n2", "d2")
-    out = sizes.join(d1, ["vat", "period"], "left").join(d2, ["vat", "period"], "left")
+    (mad1, chi1), (mad2, chi2) = test("c1", "n_amounts", e1), test("c2", "n2", e2)
+    out = periods.withColumns({"mad_d1": mad1, "chi2_d1": chi1, "mad_d2": mad2, "chi2_d2": chi2})
     return out.select(
         "vat", "period", "n_amounts", "mad_d1", "mad_d2", "chi2_d1", "chi2_d2",
         band(F.col("mad_d1"), 0.006, 0.012, 0.015).alias("band_d1"),
@@ -161,6 +164,28 @@ def bunching(auctions: DataFrame, limit: Column, minimum: int = 5) -> DataFrame:
     )
 
 
+def bounded_quantile(df: DataFrame, keys: list[str], value: str, p: float) -> DataFrame:
+    """(keys, quantile): the exact interpolated quantile of non-null values per group.
+
+    Values are counted in bins much narrower than a doubling; only the one or two bins that hold the quantile's
+    ranks are then looked into, so a hot group's values never meet in one task.
+    """
+    v = F.col(value)
+    rows = df.filter(v.isNotNull()).select(*keys, v.alias("v"), (F.signum(v) * F.floor(F.log2(1 + F.abs(v)) * 64)).cast("long").alias("bin"))
+    bins = rows.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+    up = Window.partitionBy(*keys).orderBy("bin")
+    placed = bins.select(
+        *keys, "bin", (F.sum("n").over(up) - F.col("n")).alias("before"), F.sum("n").over(up).alias("until"), ((F.sum("n").over(Window.partitionBy(*keys)) - 1) * p).alias("at")
+    )
+    held = placed.filter((F.col("before") <= F.ceil("at")) & (F.col("until") > F.floor("at")))
+    exact = rows.join(held, [*keys, "bin"]).groupBy(*keys, "bin", "before", "at", "v").agg(F.count(F.lit(1)).alias("n"))
+    inside = Window.partitionBy(*keys, "bin").orderBy("v")
+    ranked = exact.withColumn("last", F.col("before") + F.sum("n").over(inside) - 1).withColumn("first", F.col("last") - F.col("n") + 1)
+    low, high = (F.max(F.when(F.col(f).between(F.col("first"), F.col("last")), F.col("v"))) for f in ("lo", "hi"))
+    out = ranked.withColumns({"lo": F.floor("at"), "hi": F.ceil("at")}).groupBy(*keys).agg(low.alias("low"), high.alias("high"), F.max("at").alias("at"))
+    return out.select(*keys, (F.col("low") + (F.col("high") - F.col("low")) * (F.col("at") - F.floor("at"))).alias("quantile"))
+
+
 def discounts(notices: DataFrame, auctions: DataFrame, minimum: int = 5, near: float = 1.0) -> DataFrame:
     """Awards joined to their notice by reference: how far the value lies below the estimate."""
     left = by_group(auctions, "vat").filter("notice_ref is not null and value is not null").select("vat", "year", "value", "notice_ref")
@@ -168,9 +193,8 @@ def discounts(notices: DataFrame, auctions: DataFrame, minimum: int = 5, near: f
     linked = left.join(right, "notice_ref").withColumn("pct", 100 * (F.col("estimate") - F.col("value")) / F.col("estimate"))
     out = linked.groupBy("vat", "year").agg(
         F.count(F.lit(1)).alias("n_linked"),
-        F.round(F.median("pct"), 2).alias("median"),
         F.count_if(F.abs("pct") <= near).alias("near"),
-    )
+    ).join(bounded_quantile(linked, ["vat", "year"], "pct", 0.5), ["vat", "year"]).withColumn("median", F.round("quantile", 2))
     enough = F.col("n_linked") >= minimum
     return out.select(
         "vat", "year", "n_linked",

@@ -330,9 +330,7 @@ def fn33(spark, d):
 
 @query("jn01_resolve", X.acts("auctions") + " SELECT row_id, own_vat, vat FROM auctions")
 def jn01(spark, d):
-    own = acts.auctions(spark, d, resolved=False)
-    names = acts.resolver(spark, d)
-    return acts.resolve(own.select("row_id", "org_name", "vat", F.col("vat").alias("own_vat")), names).select("row_id", "own_vat", "vat")
+    return acts.auctions(spark, d).select("row_id", "own_vat", "vat")
 
 
 @query(
@@ -418,7 +416,8 @@ def agg26(spark, d):
 )
 def win09(spark, d):
     rows = acts.auctions(spark, d).filter("vat is not null and value is not null")
-    return rows.groupBy("vat").agg(F.round(F.percentile("value", F.lit(0.99)), 4).alias("p99"), F.count("value").alias("n"))
+    caps = A.bounded_quantile(rows, ["vat"], "value", 0.99)
+    return rows.groupBy("vat").agg(F.count("value").alias("n")).join(caps, "vat").select("vat", F.round("quantile", 4).alias("p99"), "n")
 
 
 @query(
@@ -728,7 +727,7 @@ def agg16(spark, d):
     SELECT vat, name, count(*) AS n, min(year) AS first_year, max(year) AS last_year FROM t WHERE name IS NOT NULL GROUP BY 1, 2""",
 )
 def agg18(spark, d):
-    rows = acts.auctions(spark, d).select("year", F.explode(F.from_json(acts.array_text(F.col("members")), "array<struct<vatNumber:string,name:string>>")).alias("e"))
+    rows = acts.auctions(spark, d, raw=True).select("year", F.explode(F.from_json(acts.array_text(F.col("members")), "array<struct<vatNumber:string,name:string>>")).alias("e"))
     t = rows.select("year", S.normalize_vat(F.col("e.vatNumber")).alias("vat"), F.col("e.name").alias("name")).filter("name is not null")
     return t.groupBy("vat", "name").agg(F.count(F.lit(1)).alias("n"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
 
@@ -772,7 +771,7 @@ def agg20(spark, d):
     count(*) FILTER (signed IS NOT NULL AND try_cast(signed AS TIMESTAMP) IS NULL) AS bad_date, round(100.0 * sum((vat IS NULL)::INT) / count(*), 3) > 0.5 AS over_limit FROM auctions GROUP BY 1, 2""",
 )
 def agg21(spark, d):
-    rows = acts.auctions(spark, d)
+    rows = acts.auctions(spark, d, raw=True)
     n, none = F.count(F.lit(1)), F.count_if(F.col("vat").isNull())
     return rows.groupBy("year", "month").agg(
         n.alias("n"), none.alias("no_vat"),
@@ -934,9 +933,17 @@ def top01(spark, d):
     cast(row_number() OVER (PARTITION BY vat ORDER BY amount DESC, contractor) AS INT) AS rank FROM edges) WHERE rank <= 10""",
 )
 def top02(spark, d):
-    e = edges(acts.auctions(spark, d))
-    share = F.round(F.try_divide(100 * F.col("amount"), F.sum("amount").over(Window.partitionBy("vat"))), 1)
-    return W.top_k(e.withColumn("share", share), ["vat"], [F.desc("amount"), F.col("contractor")], 10).drop("n_awards")
+    return top_contractors(edges(acts.auctions(spark, d)), 10, 100, 1)
+
+
+def top_contractors(e: DataFrame, k: int, unit: int, digits: int) -> DataFrame:
+    """The first contractors of each organisation by amount, with their share of its whole amount.
+
+    Rows are pruned to the first ``k`` before they are joined with the totals.
+    """
+    top = W.top_k(e.drop("n_awards"), ["vat"], [F.desc("amount"), F.col("contractor")], k)
+    totals = e.groupBy("vat").agg(F.sum("amount").alias("total"))
+    return top.join(totals, "vat").select("vat", "contractor", "amount", F.round(F.try_divide(unit * F.col("amount"), F.col("total")), digits).alias("share"), "rank")
 
 
 @query(
@@ -1044,9 +1051,7 @@ def gr03(spark, d):
     cast(row_number() OVER (PARTITION BY vat ORDER BY amount DESC, contractor) AS INT) AS rank FROM edges) WHERE rank <= 30""",
 )
 def gr04(spark, d):
-    e = edges(acts.auctions(spark, d))
-    share = F.round(F.try_divide("amount", F.sum("amount").over(Window.partitionBy("vat"))), 4)
-    return W.top_k(e.withColumn("share", share), ["vat"], [F.desc("amount"), F.col("contractor")], 30).drop("n_awards")
+    return top_contractors(edges(acts.auctions(spark, d)), 30, 1, 4)
 
 
 @query(

@@ -71,6 +71,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def file_signature(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(files, bytes, last change) of a table's path, by which a changed table is told from an unchanged one."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return (0, 0, 0)
+    n = size = changed = 0
+    walk = fs.listFiles(target, True)
+    while walk.hasNext():
+        f = walk.next()
+        n, size, changed = n + 1, size + f.getLen(), max(changed, f.getModificationTime())
+    return (n, size, changed)
+
+
 class Cut:
     """A DataFrame written once as a Parquet table in the shared checkpoint folder.
 
@@ -86,7 +100,12 @@ class Cut:
         self._spark = spark
         df.write.partitionBy(*by).parquet(self.path) if by else df.write.parquet(self.path)
         _LEFT.append((spark, self.path))
-        self.df = spark.read.schema(df.schema).parquet(self.path)
+        self._schema = df.schema
+        self.df = self.read()
+
+    def read(self) -> DataFrame:
+        """The table as a DataFrame of its own."""
+        return self._spark.read.schema(self._schema).parquet(self.path)
 
     def drop(self) -> None:
         drop_path(self._spark, self.path)

@@ -2,28 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from synaxis.functions import scalars as S
-from synaxis.session import q, read_table
+from synaxis.session import Cut, exists, file_signature, q, read_table
 
 
 def dedupe(df: DataFrame, key: str, order: Sequence[str], keep: str = "last") -> DataFrame:
-    """One row per key, the last (or first) in ``order``; rows with a null key all survive.
+    """One row per key, the last (or first) in ``order``; rows with a null key all survive, as they are.
 
-    Null keys get a key of their own, so they never meet in one task.
+    Rows without a key take no part in the ranking, so they never meet in one task.
     """
     direction = F.desc if keep == "last" else F.asc
-    own = F.when(q(key).isNotNull(), F.concat(F.lit("k"), q(key).cast("string"))).otherwise(
-        F.concat(F.lit("n"), F.concat_ws("|", *[q(c).cast("string") for c in order]))
-    )
-    w = Window.partitionBy("__key").orderBy(*[direction(c) for c in order])
-    ranked = df.withColumn("__key", own).withColumn("__rn", F.row_number().over(w))
-    return ranked.filter((F.col("__rn") == 1) | q(key).isNull()).drop("__key", "__rn")
+    w = Window.partitionBy(q(key)).orderBy(*[direction(c) for c in order])
+    kept = df.filter(q(key).isNotNull()).withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    return kept.unionByName(df.filter(q(key).isNull()))
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -105,34 +102,63 @@ def build_resolver(counts: DataFrame, min_share: float = 0.9) -> DataFrame:
     return counts.withColumn("share", F.col("n") / total).filter(F.col("share") >= min_share).select("name", "vat")
 
 
-def resolver(spark: SparkSession, sf_dir: str, min_share: float = 0.9) -> DataFrame:
-    return build_resolver(name_counts([read_table(spark, sf_dir, t) for t in ("auction", "contract", "notice")]), min_share)
+_WRITTEN: dict[tuple[str, str, str], tuple[tuple, Cut]] = {}
+
+
+def written(spark: SparkSession, sf_dir: str, kind: str, tables: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """A table made from others once per application, kept in the shared folder, and made anew when their files change."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    signature = tuple(file_signature(spark, f"{sf_dir}/{t}.parquet") for t in tables)
+    if key not in _WRITTEN or _WRITTEN[key][0] != signature or not exists(spark, _WRITTEN[key][1].path):
+        _WRITTEN[key] = (signature, Cut(build()))
+    return _WRITTEN[key][1].read()
+
+
+NAMED = ("auction", "contract", "notice")
+
+
+def resolver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The organisations' names with their tax ids; written once, so that its true size decides how it is joined."""
+    return written(spark, sf_dir, "resolver", NAMED, lambda: build_resolver(name_counts([read_table(spark, sf_dir, t) for t in NAMED])))
 
 
 def resolve(df: DataFrame, names: DataFrame) -> DataFrame:
-    """Fill a missing ``vat`` by the exact organisation name; the own one always wins."""
-    lookup = names.select(F.col("name").alias("org_name"), F.col("vat").alias("__vat"))
-    return df.join(lookup, "org_name", "left").withColumn("vat", F.coalesce("vat", "__vat")).drop("__vat")
+    """Fill a missing ``vat`` by the exact organisation name; the own one always wins.
+
+    Only rows without a tax id look for their name. Where the join is no broadcast the others go by a hash of
+    their own instead, so that no hot name draws them together.
+    """
+    lookup = names.select(F.col("name").alias("__name"), F.col("vat").alias("__vat"))
+    by = F.when(F.col("vat").isNull(), F.col("org_name")).otherwise(F.concat(F.lit("\u0000"), F.xxhash64(*[c for c in df.columns if c in ("row_id", "vat", "org_name")]).cast("string")))
+    return df.withColumn("__by", by).join(lookup, F.col("__by") == F.col("__name"), "left").withColumn("vat", F.coalesce("vat", "__vat")).drop("__vat", "__name", "__by")
 
 
-def _base(df: DataFrame) -> list[Column]:
+def _base() -> list[Column]:
     return [
         F.col("row_id"),
         q("referenceNumber").alias("ref"),
         q("organization.value").alias("org_name"),
         S.normalize_vat(q("organizationVatNumber")).alias("vat"),
+        S.normalize_vat(q("organizationVatNumber")).alias("own_vat"),
         q("_source_year").alias("year"),
         q("_source_month").alias("month"),
         q("submissionDate").alias("submitted"),
     ]
 
 
-def auctions(spark: SparkSession, sf_dir: str, resolved: bool = True) -> DataFrame:
-    """Awards, one row per reference number, with first code and first contractor taken from the JSON."""
-    df = dedupe(read_table(spark, sf_dir, "auction"), "referenceNumber", ["row_id"])
-    out = df.select(
-        *_base(df),
-        q("title").alias("title"),
+def _clean(spark: SparkSession, sf_dir: str, table: str, columns: list[Column]) -> DataFrame:
+    """Rows of an act table in the clean shape; what is needed of the JSON texts is taken before the rows are shuffled."""
+    df = read_table(spark, sf_dir, table).select(*_base(), *columns)
+    return resolve(dedupe(df, "ref", ["row_id"]), resolver(spark, sf_dir))
+
+
+def auctions(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
+    """Awards, one row per reference number, with first code and first contractor taken from the JSON.
+
+    Without the raw JSON texts (``raw``) the table is written once.
+    """
+    members = q("contractingDataDetails.contractingMembersDataList")
+    columns = [
         q("procedureType.key").alias("proc_key"),
         q("procedureType.value").alias("proc_value"),
         q("contractType.value").alias("contract_type"),
@@ -143,45 +169,39 @@ def auctions(spark: SparkSession, sf_dir: str, resolved: bool = True) -> DataFra
         q("typeOfContractingAuthority").alias("authority"),
         q("classificationOfPublicLawOrganization.value").alias("classification"),
         q("nutsCode.key").alias("nuts_code"),
+        q("nutsCode.value").alias("nuts_name"),
         q("nutsCity").alias("nuts_city"),
-        q("objectDetailsList").alias("objects"),
-        q("contractingDataDetails.contractingMembersDataList").alias("members"),
         first_cpv(q("objectDetailsList")).alias("cpv"),
-        first_member(q("contractingDataDetails.contractingMembersDataList")).alias("member"),
-    )
-    return resolve(out, resolver(spark, sf_dir)) if resolved else out
+        first_member(members).alias("member"),
+    ]
+    if raw:
+        return _clean(spark, sf_dir, "auction", [*columns, q("objectDetailsList").alias("objects"), members.alias("members")])
+    return written(spark, sf_dir, "auctions", NAMED, lambda: _clean(spark, sf_dir, "auction", columns))
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = dedupe(read_table(spark, sf_dir, "contract"), "referenceNumber", ["row_id"])
     members = q("contractingDataDetails.contractingMembersDataList")
-    out = df.select(
-        *_base(df),
+    columns = [
         q("procedureType.key").alias("proc_key"),
         q("procedureType.value").alias("proc_value"),
         F.coalesce(q("bidsSubmitted"), q("contract.bidsSubmitted")).alias("bids"),
         act_value(q("totalCostWithoutVAT"), q("totalCostWithVAT")).alias("value"),
-        members.alias("members"),
         first_member(members).alias("member"),
         F.json_array_length(members).alias("n_members"),
-    )
-    return resolve(out, resolver(spark, sf_dir))
+    ]
+    return written(spark, sf_dir, "contracts", NAMED, lambda: _clean(spark, sf_dir, "contract", columns))
 
 
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = dedupe(read_table(spark, sf_dir, "notice"), "referenceNumber", ["row_id"])
-    estimate = F.coalesce(q("totalCostWithoutVAT"), q("totalCostWithVAT"), q("budget"))
-    out = df.select(
-        *_base(df),
+    columns = [
         q("typeOfProcedure.key").alias("proc_key"),
-        S.sanitize_value(estimate).alias("estimate"),
+        S.sanitize_value(F.coalesce(q("totalCostWithoutVAT"), q("totalCostWithVAT"), q("budget"))).alias("estimate"),
         S.to_day(q("submissionDate")).alias("submitted_day"),
         S.to_day(q("finalSubmissionDate")).alias("final_day"),
-    )
-    return resolve(out, resolver(spark, sf_dir))
+    ]
+    return written(spark, sf_dir, "notices", NAMED, lambda: _clean(spark, sf_dir, "notice", columns))
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = dedupe(read_table(spark, sf_dir, "payment"), "referenceNumber", ["row_id"])
-    out = df.select(*_base(df), S.sanitize_value(q("totalCostWithoutVAT")).alias("value"))
-    return resolve(out, resolver(spark, sf_dir))
+    columns = [S.sanitize_value(q("totalCostWithoutVAT")).alias("value")]
+    return written(spark, sf_dir, "payments", (*NAMED, "payment"), lambda: _clean(spark, sf_dir, "payment", columns))
