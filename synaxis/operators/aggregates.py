@@ -160,7 +160,7 @@ def bunching(auctions: DataFrame, limit: Column, minimum: int = 5) -> DataFrame:
     return out.select(
         "vat", "period", "n_below", "n_above",
         F.when(enough, F.round(F.try_divide("n_below", "n_above"), 3)).alias("density_ratio"),
-        F.when(~enough, F.lit(NOTE.format(n=minimum))).alias("note"),
+        F.when(~enough, F.lit(f"ανεπαρκή δεδομένα (ζώνη<{minimum})")).alias("note"),
     )
 
 

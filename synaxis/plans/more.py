@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from synaxis.functions import scalars as S
@@ -172,12 +172,40 @@ def jn14(spark, d):
     return p.join(p.groupBy("vat").agg(F.round(F.percentile("value_total", F.lit(0.99)), 4).alias("cap")), "vat")
 
 
-@query("agg27_precision", """SELECT count(*) AS n, count(*) FILTER (jw_score IS NULL) AS uncertain, round(count(*) FILTER (vat_l = vat_r) * 1.0 / nullif(count(*) - count(*) FILTER (jw_score IS NULL), 0), 6) AS precision FROM entity_resolution_matches""")
-def agg27(spark, d):
-    n, uncertain = F.count(F.lit(1)), F.count_if(F.col("jw_score").isNull())
-    return read_table(spark, d, "entity_resolution_matches").agg(
-        n.alias("n"), uncertain.alias("uncertain"), F.round(F.try_divide(F.count_if(F.col("vat_l") == F.col("vat_r")), n - uncertain), 6).alias("precision")
+def audit_label() -> tuple[Column, Column]:
+    """(label, reason) of a matched pair: a match only by an equal tax id, or an equal name where one is missing."""
+    given = lambda c: F.coalesce(~F.trim(F.col(c)).isin("", "nan"), F.lit(False))
+    left, right, same_name = given("vat_l"), given("vat_r"), F.coalesce(F.col("jw_score") >= 0.999, F.lit(False))
+    reason = (
+        F.when(left & right & (F.col("vat_l") == F.col("vat_r")), "same tax id").when((left != right) & same_name, "same name, one tax id missing")
+        .when(left & right & same_name, "same name, different tax ids").when(~left & ~right & same_name, "same name, both tax ids missing").otherwise("different names")
     )
+    return F.when(reason.isin("same tax id", "same name, one tax id missing"), "match").otherwise("uncertain"), reason
+
+
+_GIVEN = "coalesce(trim({0}) NOT IN ('', 'nan'), false)"
+_LABELS = f"""labels AS (SELECT *, CASE WHEN reason IN ('same tax id', 'same name, one tax id missing') THEN 'match' ELSE 'uncertain' END AS label FROM (SELECT id_l, id_r, vat_l, vat_r, jw_score,
+    CASE WHEN l AND r AND vat_l = vat_r THEN 'same tax id' WHEN l <> r AND n THEN 'same name, one tax id missing' WHEN l AND r AND n THEN 'same name, different tax ids'
+    WHEN NOT l AND NOT r AND n THEN 'same name, both tax ids missing' ELSE 'different names' END AS reason FROM (
+    SELECT *, {_GIVEN.format("vat_l")} AS l, {_GIVEN.format("vat_r")} AS r, coalesce(jw_score >= 0.999, false) AS n FROM entity_resolution_matches)))"""
+
+
+@query(
+    "agg27_precision",
+    f"""WITH {_LABELS} SELECT count(*) AS n, count(*) FILTER (label = 'match') AS n_match, count(*) FILTER (label = 'uncertain') AS n_uncertain,
+    round(count(*) FILTER (label = 'match') * 1.0 / nullif(count(*) FILTER (label <> 'uncertain'), 0), 4) AS precision, round(count(*) FILTER (label = 'match') * 1.0 / count(*), 4) AS precision_conservative,
+    count(*) FILTER (vat_l <> vat_r AND jw_score >= 0.999) AS n_ambiguous, count(*) FILTER (vat_l <> vat_r AND jw_score >= 0.999 AND label = 'match') AS n_violations FROM labels""",
+)
+def agg27(spark, d):
+    label, _ = audit_label()
+    rows = read_table(spark, d, "entity_resolution_matches").withColumn("label", label)
+    n, match = F.count(F.lit(1)), F.count_if(F.col("label") == "match")
+    ambiguous = (F.col("vat_l") != F.col("vat_r")) & (F.col("jw_score") >= 0.999)
+    return rows.agg(
+        n.alias("n"), match.alias("n_match"), F.count_if(F.col("label") == "uncertain").alias("n_uncertain"),
+        F.round(F.try_divide(match, F.count_if(F.col("label") != "uncertain")), 4).alias("precision"), F.round(F.try_divide(match, n), 4).alias("precision_conservative"),
+        F.count_if(ambiguous).alias("n_ambiguous"), F.count_if(ambiguous & (F.col("label") == "match")).alias("n_violations"),
+    )
 
 
 @query(
@@ -245,17 +273,10 @@ def er01(spark, d):
     return L.link_probability(scored, "jw", unrelated).select("id_l", "id_r", "jw", "level", "probability")
 
 
-@query(
-    "er04_05_fn29_labels",
-    """SELECT id_l, id_r, CASE WHEN vat_l = vat_r THEN 'match' WHEN vat_l IS NOT NULL AND vat_r IS NOT NULL AND jw_score < 0.9 THEN 'no match' WHEN jw_score >= 0.999 THEN 'match' ELSE 'uncertain' END AS label FROM entity_resolution_matches""",
-)
+@query("er04_05_fn29_labels", f"WITH {_LABELS} SELECT id_l, id_r, label, reason FROM labels")
 def er04(spark, d):
-    label = (
-        F.when(F.col("vat_l") == F.col("vat_r"), "match")
-        .when(F.col("vat_l").isNotNull() & F.col("vat_r").isNotNull() & (F.col("jw_score") < 0.9), "no match")
-        .when(F.col("jw_score") >= 0.999, "match").otherwise("uncertain")
-    )
-    return read_table(spark, d, "entity_resolution_matches").select("id_l", "id_r", label.alias("label"))
+    label, reason = audit_label()
+    return read_table(spark, d, "entity_resolution_matches").select("id_l", "id_r", label.alias("label"), reason.alias("reason"))
 
 
 # ---------------------------------------------------------------- graph

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from synaxis.functions import scalars as S
@@ -218,23 +218,47 @@ def fn09(spark, d):
     )
 
 
+# Contract types of works and studies, and the day from which limits changed.
+WORKS_AND_STUDIES = ("Έργα", "Μελέτες", "Τεχνικές ή λοιπές συναφείς υπηρεσίες")
+LIMIT_CHANGE = "2021-06-01"
+_WORKS_SQL = ", ".join(f"'{t}'" for t in WORKS_AND_STUDIES)
+
+
 def limit_table(spark: SparkSession) -> DataFrame:
-    """A dimension of limits valid from a day on; the look-up is a range join of two intervals."""
-    return spark.createDataFrame([("1900-01-01", "2021-05-31", "before", 20000.0), ("2021-06-01", "9999-12-31", "after", 30000.0)], "a string, b string, period string, lim double").select(
-        F.to_date("a").alias("valid_from"), F.to_date("b").alias("valid_to"), "period", "lim"
+    """A dimension of limits valid from a day on, for works and for all else; the look-up is a range join."""
+    rows = [
+        ("1900-01-01", "2021-05-31", "pre-2021-06", False, 20000.0), ("1900-01-01", "2021-05-31", "pre-2021-06", True, 20000.0),
+        ("2021-06-01", "9999-12-31", "2021-06+", False, 30000.0), ("2021-06-01", "9999-12-31", "2021-06+", True, 60000.0),
+    ]
+    return spark.createDataFrame(rows, "a string, b string, period string, works boolean, lim double").select(
+        F.to_date("a").alias("valid_from"), F.to_date("b").alias("valid_to"), "period", "works", "lim"
     )
 
 
+def with_limit(rows: DataFrame, day: str, kind: str) -> DataFrame:
+    """Add ``period`` and ``lim`` of a row's day and contract type; both null where the day is."""
+    works = F.coalesce(F.col(kind).isin(*WORKS_AND_STUDIES), F.lit(False))
+    limits = F.broadcast(limit_table(rows.sparkSession))  # four rows
+    inside = (F.col("__works") == F.col("works")) & F.col(day).between(F.col("valid_from"), F.col("valid_to"))
+    return rows.withColumn("__works", works).join(limits, inside, "left").drop("__works", "works", "valid_from", "valid_to")
+
+
+def _limit_sql(day: str, kind: str) -> str:
+    return f"""CASE WHEN {day} IS NULL THEN NULL WHEN {day} < DATE '{LIMIT_CHANGE}' THEN 20000.0 WHEN {kind} IN ({_WORKS_SQL}) THEN 60000.0 ELSE 30000.0 END::DOUBLE"""
+
+
+def _period_sql(day: str) -> str:
+    return f"CASE WHEN {day} IS NULL THEN NULL WHEN {day} < DATE '{LIMIT_CHANGE}' THEN 'pre-2021-06' ELSE '2021-06+' END"
+
+
 @query(
     "fn12_14_range_lookup",
-    """WITH t AS (SELECT row_id, try_cast(try_cast("submissionDate" AS TIMESTAMP) AS DATE) AS day FROM auction)
-    SELECT row_id, CASE WHEN day IS NULL THEN NULL WHEN day < DATE '2021-06-01' THEN 'before' ELSE 'after' END AS period,
-    CASE WHEN day IS NULL THEN NULL WHEN day < DATE '2021-06-01' THEN 20000.0 ELSE 30000.0 END::DOUBLE AS lim FROM t""",
+    f"""WITH t AS (SELECT row_id, "contractType.value" AS kind, try_cast(try_cast("submissionDate" AS TIMESTAMP) AS DATE) AS day FROM auction)
+    SELECT row_id, {_period_sql("day")} AS period, {_limit_sql("day", "kind")} AS lim FROM t""",
 )
 def fn12(spark, d):
-    rows = read_table(spark, d, "auction").select("row_id", S.to_day(q("submissionDate")).alias("day"))
-    limits = F.broadcast(limit_table(spark))  # two rows
-    return rows.join(limits, F.col("day").between(F.col("valid_from"), F.col("valid_to")), "left").select("row_id", "period", "lim")
+    rows = read_table(spark, d, "auction").select("row_id", q("contractType.value").alias("kind"), S.to_day(q("submissionDate")).alias("day"))
+    return with_limit(rows, "day", "kind").select("row_id", "period", "lim")
 
 
 @query(
@@ -276,8 +300,13 @@ def fn22(spark, d):
     return read_table(spark, d, "auction").select("row_id", F.coalesce(ok, F.lit(False)).alias("has_cpv"))
 
 
-# Some marks of a legal person in a name.
-LEGAL_MARKS = (" ΑΕ ", " ΕΠΕ ", " ΟΕ ", " ΕΕ ", " ΙΚΕ ", "Α.Ε.", "Ε.Π.Ε.", "Ο.Ε.", "Ε.Ε.", "Ι.Κ.Ε.", "ΕΤΑΙΡΕΙΑ", "ΑΝΩΝΥΜΗ")
+# Marks of a legal person in a name, in Greek and Latin letters.
+LEGAL_MARKS = (
+    "Α.Ε", "ΑΕ ", "ΑΝΩΝΥΜ", "Ε.Π.Ε", "ΕΠΕ ", "Ι.Κ.Ε", "ΙΚΕ ", "Ο.Ε", "ΟΕ ", "Ε.Ε", "ΕΕ ", "ΟΜΟΡΡΥΘΜ", "ΕΤΕΡΟΡΡΥΘΜ", "ΚΟΙΝΟΠΡΑΞΙΑ", "ΣΥΝΕΤΑΙΡΙΣΜΟΣ",
+    "ΕΤΑΙΡ", "ΝΠΔΔ", "Ν.Π.Δ.Δ", "ΝΠΙΔ", "Ν.Π.Ι.Δ", "ΔΗΜΟΣ", "ΠΕΡΙΦΕΡΕΙΑ", "ΥΠΟΥΡΓΕΙΟ", "ΟΡΓΑΝΙΣΜΟΣ", "ΙΔΡΥΜΑ", "ΣΥΛΛΟΓΟΣ", "ΕΝΩΣΗ", "ΙΝΣΤΙΤΟΥΤΟ",
+    "ΝΟΣΟΚΟΜΕΙΟ", "ΠΑΝΕΠΙΣΤΗΜΙΟ", "ΕΠΙΧΕΙΡΗΣΗ", "LTD", "GMBH", "S.A.", "SA ", "PLC", "INC", "CORP", "LLC", "SRL", "S.R.L", "B.V", "N.V", "SPA", "S.P.A",
+    "CO.", "COMPANY", "GROUP",
+)
 _MARK_SQL = " OR ".join(f"contains(' ' || upper(canonical_name) || ' ', '{m}')" for m in LEGAL_MARKS)
 
 
@@ -296,20 +325,45 @@ def fn23(spark, d):
     )
 
 
+# Beginnings of the names of municipalities and regions, and words of bodies that only begin so.
+LOCAL_KINDS = (("ΔΗΜΟΣ ", "dimos"), ("ΠΕΡΙΦΕΡΕΙΑ ", "perifereia"))
+NOT_LOCAL = (
+    "ΝΠΔΔ", "ΝΟΜΙΚΟ ΠΡΟΣΩΠΟ", "ΑΝΩΝΥΜΗ", "ΕΤΑΙΡΕΙΑ", "ΕΠΙΧΕΙΡΗΣΗ", "ΣΧΟΛΙΚΗ", "ΔΕΥΑ", "ΛΙΜΕΝΙΚΟ", "ΟΡΓΑΝΙΣΜΟΣ", "ΤΑΜΕΙΟ", "ΚΟΙΝΩΦΕΛΗΣ", "ΙΔΡΥΜΑ",
+    "ΚΕΝΤΡΟ", "ΜΟΝΑΔΑ",
+)
+
+
+def local_kind(norm: Column) -> tuple[Column, Column]:
+    """(kind, why not) of a normalised name: a municipality or region, or a body whose name only begins so."""
+    begun = F.coalesce(*[F.when(norm.startswith(b), k) for b, k in LOCAL_KINDS])
+    reason = F.when(begun.isNotNull(), F.coalesce(*[F.when(norm.contains(w), F.lit(f"non_ota_keyword:{w}")) for w in NOT_LOCAL]))
+    return F.when(reason.isNull(), begun), reason
+
+
+def _kind_sql(n: str) -> tuple[str, str]:
+    begun = "CASE " + " ".join(f"WHEN starts_with({n}, '{b}') THEN '{k}'" for b, k in LOCAL_KINDS) + " END"
+    reason = f"CASE WHEN ({begun}) IS NULL THEN NULL " + " ".join(f"WHEN contains({n}, '{w}') THEN 'non_ota_keyword:{w}'" for w in NOT_LOCAL) + " END"
+    return f"CASE WHEN ({reason}) IS NULL THEN {begun} END", reason
+
+
+def leadership(before: Column, after: Column) -> Column:
+    """Whether the head changed between two normalised names: unknown where one is missing or only the last name agrees."""
+    last = lambda c: F.substring_index(c, " ", -1)
+    missing = (F.coalesce(before, F.lit("")) == "") | (F.coalesce(after, F.lit("")) == "")
+    return F.when(missing, "unknown").when(before == after, "false").when(last(before) == last(after), "unknown").otherwise("true")
+
+
 @query(
     "fn27_28_classify",
-    f"""WITH t AS (SELECT org_id, {X.norm_name(X.plain("name"))} AS n, lag({X.norm_name(X.plain("name"))}) OVER (ORDER BY org_id) AS p FROM entities)
-    SELECT org_id, CASE WHEN starts_with(n, 'ΔΗΜΟΣ ') THEN 'municipality' WHEN starts_with(n, 'ΠΕΡΙΦΕΡΕΙΑ ') THEN 'region' ELSE 'rejected' END AS kind,
-    CASE WHEN p IS NULL THEN 'unknown' WHEN split_part(n, ' ', -1) = split_part(p, ' ', -1) THEN 'false' ELSE 'true' END AS changed FROM t""",
+    f"""WITH t AS (SELECT org_id, coalesce({X.norm_name(X.plain("name"))}, '') AS n, coalesce(lag({X.norm_name(X.plain("name"))}) OVER (ORDER BY org_id), '') AS p FROM entities)
+    SELECT org_id, {_kind_sql("n")[0]} AS kind, {_kind_sql("n")[1]} AS reason,
+    CASE WHEN p = '' OR n = '' THEN 'unknown' WHEN n = p THEN 'false' WHEN split_part(n, ' ', -1) = split_part(p, ' ', -1) THEN 'unknown' ELSE 'true' END AS changed FROM t""",
 )
 def fn27(spark, d):
-    n = S.normalize_greek(F.col("name"))
-    rows = read_table(spark, d, "entities").select("org_id", n.alias("n"))
+    rows = read_table(spark, d, "entities").select("org_id", F.coalesce(S.normalize_greek(F.col("name")), F.lit("")).alias("n"))
     before = rows.select((F.col("org_id") + 1).alias("org_id"), F.col("n").alias("p"))  # ids are dense
-    kind = F.when(F.col("n").startswith("ΔΗΜΟΣ "), "municipality").when(F.col("n").startswith("ΠΕΡΙΦΕΡΕΙΑ "), "region").otherwise("rejected")
-    last = lambda c: F.substring_index(c, " ", -1)
-    changed = F.when(F.col("p").isNull(), "unknown").when(last("n") == last("p"), "false").otherwise("true")
-    return rows.join(before, "org_id", "left").select("org_id", kind.alias("kind"), changed.alias("changed"))
+    kind, reason = local_kind(F.col("n"))
+    return rows.join(before, "org_id", "left").select("org_id", kind.alias("kind"), reason.alias("reason"), leadership(F.col("p"), F.col("n")).alias("changed"))
 
 
 @query(
@@ -365,49 +419,91 @@ def jn11(spark, d):
     return a.join(one, "member_vat", "left").select("member_vat", F.coalesce("alias", "m").alias("name"))
 
 
-_PANEL = (
-    X.acts("auctions")
-    + f""", base AS (SELECT vat, make_date(year, month, 1) AS month, count(*) AS n_total, count(*) FILTER ({_DIRECT}) AS n_direct, round(coalesce(sum(value), 0), 2) AS value_total
-    FROM auctions WHERE vat IN (SELECT vat FROM entities WHERE n_records >= 5000) AND NOT cancelled GROUP BY 1, 2),
+# Months of which the register lost its awards, and the windows compared with the same months of other years.
+LOST_MONTHS = ("2021-02-01", "2025-08-01")
+WINDOWS = (("PRE", 2023, 4, 9), ("LAME", 2023, 10, 12), ("POST", 2024, 1, 6), ("PLACEBO", 2022, 4, 9))
+BASELINE_YEARS = (2021, 2022, 2025)
+MONTH_SQL = {"signed": "cast(date_trunc('month', try_cast(signed AS TIMESTAMP)) AS DATE)", "source": "make_date(year, month, 1)"}
+
+
+def _panel_sql(mode: str) -> str:
+    lost = "m.month IN (" + ", ".join(f"DATE '{m}'" for m in LOST_MONTHS) + ")" if mode == "source" else "false"
+    measures = ", ".join(f"CASE WHEN {lost} THEN NULL ELSE coalesce({c}, {z}) END AS {c}" for c, z in (("n_total", 0), ("n_direct", 0), ("value_total", "0.0"), ("value_direct", "0.0")))
+    return (
+        X.acts("auctions")
+        + f""", base AS (SELECT vat, {MONTH_SQL[mode]} AS month, count(*) AS n_total, count(*) FILTER ({_DIRECT}) AS n_direct, round(coalesce(sum(value), 0), 2) AS value_total,
+    round(coalesce(sum(value) FILTER ({_DIRECT}), 0), 2) AS value_direct FROM auctions
+    WHERE vat IN (SELECT vat FROM entities WHERE {_kind_sql("(" + X.norm_name(X.plain("name")) + ")")[0]} IS NOT NULL) AND NOT cancelled AND {MONTH_SQL[mode]} IS NOT NULL GROUP BY 1, 2),
     months AS (SELECT cast(m AS DATE) AS month FROM generate_series(TIMESTAMP '2020-01-01', TIMESTAMP '2026-06-01', INTERVAL 1 MONTH) t(m)),
-    panel AS (SELECT v.vat, m.month, coalesce(n_total, 0) AS n_total, coalesce(n_direct, 0) AS n_direct, coalesce(value_total, 0.0) AS value_total
-    FROM (SELECT DISTINCT vat FROM base) v CROSS JOIN months m LEFT JOIN base b ON b.vat = v.vat AND b.month = m.month)"""
-)
+    panel AS (SELECT v.vat, m.month, {measures} FROM (SELECT DISTINCT vat FROM base) v CROSS JOIN months m LEFT JOIN base b ON b.vat = v.vat AND b.month = m.month)"""
+    )
+
 
+_PANEL = _panel_sql("signed")
+_SHARES_SQL = "round(100.0 * n_direct / nullif(n_total, 0), 4) AS da_count_pct, CASE WHEN value_total > 0 THEN round(100.0 * value_direct / value_total, 4) END AS da_value_pct"
 
-def panel(spark: SparkSession, d: str) -> DataFrame:
-    """Organisation x month grid with zeros where nothing happened; the grid side is organisations only."""
-    chosen = read_table(spark, d, "entities").filter("n_records >= 5000").select("vat")
-    rows = acts.auctions(spark, d).join(chosen, "vat", "left_semi").filter("not cancelled")
-    base = rows.groupBy("vat", F.make_date("year", "month", F.lit(1)).alias("month")).agg(
-        F.count(F.lit(1)).alias("n_total"), F.count_if(A.direct(F.col("proc_key"))).alias("n_direct"), F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 2).alias("value_total")
+
+def panel(spark: SparkSession, d: str, mode: str = "signed") -> DataFrame:
+    """Grid of municipalities and regions by month, by signature or by source month, with zeros where nothing happened.
+
+    Lost months are null by source month. An unknown mode is an error. The grid side is organisations only.
+    """
+    months = {"signed": F.trunc(S.to_day(F.col("signed")), "month"), "source": F.make_date("year", "month", F.lit(1))}
+    if mode not in months:
+        raise ValueError(f"unknown mode {mode}")
+    chosen = read_table(spark, d, "entities").filter(local_kind(S.normalize_greek(F.col("name")))[0].isNotNull()).select("vat").distinct()
+    direct = A.direct(F.col("proc_key"))
+    rows = acts.auctions(spark, d).join(chosen, "vat", "left_semi").filter("not cancelled").withColumn("month", months[mode]).filter("month is not null")
+    base = rows.groupBy("vat", "month").agg(
+        F.count(F.lit(1)).alias("n_total"), F.count_if(direct).alias("n_direct"),
+        F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 2).alias("value_total"), F.round(F.coalesce(F.sum(F.when(direct, F.col("value"))), F.lit(0.0)), 2).alias("value_direct"),
+    )
+    every = F.explode(F.sequence(F.lit("2020-01-01").cast("date"), F.lit("2026-06-01").cast("date"), F.expr("interval 1 month")))
+    grid = base.select("vat").distinct().withColumn("month", every)
+    out = grid.join(base, ["vat", "month"], "left").na.fill(0, ["n_total", "n_direct"]).na.fill(0.0, ["value_total", "value_direct"])
+    if mode == "source":
+        lost = F.col("month").isin(*[F.lit(m).cast("date") for m in LOST_MONTHS])
+        out = out.withColumns({c: F.when(~lost, F.col(c)) for c in ("n_total", "n_direct", "value_total", "value_direct")})
+    return out
+
+
+def _with_shares(p: DataFrame) -> DataFrame:
+    return p.withColumn("da_count_pct", S.pct(F.col("n_direct"), F.nullif(F.col("n_total"), F.lit(0)), 4)).withColumn(
+        "da_value_pct", F.when(F.col("value_total") > 0, S.pct(F.col("value_direct"), F.col("value_total"), 4))
     )
-    months = F.explode(F.sequence(F.lit("2020-01-01").cast("date"), F.lit("2026-06-01").cast("date"), F.expr("interval 1 month")))
-    grid = base.select("vat").distinct().withColumn("month", months)
-    return grid.join(base, ["vat", "month"], "left").na.fill(0, ["n_total", "n_direct"]).na.fill(0.0, ["value_total"])
 
 
-@query("jn13_agg24_panel", _PANEL + " SELECT vat, month, n_total, n_direct, value_total FROM panel")
+@query("jn13_agg24_panel", _PANEL + f" SELECT vat, month, n_total, n_direct, value_total, value_direct, {_SHARES_SQL} FROM panel")
 def jn13(spark, d):
-    return panel(spark, d)
+    return _with_shares(panel(spark, d))
+
+
+@query("fn34_panel_by_source", _panel_sql("source") + f" SELECT vat, month, n_total, n_direct, value_total, value_direct, {_SHARES_SQL} FROM panel")
+def fn34(spark, d):
+    return _with_shares(panel(spark, d, "source"))
+
+
+_YEARS_SQL = ", ".join(map(str, BASELINE_YEARS))
 
 
 @query(
     "agg25_window_ratio",
     _PANEL
-    + """ SELECT vat, round(avg(n_direct) FILTER (year(month) = 2023 AND month(month) BETWEEN 7 AND 9) /
-    nullif(avg(n_direct) FILTER (year(month) IN (2021, 2022) AND month(month) BETWEEN 7 AND 9), 0), 6) AS ratio FROM panel GROUP BY 1""",
+    + ", w AS (SELECT * FROM (VALUES " + ", ".join(f"('{w}', {y}, {a}, {b})" for w, y, a, b in WINDOWS) + f""") t(win, y, a, b))
+    SELECT vat, win, round(avg(n_direct) FILTER (year(month) = y) / nullif(avg(n_direct) FILTER (year(month) IN ({_YEARS_SQL})), 0), 6) AS ratio
+    FROM panel JOIN w ON month(month) BETWEEN a AND b GROUP BY 1, 2""",
 )
 def agg25(spark, d):
-    apex = (F.year("month") == 2023) & F.month("month").between(7, 9)
-    usual = F.year("month").isin(2021, 2022) & F.month("month").between(7, 9)
-    ratio = F.try_divide(F.avg(F.when(apex, F.col("n_direct"))), F.avg(F.when(usual, F.col("n_direct"))))
-    return panel(spark, d).groupBy("vat").agg(F.round(ratio, 6).alias("ratio"))
+    wanted = [F.when(F.month("month").between(a, b), F.struct(F.lit(w).alias("win"), F.lit(y).alias("y"))) for w, y, a, b in WINDOWS]
+    rows = panel(spark, d).select("vat", "month", "n_direct", F.inline(F.array_compact(F.array(*wanted))))
+    usual = F.year("month").isin(*BASELINE_YEARS)
+    ratio = F.try_divide(F.avg(F.when(F.year("month") == F.col("y"), F.col("n_direct"))), F.avg(F.when(usual, F.col("n_direct"))))
+    return rows.groupBy("vat", "win").agg(F.round(ratio, 6).alias("ratio"))
 
 
-@query("agg26_baseline_gate", _PANEL + " SELECT vat, cast(sum(n_direct) AS BIGINT) AS n FROM panel WHERE year(month) IN (2021, 2022) GROUP BY 1 HAVING sum(n_direct) >= 30")
+@query("agg26_baseline_gate", _PANEL + f" SELECT vat, cast(sum(n_direct) AS BIGINT) AS n FROM panel WHERE year(month) IN ({_YEARS_SQL}) GROUP BY 1 HAVING sum(n_direct) >= 30")
 def agg26(spark, d):
-    return panel(spark, d).filter(F.year("month").isin(2021, 2022)).groupBy("vat").agg(F.sum("n_direct").alias("n")).filter("n >= 30")
+    return panel(spark, d).filter(F.year("month").isin(*BASELINE_YEARS)).groupBy("vat").agg(F.sum("n_direct").alias("n")).filter("n >= 30")
 
 
 @query(
@@ -437,15 +533,16 @@ def jn16(spark, d):
 
 @query(
     "jn17_missing_vat_names",
-    f"""WITH m AS (SELECT {X.norm_name("name_l")} AS n, coalesce(vat_r, vat_l) AS v FROM entity_resolution_matches WHERE jw_score >= 0.999 AND (vat_l IS NULL) <> (vat_r IS NULL)),
-    u AS (SELECT n, min(v) AS vat FROM m GROUP BY 1 HAVING count(DISTINCT v) = 1)
-    SELECT a.alias_id, u.vat FROM contractor_aliases a JOIN u ON {X.norm_name("a.canonical_name")} = u.n WHERE a.vat IS NULL""",
+    """WITH m AS (SELECT CASE WHEN vat_l IS NULL THEN id_l ELSE id_r END AS id, CASE WHEN vat_l IS NULL THEN name_l ELSE name_r END AS name, coalesce(vat_l, vat_r) AS v
+    FROM entity_resolution_matches WHERE jw_score >= 0.999 AND (vat_l IS NULL) <> (vat_r IS NULL))
+    SELECT id, min(name) AS name, min(v) AS vat FROM m GROUP BY 1 HAVING count(DISTINCT v) = 1""",
 )
 def jn17(spark, d):
+    """Records without a tax id that a nearly identical name links to exactly one."""
     m = read_table(spark, d, "entity_resolution_matches").filter((F.col("jw_score") >= 0.999) & (F.col("vat_l").isNull() != F.col("vat_r").isNull()))
-    one = m.groupBy(S.normalize_name(F.col("name_l")).alias("n")).agg(F.min(F.coalesce("vat_r", "vat_l")).alias("vat"), F.count_distinct(F.coalesce("vat_r", "vat_l")).alias("k"))
-    missing = read_table(spark, d, "contractor_aliases").filter("vat is null").select("alias_id", S.normalize_name(F.col("canonical_name")).alias("n"))
-    return missing.join(one.filter("k = 1"), "n").select("alias_id", "vat")
+    side = lambda c: F.when(F.col("vat_l").isNull(), F.col(f"{c}_l")).otherwise(F.col(f"{c}_r"))
+    one = m.groupBy(side("id").alias("id")).agg(F.min(side("name")).alias("name"), F.min(F.coalesce("vat_l", "vat_r")).alias("vat"), F.count_distinct(F.coalesce("vat_l", "vat_r")).alias("k"))
+    return one.filter("k = 1").select("id", "name", "vat")
 
 
 @query(
@@ -572,16 +669,15 @@ def agg05(spark, d):
 @query(
     "agg06_bunching",
     X.acts("auctions")
-    + """, t AS (SELECT vat, CASE WHEN year < 2021 OR (year = 2021 AND month < 6) THEN 'before' ELSE 'after' END AS period, value,
-    CASE WHEN year < 2021 OR (year = 2021 AND month < 6) THEN 20000.0 ELSE 30000.0 END::DOUBLE AS lim FROM auctions WHERE vat IS NOT NULL AND value IS NOT NULL)
+    + f""", t AS (SELECT vat, value, {_period_sql("day")} AS period, {_limit_sql("day", "contract_type")} AS lim FROM (
+    SELECT *, try_cast(try_cast(submitted AS TIMESTAMP) AS DATE) AS day FROM auctions) WHERE vat IS NOT NULL AND value IS NOT NULL AND day IS NOT NULL)
     SELECT vat, period, n_below, n_above, CASE WHEN n_below >= 5 AND n_above >= 5 THEN round(n_below * 1.0 / n_above, 3) END AS density_ratio,
-    CASE WHEN n_below < 5 OR n_above < 5 THEN 'ανεπαρκή δεδομένα (N<5)' END AS note FROM (
+    CASE WHEN n_below < 5 OR n_above < 5 THEN 'ανεπαρκή δεδομένα (ζώνη<5)' END AS note FROM (
     SELECT vat, period, count(*) FILTER (value < lim) AS n_below, count(*) FILTER (value >= lim) AS n_above FROM t WHERE value BETWEEN lim * 0.8 AND lim * 1.2 GROUP BY 1, 2)""",
 )
 def agg06(spark, d):
-    early = (F.col("year") < 2021) | ((F.col("year") == 2021) & (F.col("month") < 6))
-    rows = acts.auctions(spark, d).withColumn("period", F.when(early, "before").otherwise("after"))
-    return A.bunching(rows, F.when(early, 20000.0).otherwise(30000.0))
+    rows = acts.auctions(spark, d).withColumn("day", S.to_day(F.col("submitted")))
+    return A.bunching(with_limit(rows, "day", "contract_type"), F.col("lim"))
 
 
 _DR = f"""dr AS (SELECT vat, year, n_linked, CASE WHEN n_linked >= 5 THEN med END AS median_discount_pct, CASE WHEN n_linked >= 5 THEN round(100.0 * near / n_linked, 2) END AS pct_near_zero_discount,
@@ -903,12 +999,63 @@ def win08(spark, d):
     return W.adjust_p_values(rows, "p", "org_id").select("org_id", F.round("adjusted", 9).alias("adjusted"))
 
 
-@query("win11_12_stratified_sample")
+# Bands of the similarity of audited pairs, right-closed, the first closed on both sides.
+BANDS = ((0.5, 0.7), (0.7, 0.85), (0.85, 0.95), (0.95, 1.001))
+_BAND_SQL = "CASE " + " ".join(f"WHEN jw_score >{'=' if i == 0 else ''} {a} AND jw_score <= {b} THEN '{a}-{min(b, 1.0)}'" for i, (a, b) in enumerate(BANDS)) + " END"
+_PAIRS_SQL = f"""m AS (SELECT id_l, id_r, max(jw_score) AS jw_score, coalesce(min(vat_l) = min(vat_r), false) AS same_vat FROM entity_resolution_matches GROUP BY 1, 2),
+    s AS (SELECT *, {_BAND_SQL} AS band, md5(id_l || '-' || id_r || '-42') AS h FROM m)"""
+
+
+def _scored_pairs(spark: SparkSession, d: str) -> DataFrame:
+    m = read_table(spark, d, "entity_resolution_matches").groupBy("id_l", "id_r").agg(
+        F.max("jw_score").alias("jw_score"), F.coalesce(F.min("vat_l") == F.min("vat_r"), F.lit(False)).alias("same_vat")
+    )
+    score = F.col("jw_score")
+    band = F.coalesce(*[F.when((score >= a if i == 0 else score > a) & (score <= b), f"{a}-{min(b, 1.0)}") for i, (a, b) in enumerate(BANDS)])
+    return m.withColumn("band", band).withColumn("h", F.md5(F.concat_ws("-", "id_l", "id_r", F.lit("42"))))
+
+
+def audit_sample(pairs: DataFrame, size: int) -> DataFrame:
+    """``size`` pairs: a quarter per band, 70 % of it of unequal tax ids where there are as many, then any others.
+
+    Rows are ordered by a seeded hash, the same on any cluster; a stratum is pruned to its quota before it is
+    shuffled, and the rest to ``size``.
+    """
+    per_band = size // len(BANDS)
+    n_diff = int(per_band * 0.7)
+    top = W.top_k(pairs.filter("band is not null"), ["band", "same_vat"], [F.col("h"), F.col("id_l"), F.col("id_r")], per_band)
+    taken = top.filter((F.col("same_vat") == F.lit(False)) & (F.col("rank") <= n_diff)).groupBy("band").agg(F.count(F.lit(1)).alias("k"))
+    quota = F.when(F.col("same_vat"), per_band - F.coalesce("k", F.lit(0))).otherwise(n_diff)
+    chosen = top.join(taken, "band", "left").filter(F.col("rank") <= quota).drop("rank", "k").withColumn("part", F.lit(0))
+    rest = pairs.join(chosen.select("id_l", "id_r"), ["id_l", "id_r"], "left_anti").orderBy("h", "id_l", "id_r").limit(size).withColumn("part", F.lit(1))
+    return chosen.unionByName(rest).orderBy("part", "h", "id_l", "id_r").limit(size).drop("part")
+
+
+@query(
+    "win11_stratified_sample",
+    f"""WITH {_PAIRS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY band, same_vat ORDER BY h, id_l, id_r) AS rn FROM s WHERE band IS NOT NULL),
+    k AS (SELECT band, least(count(*) FILTER (NOT same_vat), 35) AS k FROM r GROUP BY 1), c AS (SELECT id_l, id_r, band, same_vat, h, 0 AS part FROM r JOIN k USING (band) WHERE rn <= CASE WHEN same_vat THEN 50 - k ELSE 35 END),
+    e AS (SELECT id_l, id_r, band, same_vat, h, 1 AS part FROM s WHERE (id_l, id_r) NOT IN (SELECT (id_l, id_r) FROM c))
+    SELECT id_l, id_r, band, same_vat FROM (SELECT * FROM c UNION ALL SELECT * FROM e) ORDER BY part, h, id_l, id_r LIMIT 200""",
+)
 def win11(spark, d):
-    m = read_table(spark, d, "entity_resolution_matches").withColumn(
-        "band", F.when(F.col("jw_score") <= 0.8, "low").when(F.col("jw_score") <= 0.95, "middle").when(F.col("jw_score") <= 1.0, "high")
-    ).withColumn("same_vat", F.col("vat_l").eqNullSafe(F.col("vat_r"))).withColumn("pair", F.concat_ws("-", "id_l", "id_r"))
-    return W.stratified_sample(m.dropDuplicates(["pair"]), ["band", "same_vat"], "pair", 30).select("band", "same_vat", "id_l", "id_r")
+    return audit_sample(_scored_pairs(spark, d).filter("id_l is not null and id_r is not null"), 200).select("id_l", "id_r", "band", "same_vat")
+
+
+def independent_sample(pairs: DataFrame, size: int) -> DataFrame:
+    """``size`` pairs, half of equal and half of unequal tax ids; either side fills up what the other lacks."""
+    top = W.top_k(pairs, ["same_vat"], [F.col("h"), F.col("id_l"), F.col("id_r")], size)
+    first = top.withColumn("part", F.when(F.col("rank") <= F.when(F.col("same_vat"), size // 2).otherwise(size - size // 2), 0).otherwise(1))
+    return first.orderBy("part", "h", "id_l", "id_r").limit(size).drop("rank", "part")
+
+
+@query(
+    "win12_independent_sample",
+    f"""WITH {_PAIRS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY same_vat ORDER BY h, id_l, id_r) AS rn FROM s)
+    SELECT id_l, id_r, same_vat FROM r WHERE rn <= 30 ORDER BY CASE WHEN rn <= 15 THEN 0 ELSE 1 END, h, id_l, id_r LIMIT 30""",
+)
+def win12(spark, d):
+    return independent_sample(_scored_pairs(spark, d).filter("id_l is not null and id_r is not null"), 30).select("id_l", "id_r", "same_vat")
 
 
 # ---------------------------------------------------------------- top-k
@@ -1019,11 +1166,16 @@ def gr01(spark, d):
 @query(
     "gr02_bridges",
     X.acts("auctions")
-    + """ SELECT member_vat AS contractor, left(cpv_key, 2) AS division, count(DISTINCT vat) AS n_orgs FROM auctions WHERE vat IS NOT NULL AND member_vat IS NOT NULL AND cpv_key IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT vat) >= 3""",
+    + """, o AS (SELECT DISTINCT member_vat AS contractor, left(cpv_key, 2) AS division, vat FROM auctions WHERE vat IS NOT NULL AND member_vat IS NOT NULL AND cpv_key IS NOT NULL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY contractor, division ORDER BY vat) AS rn FROM o)
+    SELECT contractor, division, count(*) AS n_orgs, array_to_string(list(vat ORDER BY vat) FILTER (rn <= 10), ',') AS sample FROM r GROUP BY 1, 2 HAVING count(*) >= 5""",
 )
 def gr02(spark, d):
     rows = acts.auctions(spark, d).filter("vat is not null and member.vat is not null and cpv.key is not null")
-    return rows.groupBy(F.col("member.vat").alias("contractor"), F.left(F.col("cpv.key"), F.lit(2)).alias("division")).agg(F.count_distinct("vat").alias("n_orgs")).filter("n_orgs >= 3")
+    orgs = rows.select(F.col("member.vat").alias("contractor"), F.left(F.col("cpv.key"), F.lit(2)).alias("division"), "vat").distinct()
+    many = orgs.groupBy("contractor", "division").agg(F.count(F.lit(1)).alias("n_orgs")).filter("n_orgs >= 5")
+    first = W.top_k(orgs, ["contractor", "division"], [F.col("vat")], 10).groupBy("contractor", "division").agg(F.array_join(F.array_sort(F.collect_list("vat")), ",").alias("sample"))
+    return many.join(first, ["contractor", "division"])
 
 
 @query(
@@ -1054,17 +1206,32 @@ def gr04(spark, d):
     return top_contractors(edges(acts.auctions(spark, d)), 30, 1, 4)
 
 
-@query(
-    "gr05_alternation",
-    X.acts("auctions")
-    + """, p AS (SELECT vat, member_vat AS c, count(DISTINCT year) AS years FROM auctions WHERE vat IS NOT NULL AND member_vat IS NOT NULL GROUP BY 1, 2)
-    SELECT vat, min(c) AS first_c, max(c) AS second_c FROM p GROUP BY 1 HAVING count(*) = 2 AND min(years) >= 2""",
-)
-def gr05(spark, d):
+def alternation(rows: DataFrame, by: list[str], min_years: int) -> DataFrame:
+    """Groups with exactly two contractors (column c) ever, each in at least ``min_years`` years."""
+    pairs = rows.groupBy(*by, "c").agg(F.count_distinct("year").alias("years"))
+    g = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("years").alias("least"), F.min("c").alias("first_c"), F.max("c").alias("second_c"))
+    return g.filter((F.col("n") == 2) & (F.col("least") >= min_years)).select(*by, "first_c", "second_c")
+
+
+def _alternation_sql(by: str, where: str, years: int) -> str:
+    return X.acts("auctions") + f""", t AS (SELECT *, left(cpv_key, 4) AS market, nuts_code FROM auctions), p AS (SELECT {by}, member_vat AS c, count(DISTINCT year) AS years FROM t WHERE vat IS NOT NULL AND member_vat IS NOT NULL{where} GROUP BY ALL)
+    SELECT {by}, min(c) AS first_c, max(c) AS second_c FROM p GROUP BY {by} HAVING count(*) = 2 AND min(years) >= {years}"""
+
+
+def _won(spark: SparkSession, d: str) -> DataFrame:
     rows = acts.auctions(spark, d).filter("vat is not null and member.vat is not null")
-    p = rows.groupBy("vat", F.col("member.vat").alias("c")).agg(F.count_distinct("year").alias("years"))
-    g = p.groupBy("vat").agg(F.count(F.lit(1)).alias("n"), F.min("years").alias("least"), F.min("c").alias("first_c"), F.max("c").alias("second_c"))
-    return g.filter("n = 2 and least >= 2").select("vat", "first_c", "second_c")
+    return rows.select("vat", "year", F.col("member.vat").alias("c"), F.left(F.col("cpv.key"), F.lit(4)).alias("market"))
+
+
+@query("gr05_alternation", _alternation_sql("vat", "", 3))
+def gr05(spark, d):
+    return alternation(_won(spark, d), ["vat"], 3)
+
+
+@query("gr05_alternation_in_market", _alternation_sql("vat, market", " AND market IS NOT NULL", 1))
+def gr05_market(spark, d):
+    """The same within an organisation's markets (four digits of the code), of any number of years."""
+    return alternation(_won(spark, d).filter("market is not null"), ["vat", "market"], 1)
 
 
 @query(

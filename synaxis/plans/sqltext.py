@@ -69,7 +69,7 @@ AUCTIONS = _resolved(
     {capped(f'coalesce({num(chr(34) + "totalCostWithoutVAT" + chr(34))}, {num(chr(34) + "totalCostWithVAT" + chr(34))})')} AS value,
     "signedDate" AS signed, "noticeRefNo" AS notice_ref, coalesce(lower(trim(cancelled)) = 'true', false) AS cancelled,
     "typeOfContractingAuthority" AS authority, "classificationOfPublicLawOrganization.value" AS classification,
-    "nutsCode.key" AS nuts_code, "nutsCity" AS nuts_city, "objectDetailsList" AS objects, {_MEMBERS} AS members,
+    "nutsCode.key" AS nuts_code, "nutsCode.value" AS nuts_name, "nutsCity" AS nuts_city, "objectDetailsList" AS objects, {_MEMBERS} AS members,
     json_extract_string({json_array('"objectDetailsList"')}, '$[0].cpvs[0].key') AS cpv_key,
     json_extract_string({json_array('"objectDetailsList"')}, '$[0].cpvs[0].value') AS cpv_value,
     json_extract_string({json_array(_MEMBERS)}, '$[0].vatNumber') AS member_vat,
