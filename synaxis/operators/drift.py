@@ -1,8 +1,10 @@
 """Schema drift between files of semi-structured records.
 
-Records become path-value maps with raw types; path-type statistics are aggregated per file, each
-file is compared with the previous one of its feed, renames are proved on the values of the acts
-that both files hold, and one consistent typed table is projected with a report of failed casts.
+Records become path-value maps with raw types, written once; path-type statistics are aggregated per
+file where the records are read, each file is compared with the previous one of its feed, and only the
+values of paths that came or went are brought together, to prove renames on the acts that both
+files hold. One consistent typed table is projected with a report of failed casts and of values that
+stand against each other.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import types as T
 from synaxis.functions.jsontext import BAD, parse, plain
 from synaxis.session import cut, q
 
-ENTRY = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("path", "type", "value", "same")]))
+ENTRY = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("path", "type", "value", "same", "clash")]))
+MAX_FIELDS = 2000
 
 
 def _leaves(obj: dict, prefix: str) -> Iterator[tuple[str, object]]:
@@ -60,16 +63,18 @@ def _same(value: object) -> str:
     return plain(value)
 
 
-def record_entries(text: str | None) -> list[tuple[str, str, str, str]] | None:
-    """The non-null paths of a record; the first of a flat and a nested spelling that has a value."""
+def record_entries(text: str | None) -> list[tuple[str, str, str, str, str | None]] | None:
+    """The non-null paths of a record; of a flat and a nested spelling the first, with ``clash`` set if the other differs."""
     value = parse(text)
     if not isinstance(value, dict):
         return None
-    found: dict[str, tuple[str, str, str, str]] = {}
+    found: dict[str, tuple[str, str, str, str, str | None]] = {}
     for path, leaf in _leaves(value, ""):
         path = plain(path)
         if path not in found:
-            found[path] = (path, _kind(leaf), plain(leaf), _same(leaf))
+            found[path] = (path, _kind(leaf), plain(leaf), _same(leaf), None)
+        elif found[path][3] != _same(leaf):
+            found[path] = (*found[path][:4], "true")
     return list(found.values())
 
 
@@ -80,23 +85,17 @@ def entries_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def path_values(raw: DataFrame, file: str = "file_name", payload: str = "payload", act_path: str = "referenceNumber") -> DataFrame:
-    """(feed, file, act, path, type, value, same, n): distinct non-null values by file, act and path.
+    """(feed, file, act, path, type, same): one row per non-null value of a record; ``same`` is its hash with the type forgotten.
 
-    The feed is the file's folder. Records that are no JSON object have no paths.
+    The feed is the file's folder. Records that are no JSON object have no paths. Nothing is shuffled.
     """
     records = raw.filter(q(file).isNotNull()).select(
         q(file).alias("file"), entries_udf(q(payload)).alias("entries")
     )
     act = F.element_at(F.filter("entries", lambda e: e["path"] == act_path), 1)["value"]
-    return (
-        records.select(
-            F.regexp_extract("file", "^(.*)/[^/]*$", 1).alias("feed"),
-            "file",
-            F.when(F.size("entries") > 0, act).alias("act"),
-            F.inline("entries"),
-        )
-        .groupBy("feed", "file", "act", "path", "type", "value", "same")
-        .agg(F.count(F.lit(1)).alias("n"))
+    short = F.transform("entries", lambda e: F.struct(e["path"].alias("path"), e["type"].alias("type"), F.xxhash64(e["same"]).alias("same")))
+    return records.select(
+        F.regexp_extract("file", "^(.*)/[^/]*$", 1).alias("feed"), "file", F.when(F.size("entries") > 0, act).alias("act"), F.inline(short)
     )
 
 
@@ -109,7 +108,7 @@ def file_order(raw: DataFrame, file: str = "file_name") -> DataFrame:
 
 def path_stats(values: DataFrame) -> DataFrame:
     """(feed, file, path, main_type, n): the type of most non-null values; ties by type name."""
-    by_type = values.groupBy("feed", "file", "path", "type").agg(F.sum("n").alias("n"))
+    by_type = values.groupBy("feed", "file", "path", "type").agg(F.count(F.lit(1)).alias("n"))
     return by_type.groupBy("feed", "file", "path").agg(
         F.max_by("type", F.struct("n", "type")).alias("main_type"), F.sum("n").alias("n")
     )
@@ -137,14 +136,12 @@ def changes(values: DataFrame, files: DataFrame) -> DataFrame:
             .when(F.col("old_type") != F.col("new_type"), "type_changed"),
         ).filter("change_kind is not null")
     )
-    acts = values.filter("act is not null").join(files, ["feed", "file"]).select("feed", "idx", "act", "path", "same")
-    added = diff.filter("change_kind = 'added'").select("feed", "idx", "path")
-    removed = diff.filter("change_kind = 'removed'").select("feed", "idx", "path")
-    new_values = acts.join(added, ["feed", "idx", "path"]).withColumnsRenamed({"path": "new_path", "same": "new_same"})
-    old_values = (
-        acts.withColumn("idx", F.col("idx") + 1).join(removed, ["feed", "idx", "path"])
-        .withColumnsRenamed({"path": "old_path", "same": "old_same"})
-    )
+    # of the values, only those of paths that came or went in the file or the next one
+    added = diff.filter("change_kind = 'added'").select("feed", "idx", "path").join(files, ["feed", "idx"])
+    removed = diff.filter("change_kind = 'removed'").select("feed", "idx", "path").join(files.withColumn("idx", F.col("idx") + 1), ["feed", "idx"])
+    acts = values.filter("act is not null").select("feed", "file", "act", "path", "same")
+    new_values = acts.join(added, ["feed", "file", "path"]).select("feed", "idx", "act", F.col("path").alias("new_path"), F.col("same").alias("new_same")).distinct()
+    old_values = acts.join(removed, ["feed", "file", "path"]).select("feed", "idx", "act", F.col("path").alias("old_path"), F.col("same").alias("old_same")).distinct()
     by_act = (
         new_values.join(old_values, ["feed", "idx", "act"])
         .groupBy("feed", "idx", "new_path", "old_path", "act")
@@ -178,36 +175,45 @@ def changes(values: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def canonical_paths(renames: list[tuple[str, str]]) -> dict[str, str]:
-    """Map each renamed path to the first name, in sort order, of all that were renamed into each other."""
-    parent: dict[str, str] = {}
+def canonical_paths(renames: list[tuple[str, str]], together: list[set[str]] = ()) -> dict[str, str]:
+    """Map each renamed path to the first name, in sort order, of all that were renamed into each other.
 
-    def root(x: str) -> str:
-        while parent.setdefault(x, x) != x:
-            x = parent[x]
-        return x
-
-    for a, b in renames:
-        ra, rb = root(a), root(b)
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-    return {x: root(x) for x in parent}
+    ``together`` are sets of paths that stand in one file. Names of which any two do so are different
+    fields, as when two fields swap names over time, and stay apart.
+    """
+    classes: dict[str, set[str]] = {}
+    for a, b in sorted(renames):
+        ca, cb = classes.setdefault(a, {a}), classes.setdefault(b, {b})
+        if ca is not cb and not any(ca & t and cb & t for t in together):
+            merged = ca | cb
+            for x in merged:
+                classes[x] = merged
+    return {x: min(c) for x, c in classes.items()}
 
 
 # A raw type and the column type it is projected to.
 SPARK_TYPES = {"string": "string", "number": "double", "boolean": "boolean", "list": "string"}
 
 
-def consistent_types(values: DataFrame, change_list: DataFrame) -> list[tuple[str, str, list[str]]]:
+def consistent_types(values: DataFrame, change_list: DataFrame, max_fields: int = MAX_FIELDS) -> list[tuple[str, str, list[str]]]:
     """(column, type, its paths) for every field: names over all renames, the type of most values.
 
-    Only schema-sized facts (distinct paths, distinct renames) come to the driver.
+    Only schema-sized facts come to the driver: the ``max_fields`` commonest paths, their renames, and in which
+    combinations renamed paths stand in a file. Where paths are data (objects keyed by an id), the rest
+    have no columns of their own but stay in the table's map of other values.
     """
-    renames = change_list.filter("change_kind = 'renamed'").select("old_path", "field_path").distinct().collect()
-    to = canonical_paths([tuple(r) for r in renames])
+    stats = cut(values.groupBy("file", "path", "type").agg(F.count(F.lit(1)).alias("n")))
+    top = cut(stats.groupBy("path").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "path").limit(max_fields).select("path"))
+    renames = (
+        change_list.filter("change_kind = 'renamed'").select("old_path", "field_path").distinct()
+        .join(top.withColumnRenamed("path", "field_path"), "field_path").join(top.withColumnRenamed("path", "old_path"), "old_path").select("old_path", "field_path").collect()
+    )
+    renamed = sorted({x for r in renames for x in r})
+    sets = stats.filter(F.col("path").isin(renamed)).groupBy("file").agg(F.array_sort(F.collect_set("path")).alias("paths")).select("paths").distinct().collect() if renamed else []
+    to = canonical_paths([tuple(r) for r in renames], [set(r.paths) for r in sets])
     counts: dict[str, dict[str, int]] = {}
     paths: dict[str, list[str]] = {}
-    for r in values.groupBy("path", "type").agg(F.sum("n").alias("n")).orderBy("path", "type").collect():
+    for r in stats.join(top, "path").groupBy("path", "type").agg(F.sum("n").alias("n")).orderBy("path", "type").collect():
         name = to.get(r.path, r.path)
         own = counts.setdefault(name, {})
         own[r.type] = own.get(r.type, 0) + r.n
@@ -227,15 +233,14 @@ def consistent_table(
 ) -> DataFrame:
     """One row per record with every field typed; a value that cannot be cast is null.
 
-    Columns ``file_name``, ``line_no``, then the fields (dots as underscores, a clash gets a
-    number), and ``failed_casts``: the paths whose value was lost to a cast.
+    Columns ``file_name``, ``line_no``, then the fields (dots as underscores, a clash gets a number),
+    ``others``: values of paths that are no field, ``failed_casts``: the fields whose value was lost to a
+    cast, and ``conflicts``: the fields of which a record holds a second, different value.
     """
-    records = raw.select(
-        q(file).alias("file_name"),
-        q(line).alias("line_no"),
-        F.map_from_entries(F.transform(entries_udf(q(payload)), lambda e: F.struct(e["path"], e["value"]))).alias("m"),
-    )
-    taken, columns, failed = {"file_name", "line_no", "failed_casts"}, [], []
+    records = raw.select(q(file).alias("file_name"), q(line).alias("line_no"), entries_udf(q(payload)).alias("e"))
+    part = lambda f: F.map_from_entries(F.transform("e", lambda x: F.struct(x["path"], x[f])))
+    records = records.select("file_name", "line_no", part("value").alias("m"), part("same").alias("s"), F.map_filter(part("clash"), lambda _, v: v.isNotNull()).alias("c"))
+    taken, columns, failed, conflicts = {"file_name", "line_no", "others", "failed_casts", "conflicts"}, [], [], []
     for name, kind, paths in fields:
         label = name.replace(".", "_")
         while label in taken:
@@ -245,13 +250,25 @@ def consistent_table(
         columns.append(_typed(text, kind).alias(label))
         if kind != "string":
             failed.append(F.when(text.isNotNull() & _typed(text, kind).isNull(), F.lit(name)))
-    lost = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    return records.select("file_name", "line_no", *columns, lost.alias("failed_casts"))
+        twice = F.lit(False)
+        for p in paths:
+            twice = twice | F.map_contains_key("c", F.lit(p))
+        if len(paths) > 1:
+            twice = twice | (F.size(F.array_distinct(F.array_compact(F.array(*[F.try_element_at("s", F.lit(p)) for p in paths])))) > 1)
+        conflicts.append(F.when(twice, F.lit(name)))
+    known = [p for _, _, paths in fields for p in paths]
+    others = F.map_filter("m", lambda k, _: ~k.isin(known)) if known else F.col("m")
+
+    def listed(found: list):
+        return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+    return records.select(
+        "file_name", "line_no", *columns, others.alias("others"), F.coalesce(listed(failed), F.array().cast("array<string>")).alias("failed_casts"), F.coalesce(listed(conflicts), F.array().cast("array<string>")).alias("conflicts")
+    )
 
 
 def failed_casts(table: DataFrame) -> DataFrame:
-    """(file_name, field_path, n): values lost to a cast, by file and field."""
-    return (
-        table.select("file_name", F.explode("failed_casts").alias("field_path"))
-        .groupBy("file_name", "field_path").agg(F.count(F.lit(1)).alias("n"))
-    )
+    """(file_name, field_path, kind, n): values lost to a cast or to a second value, by file and field."""
+    kinds = F.array(F.struct(F.lit("cast").alias("kind"), F.col("failed_casts").alias("paths")), F.struct(F.lit("conflict").alias("kind"), F.col("conflicts").alias("paths")))
+    rows = table.select("file_name", F.inline(kinds)).select("file_name", "kind", F.explode("paths").alias("field_path"))
+    return rows.groupBy("file_name", "field_path", "kind").agg(F.count(F.lit(1)).alias("n"))

@@ -1,7 +1,8 @@
 """Column profiles by load: nulls, distincts, ranges, form violations and shifts between loads.
 
-Each load keeps exact, mergeable sums per column (rows, nulls, violations, powers of a numeric
-measure); loads are compared by standardised differences against all other loads, whose sums are
+Each load keeps exact, mergeable sums per column: rows, nulls, violations, and the first four powers of
+scaled whole numbers (logarithms to four decimals) as decimals, so that no order of adding changes
+them; loads are compared by standardised differences against all other loads, whose sums are
 the totals minus the load's own. Shares (null, violation, most frequent value, form) are compared
 on the arcsine scale, where a difference means the same near 0 as near one half.
 """
@@ -29,12 +30,12 @@ LEAST_SHARE = 0.02
 
 @dataclass(frozen=True)
 class ColumnRule:
-    """A column, whether a non-null value is well formed, its form class and a numeric measure."""
+    """A column, whether a non-null value is well formed, its form class, and its numeric value (or null)."""
 
     name: str
     well_formed: Column
     form: Column
-    measure: Column
+    value: Column
 
 
 def text_form(value: Column) -> Column:
@@ -96,10 +97,11 @@ def observe(df: DataFrame, id_column: str, load_column: str, rules: Sequence[Col
             F.lit(rule.name).alias("column_name"),
             q(rule.name).isNull().alias("is_null"),
             F.when(q(rule.name).isNotNull(), F.xxhash64(q(rule.name))).alias("value_hash"),
+            F.when(q(rule.name).isNotNull(), F.xxhash64(q(rule.name), F.lit(1))).alias("second_hash"),
             rule.form.alias("form"),
             (q(rule.name).isNotNull() & ~rule.well_formed).alias("violates"),
             F.length(q(rule.name)).alias("length"),
-            rule.measure.alias("measure"),
+            rule.value.alias("value"),
         )
         for rule in rules
     ]
@@ -108,25 +110,35 @@ def observe(df: DataFrame, id_column: str, load_column: str, rules: Sequence[Col
     )
 
 
+SCALE = 10_000
+
+
+def _scaled(x: Column) -> Column:
+    return F.round(x * SCALE).cast("decimal(8,0)")
+
+
 def power_sums(cells: DataFrame) -> DataFrame:
     """Mergeable statistics per (column, load): counts, ranges and exact power sums.
 
-    Sums of the measure and of the logarithm of the length up to the second power; adding two
-    loads' rows gives the row of both together.
+    The measure is the logarithm of a positive value, times SCALE and rounded; its sums go up to the fourth
+    power, those of the logarithm of the length to the second. Adding two loads' rows gives the row of
+    both together, to the last digit.
     """
-    log_length = F.log1p(F.col("length").cast("double"))
-    return cells.groupBy("column_name", "load_id").agg(
+    m, s = _scaled(F.when(F.col("value") > 0, F.log10("value"))), _scaled(F.log1p(F.col("length").cast("double")))
+    rows = cells.withColumns({"m": m, "s": s})
+    m2 = (F.col("m") * F.col("m")).cast("decimal(16,0)")
+    m3, m4 = (m2 * F.col("m")).cast("decimal(24,0)"), (m2 * m2).cast("decimal(28,0)")
+    return rows.groupBy("column_name", "load_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if("is_null").alias("n_null"),
         F.count_if("violates").alias("n_violations"),
-        F.count("measure").alias("n_measure"),
-        F.sum("measure").alias("measure_1"),
-        F.sum(F.col("measure") * F.col("measure")).alias("measure_2"),
-        F.min("measure").alias("measure_min"),
-        F.max("measure").alias("measure_max"),
-        F.count("length").alias("n_length"),
-        F.sum(log_length).alias("length_1"),
-        F.sum(log_length * log_length).alias("length_2"),
+        F.count("m").alias("n_measure"),
+        *[F.sum(x).cast("decimal(38,0)").alias(f"measure_{k}") for k, x in enumerate((F.col("m"), m2, m3, m4), 1)],
+        F.min("value").alias("value_min"),
+        F.max("value").alias("value_max"),
+        F.count("s").alias("n_length"),
+        F.sum("s").cast("decimal(38,0)").alias("length_1"),
+        F.sum((F.col("s") * F.col("s")).cast("decimal(16,0)")).cast("decimal(38,0)").alias("length_2"),
         F.min("length").alias("length_min"),
         F.max("length").alias("length_max"),
     )
@@ -138,25 +150,35 @@ def value_counts(cells: DataFrame, what: str) -> DataFrame:
 
 
 def profile(cells: DataFrame) -> DataFrame:
-    """One row per column over all loads: the whole profile."""
+    """One row per column over all loads: counts, ranges, and the moments of the values' logarithms.
+
+    Values are counted as distinct by two 64-bit hashes. Moments are null where there is no number, and the third
+    and fourth also where all are equal.
+    """
     sums = power_sums(cells).groupBy("column_name").agg(
-        *[F.sum(c).alias(c) for c in ("n", "n_null", "n_violations")],
-        F.min("measure_min").alias("measure_min"),
-        F.max("measure_max").alias("measure_max"),
-        F.min("length_min").alias("length_min"),
-        F.max("length_max").alias("length_max"),
+        *[F.sum(c).alias(c) for c in ("n", "n_null", "n_violations", "n_measure")],
+        *[F.sum(f"measure_{k}").cast("double").alias(f"s{k}") for k in (1, 2, 3, 4)],
+        *[f(c).alias(c) for f, c in ((F.min, "value_min"), (F.max, "value_max"), (F.min, "length_min"), (F.max, "length_max"))],
     )
+    n = F.nullif(F.col("n_measure"), F.lit(0)).cast("double")
+    mean, r2, r3, r4 = (F.col(f"s{k}") / n / float(SCALE**k) for k in (1, 2, 3, 4))
+    variance = F.when(n.isNotNull(), F.greatest(r2 - mean * mean, F.lit(0.0)))
+    third, fourth = r3 - 3 * mean * r2 + 2 * mean * mean * mean, r4 - 4 * mean * r3 + 6 * mean * mean * r2 - 3 * mean * mean * mean * mean
+    spread = F.when(variance > 1e-9, variance)
     distinct = (
-        cells.filter(~F.col("is_null")).select("column_name", "value_hash").distinct()
+        cells.filter(~F.col("is_null")).select("column_name", "value_hash", "second_hash").distinct()
         .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
     )
     forms = cells.filter(F.col("form").isNotNull()).select("column_name", "form").distinct()
     n_forms = forms.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_forms"))
     return (
-        sums.join(distinct, "column_name", "left")
-        .join(n_forms, "column_name", "left")
-        .na.fill(0, ["n_distinct", "n_forms"])
-    )
+        sums.join(distinct, "column_name", "left").join(n_forms, "column_name", "left").na.fill(0, ["n_distinct", "n_forms"])
+        .select(
+            "column_name", "n", "n_null", "n_violations", "n_distinct", "n_forms", "value_min", "value_max", "length_min", "length_max",
+            F.round(mean, 4).alias("log_mean"), F.round(F.sqrt(variance), 4).alias("log_sd"),
+            F.round(third / F.pow(spread, 1.5), 3).alias("log_skewness"), F.round(fourth / (spread * spread), 3).alias("log_kurtosis"),
+        )
+    )
 
 
 def _arcsine(share: Column) -> Column:
@@ -170,10 +192,10 @@ def _share_shift(n: Column, of: Column, n_all: Column, of_all: Column) -> Column
 
 def _mean_shift(n: str, s1: str, s2: str, w) -> Column:
     """Difference of a load's mean from the mean of all others, in their standard deviations."""
-    n_o, a_o, b_o = (F.sum(x).over(w) - F.col(x) for x in (n, s1, s2))
-    mean_o = F.try_divide(a_o, n_o.cast("double"))
-    var_o = F.greatest(F.try_divide(b_o, n_o.cast("double")) - mean_o * mean_o, F.lit(1e-12))
-    return F.try_divide(F.try_divide(F.col(s1), F.col(n).cast("double")) - mean_o, F.sqrt(var_o))
+    n_o, a_o, b_o = ((F.sum(x).over(w) - F.col(x)).cast("double") for x in (n, s1, s2))
+    mean_o = F.try_divide(a_o, n_o)
+    var_o = F.greatest(F.try_divide(b_o, n_o) - mean_o * mean_o, F.lit(1e-4))
+    return F.try_divide(F.try_divide(F.col(s1).cast("double"), F.col(n).cast("double")) - mean_o, F.sqrt(var_o))
 
 
 def load_shifts(sums: DataFrame, values: DataFrame, forms: DataFrame) -> DataFrame:

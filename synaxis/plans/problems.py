@@ -41,7 +41,7 @@ def _rules() -> list[quality.ColumnRule]:
     amount, vat, kind = q(AMOUNT), q(VAT), quality.list_kind_udf(q(OBJECTS))
     number = to_number(amount)
     return [
-        quality.ColumnRule(AMOUNT, quality.amount_well_formed(amount), quality.text_form(amount), F.when(number > 0, F.log10(number))),
+        quality.ColumnRule(AMOUNT, quality.amount_well_formed(amount), quality.text_form(amount), number),
         quality.ColumnRule(VAT, quality.vat_well_formed(vat), quality.text_form(vat), F.lit(None).cast("double")),
         quality.ColumnRule(OBJECTS, kind == "well formed", kind, F.lit(None).cast("double")),
     ]
@@ -52,6 +52,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.findings(read_table(spark, sf_dir, "auction"), "row_id", "load_id", _rules())
 
 
+def p2_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ill-formed values alone, each with the form it has."""
+    cells = quality.observe(read_table(spark, sf_dir, "auction"), "row_id", "load_id", _rules())
+    return cells.filter("violates").select("column_name", "row_id", F.when(F.col("column_name") == OBJECTS, F.col("form")).alias("kind"))
+
+
 def p2_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile of the three columns over all loads."""
     return quality.profile(cut(quality.observe(read_table(spark, sf_dir, "auction"), "row_id", "load_id", _rules())))
@@ -144,6 +150,7 @@ QUERIES = {
     "p1_failed_casts": p1_failed_casts,
     "p2_found": p2_found,
     "p2_profile": p2_profile,
+    "p2_violations": p2_violations,
     "p4_found": p4_found,
     "p4_reasons": p4_reasons,
     "p5_found": p5_found,

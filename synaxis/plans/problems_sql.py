@@ -61,4 +61,51 @@ def _p4(act: str, column: str, bad: str, run: int) -> str:
 
 P4 = _p4("auction", "totalCostWithVAT", "v <= 0 OR v > 1e10", 8) + " UNION ALL " + _p4("contract", "bidsSubmitted", "v < 1 OR v <> floor(v) OR v >= 300000", 12)
 
-ORACLE = {"p4_found": P4, "p5_found": P5, "p5_profile": P5_PROFILE, "p6_found": P6}
+# ---- the profile of three columns of the awards
+
+_AMOUNT = '"totalCostWithoutVAT"'
+_VATS = '"organizationVatNumber"'
+_LIST = '"objectDetailsList"'
+
+
+def _form(t: str) -> str:
+    return f"regexp_replace(regexp_replace({t}, '[0-9]+', '9', 'g'), '\\p{{L}}+', 'a', 'g')"
+
+
+_GOOD_AMOUNT = f"coalesce(regexp_full_match({_AMOUNT}, '[0-9]+(\\.[0-9]{{1,2}})?') AND try_cast({_AMOUNT} AS DECIMAL(38,2)) > 0 AND try_cast({_AMOUNT} AS DECIMAL(38,2)) <= 10000000000, false)"
+_GOOD_VAT = f"(regexp_full_match({_VATS}, '[0-9]{{9}}') AND {_VATS} NOT IN ('000000000','999999999','111111111','001111111') AND {X.checksum(_VATS)})"
+_BAD_KEY = "NOT coalesce(json_type(c) = 'OBJECT' AND json_type(json_extract(c, '$.key')) = 'VARCHAR' AND regexp_full_match(json_extract_string(c, '$.key'), '[0-9]{8}-[0-9]'), false)"
+_ITEM_KIND = f"""CASE WHEN json_type(e) <> 'OBJECT' THEN 'element no object' WHEN coalesce(json_type(json_extract(e, '$.cpvs')), 'NULL') <> 'ARRAY' OR json_array_length(e, '$.cpvs') = 0 THEN 'cpvs no filled array'
+    WHEN len(list_filter(json_extract(e, '$.cpvs[*]'), lambda c: {_BAD_KEY})) > 0 THEN 'bad key' END"""
+_KIND = f"""CASE WHEN {_LIST} IS NULL THEN NULL WHEN {_json(_LIST)} IS NULL THEN 'not JSON' WHEN json_type({_json(_LIST)}) <> 'ARRAY' THEN 'no array' WHEN json_array_length({_json(_LIST)}) = 0 THEN 'empty'
+    ELSE coalesce(list_filter(list_transform(json_extract({_json(_LIST)}, '$[*]'), lambda e: {_ITEM_KIND}), lambda k: k IS NOT NULL)[1], 'well formed') END"""
+_CELLS = f"""k AS (SELECT *, {_KIND} AS kind FROM auction), cells AS (
+    SELECT row_id, 'totalCostWithoutVAT' AS column_name, {_AMOUNT} AS t, {_form(_AMOUNT)} AS form, {_AMOUNT} IS NOT NULL AND NOT {_GOOD_AMOUNT} AS violates, {X.num(_AMOUNT)} AS v FROM k
+    UNION ALL SELECT row_id, 'organizationVatNumber', {_VATS}, {_form(_VATS)}, {_VATS} IS NOT NULL AND NOT {_GOOD_VAT}, NULL FROM k
+    UNION ALL SELECT row_id, 'objectDetailsList', {_LIST}, kind, {_LIST} IS NOT NULL AND kind <> 'well formed', NULL FROM k)"""
+
+P2_VIOLATIONS = f"WITH {_CELLS} SELECT column_name, row_id, CASE WHEN column_name = 'objectDetailsList' THEN form END AS kind FROM cells WHERE violates"
+
+P2_PROFILE = f"""WITH {_CELLS}, m AS (SELECT *, CASE WHEN v > 0 THEN cast(round(log10(v) * 10000) AS HUGEINT) END AS m FROM cells),
+    a AS (SELECT column_name, count(*) AS n, count(*) FILTER (t IS NULL) AS n_null, count(*) FILTER (violates) AS n_violations, count(DISTINCT t) AS n_distinct, count(DISTINCT form) AS n_forms, min(v) AS value_min, max(v) AS value_max,
+    cast(min(length(t)) AS INT) AS length_min, cast(max(length(t)) AS INT) AS length_max, count(m) AS k, sum(m) / 1e4 AS s1, sum(m * m) / 1e8 AS s2, sum(m * m * m) / 1e12 AS s3, sum(m * m * m * m) / 1e16 AS s4 FROM m GROUP BY 1),
+    b AS (SELECT *, s1 / k AS u, s2 / k AS r2, s3 / k AS r3, s4 / k AS r4 FROM a), c AS (SELECT *, greatest(r2 - u * u, 0) AS var FROM b)
+    SELECT column_name, n, n_null, n_violations, n_distinct, n_forms, value_min, value_max, length_min, length_max, CASE WHEN k > 0 THEN round(u, 4) END AS log_mean, CASE WHEN k > 0 THEN round(sqrt(var), 4) END AS log_sd,
+    CASE WHEN var > 1e-9 THEN round((r3 - 3 * u * r2 + 2 * u * u * u) / pow(var, 1.5), 3) END AS log_skewness, CASE WHEN var > 1e-9 THEN round((r4 - 4 * u * r3 + 6 * u * u * r2 - 3 * u * u * u * u) / (var * var), 3) END AS log_kurtosis FROM c"""
+
+
+def _leaf(e: str, path: str) -> str:
+    """A leaf as text: scalars bare, lists and objects as compact JSON."""
+    j = f"json_extract({e}, '$.{path}')"
+    return f"CASE WHEN json_type({j}) IS NULL OR json_type({j}) = 'NULL' THEN NULL ELSE json_extract_string({e}, '$.{path}') END"
+
+
+P6_OBJECTS = P6.split("    SELECT row_id, 'object' AS child")[0] + " SELECT row_id, cast(pos AS INT) AS pos, " + ", ".join(
+    f"{_leaf('e', p)} AS {p.replace('.', '_')}" for p in ("quantity", "costWithoutVAT", "shortDescription", "units.key", "units.value")
+) + " FROM obj"
+P6_CPVS = P6.split("    SELECT row_id, 'object' AS child")[0] + f" SELECT row_id, cast(pos AS INT) AS pos, cast(sub_pos AS INT) AS sub_pos, {_leaf('e', 'key')} AS key, {_leaf('e', 'value')} AS value FROM c3 WHERE json_type(e) = 'OBJECT'"
+P6_MEMBERS = P6.split("    SELECT row_id, 'object' AS child")[0] + " SELECT row_id, cast(pos AS INT) AS pos, " + ", ".join(
+    f"{_leaf('e', p)} AS {p.replace('.', '_')}" for p in ("vatNumber", "name", "country.key", "greekVatNumber")
+) + " FROM m3 WHERE json_type(e) = 'OBJECT'"
+
+ORACLE = {"p2_profile": P2_PROFILE, "p2_violations": P2_VIOLATIONS, "p6_objects": P6_OBJECTS, "p6_cpvs": P6_CPVS, "p6_members": P6_MEMBERS, "p4_found": P4, "p5_found": P5, "p5_profile": P5_PROFILE, "p6_found": P6}

@@ -58,9 +58,28 @@ def test_consistent_table_and_failed_casts(spark):
     values = D.path_values(df).cache()
     table = D.consistent_table(df, D.consistent_types(values, D.changes(values, D.file_order(df))))
     rows = table.orderBy("file_name", "line_no").collect()
-    assert table.columns == ["file_name", "line_no", "b", "referenceNumber", "failed_casts"]
-    assert [r.b for r in rows[:8]] == [0.0, 10.0, 20.0, 30.0] * 2
-    assert [tuple(r) for r in D.failed_casts(table).collect()] == [("f/3", "b", 1)]
+    assert table.columns == ["file_name", "line_no", "b", "referenceNumber", "others", "failed_casts", "conflicts"]
+    assert [r.b for r in rows[:8]] == [0.0, 10.0, 20.0, 30.0] * 2 and all(r.others == {} for r in rows)
+    assert [tuple(r) for r in D.failed_casts(table).collect()] == [("f/3", "b", "cast", 1)]
+
+
+def test_lost_values_are_reported_and_rare_paths_kept(spark):
+    files = {
+        "f/1": acts(4, b=lambda i: i), "f/2": acts(4, c=lambda i: i), "f/3": [{"referenceNumber": "x", "contract.bids": 1, "contract": {"bids": 2}, "k7": "v"}, {"referenceNumber": "y", "contract.bids": 1, "contract": {"bids": 1}}],
+        "g/1": [None, "[]"],
+    }
+    df = raw(spark, files)
+    values = D.path_values(df).cache()
+    table = D.consistent_table(df, D.consistent_types(values, D.changes(values, D.file_order(df)), max_fields=4))
+    assert {tuple(r) for r in D.failed_casts(table).collect()} == {("f/3", "contract.bids", "conflict", 1)}
+    assert [r.others for r in table.filter("file_name = 'f/3' and line_no = 0").collect()] == [{"k7": "v"}]
+    assert table.filter("file_name = 'g/1'").count() == 2
+
+
+def test_fields_that_swap_names_stay_apart():
+    assert D.canonical_paths([("a", "b"), ("b", "c")]) == {"a": "a", "b": "a", "c": "a"}
+    assert D.canonical_paths([("a", "b"), ("b", "a")], [{"a", "b"}]) == {"a": "a", "b": "b"}
+    assert D.canonical_paths([("a", "b"), ("b", "c")], [{"a", "c"}]) == {"a": "a", "b": "a", "c": "c"}
 
 
 def test_against_brute_force(spark, data):
@@ -71,7 +90,7 @@ def test_against_brute_force(spark, data):
     rows = duckdb.connect().execute(f"select file_name, payload from '{data}/contract_raw.parquet'").fetchall()
     files = collections.defaultdict(dict)
     for f, p in rows:
-        for path, kind, _, same in D.record_entries(p):
+        for path, kind, _, same, _ in D.record_entries(p):
             files[f].setdefault(path, []).append((kind, same, json.loads(p).get("referenceNumber")))
     want = set()
     names = sorted(files)

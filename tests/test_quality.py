@@ -1,3 +1,4 @@
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -79,11 +80,16 @@ def test_load_without_a_dominant_value(spark):
     assert departing(spark, rows) == {(P.VAT, 4)}
 
 
-def test_power_sums_merge(spark):
-    cells = Q.observe(table(spark, loads(1)), "row_id", "load_id", P._rules())
-    whole = Q.power_sums(cells.withColumn("load_id", F.lit(0))).orderBy("column_name").select("n", "n_null", "n_violations", F.round("measure_2", 6)).collect()
-    merged = Q.power_sums(cells).groupBy("column_name").agg(F.sum("n"), F.sum("n_null"), F.sum("n_violations"), F.round(F.sum("measure_2"), 6)).orderBy("column_name").drop("column_name").collect()
+def test_power_sums_merge_to_the_last_digit(spark):
+    rows = loads(1)
+    cells = Q.observe(table(spark, rows), "row_id", "load_id", P._rules())
+    sums = [f"measure_{k}" for k in (1, 2, 3, 4)] + ["length_1", "length_2", "n", "n_null", "n_violations"]
+    whole = Q.power_sums(cells.withColumn("load_id", F.lit(0))).orderBy("column_name").select(*sums).collect()
+    merged = Q.power_sums(cells).groupBy("column_name").agg(*[F.sum(c) for c in sums]).orderBy("column_name").drop("column_name").collect()
     assert [tuple(r) for r in whole] == [tuple(r) for r in merged]
+    logs = [round(math.log10(float(r[2])) * Q.SCALE) for r in rows]
+    got = Q.power_sums(cells.withColumn("load_id", F.lit(0))).filter(F.col("column_name") == P.AMOUNT).first()
+    assert [int(got[f"measure_{k}"]) for k in (1, 2, 3, 4)] == [sum(x**k for x in logs) for k in (1, 2, 3, 4)]
 
 
 def test_profile_and_empty(spark):
