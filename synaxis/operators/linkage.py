@@ -61,6 +61,70 @@ def close_match(name: str, names: list[str], cutoff: float = 0.75) -> str | None
     return found[0] if found else None
 
 
+OFFICIAL_NAMES = 50_000
+
+
+def _letter_counts(names: list[str]) -> tuple[np.ndarray, dict[str, int]]:
+    letters = {c: i for i, c in enumerate(sorted({c for n in names for c in n}))}
+    counts = np.zeros((len(names), len(letters) + 1), dtype=np.int16)
+    for row, name in enumerate(names):
+        for c in name:
+            counts[row, letters[c]] += 1
+    return counts, letters
+
+
+def match_official(names: DataFrame, official: DataFrame, cutoff: float = 0.75) -> DataFrame:
+    """(name, kind, reason, match_type, official_name, similarity): names against a catalogue, equal or closest.
+
+    ``names`` has name, kind and reason (why it is no candidate); ``official`` has distinct names. A name is
+    ``exact``, else ``fuzzy`` with the closest official name by matching blocks from ``cutoff`` on (of equal ones the
+    last in sort order, as the closest are listed), else ``missing``; one without a kind is ``excluded``. Names equal in letters bound
+    the ratio, so few are compared in full. The catalogue is sent to the tasks and may hold OFFICIAL_NAMES
+    names; a larger one raises, as it is no catalogue any more.
+    """
+    spark = names.sparkSession
+    rows = official.filter("name is not null").select("name").distinct().limit(OFFICIAL_NAMES + 1).collect()
+    if len(rows) > OFFICIAL_NAMES:
+        raise ValueError(f"more than {OFFICIAL_NAMES} official names")
+    sent = spark.sparkContext.broadcast(sorted(r.name for r in rows))
+
+    def closest(name: str, known: list[str], counts: np.ndarray, letters: dict[str, int], lengths: np.ndarray) -> tuple[str | None, float | None]:
+        mine = np.zeros(counts.shape[1], dtype=np.int16)
+        for c in name:
+            mine[letters.get(c, counts.shape[1] - 1)] += 1
+        mine[-1] = 0
+        bound = 2.0 * np.minimum(counts, mine).sum(axis=1) / np.maximum(lengths + len(name), 1)
+        matcher = difflib.SequenceMatcher()
+        matcher.set_seq2(name)
+        best: tuple[float, str] | None = None
+        for i in np.flatnonzero(bound >= cutoff - 1e-9):
+            matcher.set_seq1(known[i])
+            r = matcher.ratio()
+            if r >= cutoff and (best is None or (r, known[i]) > best):
+                best = (r, known[i])
+        return (None, None) if best is None else (best[1], round(difflib.SequenceMatcher(None, name, best[1]).ratio(), 3))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = sent.value
+        whole = set(known)
+        counts, letters = _letter_counts(known)
+        lengths = np.array([len(n) for n in known], dtype=np.int64)
+        for batch in batches:
+            found = []
+            for name, kind in zip(batch["name"], batch["kind"], strict=True):
+                if kind is None:
+                    found.append(("excluded", None, None))
+                elif name in whole:
+                    found.append(("exact", name, None))
+                else:
+                    near, ratio = closest(name, known, counts, letters, lengths) if known else (None, None)
+                    found.append(("fuzzy" if near else "missing", near, ratio))
+            out = pd.DataFrame(found, columns=["match_type", "official_name", "similarity"], index=batch.index)
+            yield pd.concat([batch[["name", "kind", "reason"]], out.astype({"similarity": "float64"})], axis=1)
+
+    return names.select("name", "kind", "reason").mapInPandas(run, "name string, kind string, reason string, match_type string, official_name string, similarity double")
+
+
 def comparison_level(score):
     """2: nearly equal, 1: similar, 0: different; null scores are different."""
     return F.when(score >= 0.9, 2).when(score >= 0.7, 1).otherwise(0)

@@ -37,16 +37,28 @@ def src03(spark, d):
     )
 
 
+_BENFORD_CTE = X.PAYMENTS + ", " + R._BENFORD.split(", rows_ AS", 1)[1].join(["rows_ AS", ""])
+_BENFORD_BODY = _BENFORD_CTE[: _BENFORD_CTE.rindex(" SELECT s.vat, s.period")] + ", benford AS (" + _BENFORD_CTE[_BENFORD_CTE.rindex(" SELECT s.vat, s.period") :] + ")"
+_MERGED = R._COMPOSITE_CTE + ", " + _BENFORD_BODY
+_SIDES = ("hhi", "median_discount_pct", "single_bid_pct", "median_deadline_days", "score", "mad_d1")
+
+
 @query(
     "jn04_indicator_merge",
-    X.acts("auctions", "contracts") + _DA_CTE + f", {_HHI}"
-    + """ SELECT da.vat, da.year, da.n_total, da.da_count_pct, hhi.hhi, hhi.n_contracts, e.org_type, e.nuts_city FROM da LEFT JOIN hhi USING (vat, year)
-    LEFT JOIN (SELECT vat, min(org_type) AS org_type, min(nuts_city) AS nuts_city FROM entities GROUP BY 1) e USING (vat)""",
+    _MERGED + """, e AS (SELECT vat, min(org_type) AS org_type, min(nuts_city) AS nuts_city FROM entities GROUP BY 1)
+    SELECT da.vat, da.year, da.n_total, da.da_count_pct, hhi.hhi, dr.median_discount_pct, sb.single_bid_pct, dl.median_deadline_days, comp.score, b.mad_d1, e.org_type, e.nuts_city FROM da
+    LEFT JOIN hhi USING (vat, year) LEFT JOIN dr USING (vat, year) LEFT JOIN sb USING (vat, year) LEFT JOIN dl USING (vat, year) LEFT JOIN comp USING (vat, year)
+    LEFT JOIN benford b ON b.vat = da.vat AND b.period = cast(da.year AS VARCHAR) LEFT JOIN e ON e.vat = da.vat""",
 )
 def jn04(spark, d):
+    """All yearly indicators of an organisation side by side, with its registry entry; each side may be missing."""
+    return merged_indicators(spark, d).select("vat", "year", "n_total", "da_count_pct", *_SIDES, "org_type", "nuts_city")
+
+
+def merged_indicators(spark, d) -> DataFrame:
     registry = read_table(spark, d, "entities").groupBy("vat").agg(F.min("org_type").alias("org_type"), F.min("nuts_city").alias("nuts_city"))
-    merged = A.direct_share(acts.auctions(spark, d)).join(A.concentration(acts.contracts(spark, d)).drop("note"), ["vat", "year"], "left")
-    return merged.join(registry, "vat", "left").select("vat", "year", "n_total", "da_count_pct", "hhi", "n_contracts", "org_type", "nuts_city")
+    digits = A.digit_tests(acts.payments(spark, d)).filter("period <> 'all'").select("vat", F.col("period").cast("int").alias("year"), "mad_d1")
+    return R.composite(spark, d).join(digits, ["vat", "year"], "left").join(registry, "vat", "left")
 
 
 @query(
@@ -58,22 +70,55 @@ def jn05(spark, d):
     return A.direct_share(acts.auctions(spark, d)).join(groups, "vat").select("vat", "year", "grp", "da_count_pct")
 
 
+_NEW_WINNERS = R.ORACLE["gr03_win07_jn25_new_winners"]
+_NWR_CTES = _NEW_WINNERS[len(X.acts("auctions")) + 2 : _NEW_WINNERS.rindex("SELECT f.vat, f.year")].strip()
+_NWR = f"{_NWR_CTES}, nwr AS ({_NEW_WINNERS[_NEW_WINNERS.rindex('SELECT f.vat, f.year'):]})"
+
+
+def _listed(v: str, digits: int | None = None) -> str:
+    return f"array_to_string(list(year || ':' || {v} ORDER BY year) FILTER ({v} IS NOT NULL), ',')"
+
+
 @query(
     "jn06_agg34_profile",
-    X.acts("auctions") + _DA_CTE + " SELECT vat, array_to_string(list(year || ':' || n_total ORDER BY year), ',') AS years, cast(sum(n_total) AS BIGINT) AS n, max(year) AS latest FROM da GROUP BY 1",
+    _MERGED + f""", {_NWR.replace("f AS (", "fw AS (").replace("FROM f JOIN o", "FROM fw f JOIN ow").replace(" o AS (", " ow AS (")}, m AS (SELECT da.vat, da.year, da.n_total, cast(round(da_count_pct * 100) AS BIGINT) AS da, cast(round(hhi * 10000) AS BIGINT) AS h, cast(round(single_bid_pct * 100) AS BIGINT) AS s,
+    cast(round(median_discount_pct * 100) AS BIGINT) AS r, cast(round(median_deadline_days * 10) AS BIGINT) AS d, cast(round(score * 10000) AS BIGINT) AS c, cast(round(mad_d1 * 100000) AS BIGINT) AS b FROM da
+    LEFT JOIN hhi USING (vat, year) LEFT JOIN dr USING (vat, year) LEFT JOIN sb USING (vat, year) LEFT JOIN dl USING (vat, year) LEFT JOIN comp USING (vat, year) LEFT JOIN benford x ON x.vat = da.vat AND x.period = cast(da.year AS VARCHAR)),
+    p AS (SELECT vat, cast(sum(n_total) AS BIGINT) AS n, max(year) AS latest, {", ".join(f"coalesce({_listed(v)}, '') AS {n}" for v, n in (("da", "direct"), ("h", "hhi"), ("s", "single_bid"), ("r", "discount"), ("d", "deadline"), ("c", "composite"), ("b", "digits")))} FROM m GROUP BY 1),
+    w AS (SELECT vat, array_to_string(list(year || ':' || cast(round(rate * 1000) AS BIGINT) || CASE WHEN left_censored THEN 'c' ELSE '' END ORDER BY year), ',') AS new_winners FROM nwr GROUP BY 1)
+    SELECT p.*, coalesce(new_winners, '') AS new_winners FROM p LEFT JOIN w USING (vat)""",
 )
 def jn06(spark, d):
-    rows = profiles(A.direct_share(acts.auctions(spark, d)))
-    listed = F.array_join(F.transform(F.array_sort(F.map_keys("by_year")), lambda y: F.concat_ws(":", y, F.col("by_year")[y]["n_total"])), ",")
-    return rows.select("vat", listed.alias("years"), "n", "latest")
+    """Profiles with a map from year to value for each indicator and for new winners, here written as lists.
+
+    Values are whole numbers of their last digit (2,500 is 25.00 %, 300 new winners of a thousand are 30.0);
+    ``c`` marks a first year, in which every winner is new.
+    """
+    p = profiles(merged_indicators(spark, d), R.QUERIES["gr03_win07_jn25_new_winners"](spark, d))
 
+    def listed(column: str, scale: int):
+        whole = F.transform(column, lambda e: F.concat_ws(":", e["year"], F.round(e["v"] * scale).cast("long")))
+        return F.array_join(whole, ",")
+
+    winners = F.array_join(F.transform("new_winners", lambda e: F.concat(F.concat_ws(":", e["year"], F.round(e["v"] * 1000).cast("long")), F.when(e["left_censored"], "c").otherwise(""))), ",")
+    return p.select("vat", "n", "latest", *[listed(k, s).alias(k) for k, (_, s) in PROFILE_MAPS.items()], F.coalesce(winners, F.lit("")).alias("new_winners"))
 
-def profiles(overview: DataFrame) -> DataFrame:
-    """Nested documents: per organisation a map from year to its indicators."""
-    entry = F.struct("year", F.struct("n_total", "n_direct", "da_count_pct", "value_total").alias("v"))
-    return overview.groupBy("vat").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("by_year"), F.sum("n_total").alias("n"), F.max("year").alias("latest")
-    )
+
+#: The maps of a profile: column of the merged indicators, and how many of its last digit make one.
+PROFILE_MAPS = {
+    "direct": ("da_count_pct", 100), "hhi": ("hhi", 10000), "single_bid": ("single_bid_pct", 100), "discount": ("median_discount_pct", 100), "deadline": ("median_deadline_days", 10),
+    "composite": ("score", 10000), "digits": ("mad_d1", 100000),
+}
+
+
+def profiles(merged: DataFrame, winners: DataFrame) -> DataFrame:
+    """Nested documents: per organisation, for each indicator, the (year, v) entries that it has, in order; a dozen each."""
+    def entries(column: str):
+        return F.array_sort(F.collect_list(F.when(F.col(column).isNotNull(), F.struct("year", F.col(column).alias("v")))))
+
+    maps = merged.groupBy("vat").agg(F.sum("n_total").alias("n"), F.max("year").alias("latest"), *[entries(c).alias(k) for k, (c, _) in PROFILE_MAPS.items()])
+    new = winners.groupBy("vat").agg(F.array_sort(F.collect_list(F.struct("year", F.col("rate").alias("v"), "left_censored"))).alias("new_winners"))
+    return maps.join(new, "vat", "left")
 
 
 @query(
@@ -100,16 +145,17 @@ def jn08(spark, d):
 
 
 @query(
-    "jn09_either_side",
-    X.acts("auctions", "contracts")
-    + """, a AS (SELECT vat, count(*) AS n_a FROM auctions WHERE vat IS NOT NULL AND year = 2020 GROUP BY 1), c AS (SELECT vat, count(*) AS n_c FROM contracts WHERE vat IS NOT NULL AND year = 2020 GROUP BY 1)
-    SELECT coalesce(a.vat, c.vat) AS vat, n_a, n_c FROM a FULL JOIN c ON a.vat = c.vat""",
+    "jn09_network_card",
+    X.acts("auctions") + ", " + _EDGES + f""", {_NWR}, e2 AS (SELECT vat, contractor, row_number() OVER (PARTITION BY vat ORDER BY amount DESC, contractor) AS rn FROM edges),
+    e3 AS (SELECT vat, array_to_string(list(contractor ORDER BY rn), ',') AS neighbours FROM e2 WHERE rn <= 30 GROUP BY 1), w AS (SELECT vat, count(*) AS n_years, round(100 * max(rate), 1) AS highest FROM nwr GROUP BY 1)
+    SELECT coalesce(e3.vat, w.vat) AS vat, neighbours, n_years, highest FROM e3 FULL JOIN w ON e3.vat = w.vat""",
 )
 def jn09(spark, d):
-    def count(rows: DataFrame, name: str) -> DataFrame:
-        return rows.filter("vat is not null and year = 2020").groupBy("vat").agg(F.count(F.lit(1)).alias(name))
-
-    return count(acts.auctions(spark, d), "n_a").join(count(acts.contracts(spark, d), "n_c"), "vat", "full_outer")
+    """An organisation's first thirty contractors and its rates of new winners; either may be missing."""
+    top = R.QUERIES["gr04_top08_ego"](spark, d).groupBy("vat").agg(F.array_sort(F.collect_list(F.struct("rank", "contractor"))).alias("l"))
+    near = top.select("vat", F.array_join(F.transform("l", lambda e: e["contractor"]), ",").alias("neighbours"))
+    rates = R.QUERIES["gr03_win07_jn25_new_winners"](spark, d).groupBy("vat").agg(F.count(F.lit(1)).alias("n_years"), F.round(100 * F.max("rate"), 1).alias("highest"))
+    return near.join(rates, "vat", "full_outer")
 
 
 @query("jn12_membership", "SELECT row_id FROM auction WHERE " + X.vat('"organizationVatNumber"') + " IN (SELECT vat FROM entities WHERE org_type = 'ΟΤΑ Α ΒΑΘΜΟΥ')")
@@ -118,15 +164,34 @@ def jn12(spark, d):
     return read_table(spark, d, "auction").select("row_id", S.normalize_vat(q("organizationVatNumber")).alias("vat")).join(chosen, "vat", "left_semi").select("row_id")
 
 
+_LOCAL_SQL = R._kind_sql("n")
+
+
 @query(
-    "jn15_er03_official_names",
-    f"""WITH e AS (SELECT {X.norm_name(X.plain("name"))} AS n, min(vat) AS vat FROM entities GROUP BY 1), c AS (SELECT DISTINCT {X.norm_name(X.plain('"organization.value"'))} AS n FROM contract WHERE "organization.value" IS NOT NULL)
-    SELECT c.n AS name, e.vat, e.vat IS NULL AS missing FROM c LEFT JOIN e ON c.n = e.n""",
+    "jn15_official_names_exact",
+    f"""WITH e AS (SELECT DISTINCT {X.norm_name(X.plain("name"))} AS n FROM entities), c AS (SELECT DISTINCT {X.norm_name(X.plain('"organization.value"'))} AS n FROM contract WHERE "organization.value" IS NOT NULL),
+    o AS (SELECT n FROM e WHERE {_LOCAL_SQL[0]} IS NOT NULL)
+    SELECT n AS name, {_LOCAL_SQL[0]} AS kind, {_LOCAL_SQL[1]} AS reason, n IN (SELECT n FROM o) AS exact FROM c WHERE {_LOCAL_SQL[0]} IS NOT NULL OR {_LOCAL_SQL[1]} IS NOT NULL""",
 )
+def jn15_exact(spark, d):
+    """Names that begin as a municipality or region, with the official name where one is equal."""
+    names, official = _local_names(spark, d)
+    known = official.select("name", F.lit(True).alias("known"))
+    return names.join(known, "name", "left").select("name", "kind", "reason", F.coalesce("known", F.lit(False)).alias("exact"))
+
+
+def _local_names(spark, d) -> tuple[DataFrame, DataFrame]:
+    kind, reason = R.local_kind(F.col("name"))
+    typed = read_table(spark, d, "contract").filter("`organization.value` is not null").select(S.normalize_greek(q("organization.value")).alias("name")).distinct()
+    official = read_table(spark, d, "entities").select(S.normalize_greek(F.col("name")).alias("name")).distinct()
+    return typed.select("name", kind.alias("kind"), reason.alias("reason")).filter("kind is not null or reason is not null"), official.filter(kind.isNotNull())
+
+
+@query("jn15_er03_official_names")
 def jn15(spark, d):
-    e = read_table(spark, d, "entities").groupBy(S.normalize_greek(F.col("name")).alias("name")).agg(F.min("vat").alias("vat"))
-    c = read_table(spark, d, "contract").filter("`organization.value` is not null").select(S.normalize_greek(q("organization.value")).alias("name")).distinct()
-    return c.join(e, "name", "left").withColumn("missing", F.col("vat").isNull())
+    """The same with the closest official name where none is equal: ``exact``, ``fuzzy``, ``missing``, or ``excluded``."""
+    names, official = _local_names(spark, d)
+    return L.match_official(names, official)
 
 
 @query(

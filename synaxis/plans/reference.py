@@ -741,6 +741,9 @@ def composite(spark: SparkSession, d: str) -> DataFrame:
     return joined.withColumns({k: v for k, v in parts.items() if k != "deadline_flag"}).withColumn("score", score).withColumn("n_flags", n)
 
 
+_COMPOSITE_CTE = _COMPOSITE[: _COMPOSITE.rindex("SELECT vat, year, n_total, n_contracts")] + ", comp AS (" + _COMPOSITE[_COMPOSITE.rindex("SELECT vat, year, n_total, n_contracts") :] + ")"
+
+
 @query("agg09_jn03_composite", _COMPOSITE)
 def agg09(spark, d):
     return composite(spark, d).select("vat", "year", "n_total", "n_contracts", "n_linked", "n_notices", "n_with_bids", "score", "n_flags")
