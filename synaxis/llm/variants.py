@@ -25,7 +25,8 @@ from synaxis.session import cut
 
 MIN_SUFFIX = 4
 SHORT_TOKEN = 8
-CUT_LETTERS = (0, 2, 3, 4)
+CUT_LETTERS = (2, 3, 4)
+CUT_STARTS = 6
 COMMON_KEY = 200
 MIN_RATIO = 5 / 6
 MIN_RATIO_SHORT = 0.9
@@ -194,64 +195,77 @@ def places_similar(a: str, b: str) -> bool:
 
 
 def suffix_keys(tokens: DataFrame) -> DataFrame:
-    """The columns of ``tokens`` with (key, before): whole suffixes of both forms of a token and the letters before them.
+    """The columns of ``tokens`` with (key, before): whole suffixes of a token and the letters before them.
 
     Suffixes have at least MIN_SUFFIX letters, one less for tokens of less than SHORT_TOKEN; a token shorter than
-    that is its only suffix. They are taken of a form, of the form without its last CUT_LETTERS, and of the
-    form read backwards (marked ``<``). One slip leaves the end before or behind it, and so do two
-    unless they are near both ends and neither within the letters cut.
+    that is its only suffix. They are taken of both forms of the token, of these read backwards (marked ``<``),
+    and, the CUT_STARTS longest, of its sound without the last CUT_LETTERS. One slip leaves the end before or
+    behind it, and so do two unless they are near both ends; then the cut leaves what lies between.
     """
-    forms = tokens.select("*", F.explode(F.array_distinct(F.split("token", r"\|"))).alias("form")).withColumn("size", F.length("form"))
-    least = F.when(F.col("size") < SHORT_TOKEN, MIN_SUFFIX - 1).otherwise(MIN_SUFFIX)
+    least = F.when(F.length("sound") < SHORT_TOKEN, MIN_SUFFIX - 1).otherwise(MIN_SUFFIX)
 
-    def suffixes(form, mark: str):
-        starts = F.sequence(F.lit(1), F.greatest(F.length(form) - least + 1, F.lit(1)))
+    def suffixes(form, mark: str, most: int | None = None):
+        until = F.greatest(F.length(form) - least + 1, F.lit(1))
+        starts = F.sequence(F.lit(1), until if most is None else F.least(until, F.lit(most)))
         one = lambda i: F.struct(
             F.concat(F.lit(mark), F.substring(form, i, F.length(form))).alias("key"), F.reverse(F.substring(F.reverse(F.substring(form, F.lit(1), i - 1)), 1, 3)).alias("before")
         )
         return F.transform(starts, one)
 
-    cuts = [F.when(F.col("size") - k >= least, suffixes(F.substring(F.col("form"), F.lit(1), F.col("size") - k), "")) for k in CUT_LETTERS[1:]]
-    every = F.flatten(F.array_compact(F.array(suffixes(F.col("form"), ""), suffixes(F.reverse("form"), "<"), *cuts)))
-    return forms.select(*tokens.columns, F.inline(every)).distinct()
+    forms = tokens.withColumns({"sound": F.substring_index("token", "|", 1), "spelling": F.substring_index("token", "|", -1)})
+    shorter = [F.when(F.length("sound") - k >= least, suffixes(F.substring(F.col("sound"), F.lit(1), F.length("sound") - k), "", CUT_STARTS)) for k in CUT_LETTERS]
+    every = F.array(
+        suffixes(F.col("sound"), ""), suffixes(F.reverse("sound"), "<"), *shorter,
+        *[F.when(F.col("spelling") != F.col("sound"), suffixes(f, m)) for f, m in ((F.col("spelling"), ""), (F.reverse("spelling"), "<"))],
+    )
+    return forms.select(*tokens.columns, F.inline(F.array_distinct(F.flatten(F.array_compact(every)))))
 
 
 def _refined(keyed: DataFrame, common_key: int) -> DataFrame:
-    """(token, side, key): keys with too many tokens refined, those that still have too many discarded.
+    """(token, side, key, last): keys with too many tokens refined, those that still have too many discarded.
 
     A common suffix goes with what is left of the three letters before it when one or two of them are lost,
     as in two tokens that differ there only, and with the tax id. Tokens that agree further share a longer
-    suffix as well.
+    suffix as well. ``last`` is the letter before the suffix. The common keys alone are a short table.
     """
 
-    def sized(df: DataFrame) -> DataFrame:
-        return df.join(df.groupBy("key").agg(F.count_distinct("token").alias("n")), "key")
+    def common(df: DataFrame) -> DataFrame:
+        return cut(df.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > common_key).select("key"))
 
-    marked = sized(keyed)
-    fine = marked.filter(F.col("n") <= common_key).select("token", "side", "key")
+    last = F.substring("before", -1, 1).alias("last")
+    often = common(keyed)
+    fine = keyed.join(often, "key", "left_anti").select("token", "side", "key", last)
     letter = [F.substring("before", i, 1) for i in (1, 2, 3)]
     left = [F.concat(letter[0], letter[1]), F.concat(letter[0], letter[2]), F.concat(letter[1], letter[2]), *letter]
-    refined = marked.filter(F.col("n") > common_key).select(
-        "token", "side",
+    refined = cut(keyed.join(often, "key", "left_semi").select(
+        "token", "side", last,
         F.explode(
             F.array_distinct(F.array_compact(F.array(*[F.concat_ws("~", "key", x) for x in left], F.when(F.col("field").isNotNull(), F.concat_ws("#", "key", "field")))))
         ).alias("key"),
-    ).distinct()
-    return fine.unionByName(sized(refined).filter(F.col("n") <= common_key).select("token", "side", "key")).distinct()
+    ))
+    return fine.unionByName(refined.join(common(refined), "key", "left_anti").select("token", "side", "key", "last"))
 
 
-def similar_tokens(tokens: DataFrame, similar: Callable[[str, str], bool], common_key: int = COMMON_KEY) -> DataFrame:
+def similar_tokens(tokens: DataFrame, similar: Callable[[str, str], bool], most_errors: Callable, common_key: int = COMMON_KEY) -> DataFrame:
     """(a, b) of similar distinct tokens of sides 0 and 1, or of one table with itself (side null: a <= b).
 
     ``tokens`` has token, side and field (a start of the tax id for refining, or null). A key holds at most
-    ``common_key`` tokens, so no task ever compares more than that many with each other.
+    ``common_key`` tokens, so no task ever compares more than that many with each other. Two tokens meet
+    under their longest common suffix only, where the letters before it differ. ``most_errors`` is a bound, in
+    letters, on the edit distance of similar tokens by the sum of their lengths: what lies beyond it is
+    dropped where the pairs are joined, so only near pairs are shuffled and compared by ratio.
     """
     keyed = cut(_refined(suffix_keys(tokens), common_key))
     two_sided = F.col("l.side").isNotNull()
     joined = keyed.alias("l").join(keyed.alias("r"), "key").filter(
         F.when(two_sided, (F.col("l.side") == 0) & (F.col("r.side") == 1)).otherwise(F.col("l.token") < F.col("r.token"))
     )
-    pairs = joined.select(F.col("l.token").alias("a"), F.col("r.token").alias("b")).distinct()
+    joined = joined.filter((F.col("l.last") != F.col("r.last")) | (F.col("l.last") == "") | F.col("key").contains("~") | F.col("key").contains("#"))
+    near = F.lit(False)
+    for i in (1, -1):
+        x, y = F.substring_index("l.token", "|", i), F.substring_index("r.token", "|", i)
+        near = near | (F.levenshtein(x, y) <= most_errors(F.length(x) + F.length(y)))
+    pairs = joined.filter(near).select(F.col("l.token").alias("a"), F.col("r.token").alias("b")).distinct()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -263,6 +277,15 @@ def similar_tokens(tokens: DataFrame, similar: Callable[[str, str], bool], commo
     return found.unionByName(same)
 
 
+def most_errors_of_tokens(letters):
+    """Edit distance never exceeds the letters outside the common subsequence, of which MIN_RATIO leaves so many."""
+    return F.floor(letters * (1 - MIN_RATIO) + 1e-6)
+
+
+def most_errors_of_places(letters):
+    return F.lit(2)
+
+
 def _first_agrees(a: str, b: str) -> bool:
     """First names agree if either is missing, both are one name, or one is the other's initials."""
     if not a or not b or a == b:
@@ -311,7 +334,7 @@ def contractor_classes(aliases: DataFrame, id_column: str, vat_column: str, name
     fields = ["vat", "token", "first", "kind"]
     classes = cut(parsed.groupBy(*fields).agg(F.min("id").alias("class_id")))
     tokens = classes.select("token", F.lit(None).cast("int").alias("side"), F.substring("vat", 1, 5).alias("field")).distinct()
-    pairs = similar_tokens(tokens, tokens_similar, common_key)
+    pairs = similar_tokens(tokens, tokens_similar, most_errors_of_tokens, common_key)
     # a token of many classes is compared in pieces of HOT_TOKEN
     hot = classes.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / HOT_TOKEN).cast("int").alias("pieces")).filter("pieces > 1")
     split = classes.join(hot, "token", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
@@ -450,7 +473,7 @@ def organisation_links(
     typed = cut(rows.select("name").distinct().mapInPandas(split_typed, "name string, token string, others array<string>"))
     no_field = F.lit(None).cast("string").alias("field")
     tokens = known.select("token", F.lit(0).alias("side"), no_field).unionByName(typed.select("token", F.lit(1).alias("side"), no_field)).distinct()
-    pairs = similar_tokens(tokens, places_similar)
+    pairs = similar_tokens(tokens, places_similar, most_errors_of_places)
     meet = pairs.join(known.withColumnRenamed("token", "a"), "a").join(typed.withColumnRenamed("token", "b"), "b")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

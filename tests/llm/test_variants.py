@@ -89,7 +89,7 @@ def test_slips_anywhere_meet_under_a_whole_suffix(spark):
     named = [(f"{a}|{a}", f"{b}|{b}") for a, b in pairs]
     rows = sorted({x for p in named for x in p})
     tokens = spark.createDataFrame([(x, None, None) for x in rows], "token string, side int, field string")
-    met = {frozenset((r.a, r.b)) for r in V.similar_tokens(tokens, V.tokens_similar).collect()}
+    met = {frozenset((r.a, r.b)) for r in V.similar_tokens(tokens, V.tokens_similar, V.most_errors_of_tokens).collect()}
     wanted = [p for p in named if V.tokens_similar(*p)]
     assert len(wanted) > 60 and all(frozenset(p) in met for p in wanted)
 
@@ -99,7 +99,7 @@ def test_common_suffixes_are_refined_before_they_go(spark):
     tokens = spark.createDataFrame([(f"{x}|{x}", None, None) for x in rows], "token string, side int, field string")
     same = lambda a, b: V.token_ratio(a, b) >= 1 - 1 / 11 - 1e-9
     want = {frozenset((f"{x}|{x}", f"{y}|{y}")) for x in rows for y in rows if same(f"{x}|{x}", f"{y}|{y}")}
-    got = {frozenset((r.a, r.b)) for r in V.similar_tokens(tokens, same, 60).collect()}
+    got = {frozenset((r.a, r.b)) for r in V.similar_tokens(tokens, same, V.most_errors_of_places, 60).collect()}
     assert got == want
 
 
