@@ -8,12 +8,14 @@ the assignments of all levels are composed from the last one back. A super-verte
 the least id of each final cluster, taken at the end, names the group.
 
 Every step is a join or an aggregation over the edge table of its level; nothing of the graph comes
-to the driver but row counts. Edge tables shrink by a constant factor per level, so the work is a
-few times that of the first level.
+to the driver but whether edges are left. Edge tables shrink by a constant factor per level on average, so
+the work is a few times that of the first level; levels go on, with new shifts, until none are left.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,6 @@ from synaxis.session import Cut
 
 RADIUS = 4
 RATE = 0.4
-MAX_LEVELS = 60
 
 
 def _shift(vertex, level: int):
@@ -73,7 +74,7 @@ def group_records(pairs: DataFrame, left: str, right: str) -> DataFrame:
     ).distinct()
     levels: list[Cut] = []
     current = Cut(edges)
-    for level in range(MAX_LEVELS):
+    for level in itertools.count():
         if current.df.isEmpty():
             break
         arcs = Cut(_arcs(current.df))
@@ -88,16 +89,17 @@ def group_records(pairs: DataFrame, left: str, right: str) -> DataFrame:
         current.drop()
         levels.append(grown)
         current = between
-    else:
-        raise RuntimeError(f"edges are left after {MAX_LEVELS} levels")
     current.drop()
     if not levels:
         return records.df.select(F.col("v").alias("record_id"), F.col("v").alias("group_id"))
-    composed = levels[-1].df
-    for grown in reversed(levels[:-1]):
-        top = composed.select(F.col("v").alias("c"), F.col("c").alias("top"))
-        composed = grown.df.join(top, "c", "left").select("v", F.coalesce("top", "c").alias("c"))
-    composed = Cut(composed).df
+    held = levels[-1]
+    for grown in reversed(levels[:-1]):  # from the few clusters of the last level down to all vertices, each written
+        top = held.df.select(F.col("v").alias("c"), F.col("c").alias("top"))
+        below = Cut(grown.df.join(top, "c", "left").select("v", F.coalesce("top", "c").alias("c")))
+        held.drop()
+        grown.drop()
+        held = below
+    composed = held.df
     names = composed.groupBy("c").agg(F.min("v").alias("name"))
     named = composed.join(names, "c").select("v", "name")
     return records.df.join(named, "v", "left").select(
