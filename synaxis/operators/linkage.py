@@ -7,9 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from synaxis.session import cut
+
 
 def jaro_winkler(a: str | None, b: str | None, scale: float = 0.1, prefix: int = 4) -> float | None:
     """Jaro-Winkler similarity; null if either side is, 1 for two empty texts."""
@@ -61,7 +63,17 @@ def close_match(name: str, names: list[str], cutoff: float = 0.75) -> str | None
     return found[0] if found else None
 
 
+def relabel(existing: DataFrame, labels: DataFrame, keys: list[str], force: bool = False) -> DataFrame:
+    """``existing`` with the labels of a policy; raises where a label given before differs, unless ``force``."""
+    both = existing.join(labels.withColumnRenamed("label", "__label"), keys, "left")
+    given = F.trim(F.coalesce("label", F.lit("")))
+    if not force and not both.filter((given != "") & (given != F.coalesce("__label", F.lit("")))).isEmpty():
+        raise ValueError("labels given before differ from the policy")
+    return both.withColumn("label", F.col("__label")).drop("__label")
+
+
 OFFICIAL_NAMES = 50_000
+RANDOM_PAIRS = 2_000_000
 
 
 def _letter_counts(names: list[str]) -> tuple[np.ndarray, dict[str, int]]:
@@ -154,3 +166,57 @@ def link_probability(pairs: DataFrame, score: str, u_pairs: DataFrame) -> DataFr
     odds = [prior * m[k] / (prior * m[k] + (1 - prior) * u[k]) for k in range(3)]
     p = F.when(F.col("level") == 2, odds[2]).when(F.col("level") == 1, odds[1]).otherwise(odds[0])
     return levelled.withColumn("probability", p)
+
+
+def prior_by_rule(records: DataFrame, key: str, recall: float) -> float:
+    """Probability that two records at random match: pairs that agree in ``key``, of which a rule finds ``recall``.
+
+    Pairs are counted from group sizes, not enumerated; two numbers come to the driver.
+    """
+    n = records.count()
+    sizes = records.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).cast("double").alias("c"))
+    found = sizes.agg(F.coalesce(F.sum(F.col("c") * (F.col("c") - 1) / 2), F.lit(0.0)).alias("p")).first().p
+    return float(np.clip(found / recall / max(1.0, n * (n - 1) / 2), 1e-9, 0.5))
+
+
+def blocked_pairs(records: DataFrame, id_column: str, keys: list[str]) -> DataFrame:
+    """(id_l, id_r, key): pairs of records, the smaller id first, that agree in a key; once under the first key they share."""
+    out = None
+    for i, key in enumerate(keys):
+        a = records.select(F.col(id_column).alias("id_l"), F.col(key).alias("__k"), *[F.col(k).alias(f"{k}_l") for k in keys[:i]])
+        b = records.select(F.col(id_column).alias("id_r"), F.col(key).alias("__k"), *[F.col(k).alias(f"{k}_r") for k in keys[:i]])
+        joined = a.join(b, "__k").filter("id_l < id_r")
+        for k in keys[:i]:
+            joined = joined.filter(~F.coalesce(F.col(f"{k}_l") == F.col(f"{k}_r"), F.lit(False)))
+        part = joined.select("id_l", "id_r", F.lit(key).alias("key"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def dedupe_probabilities(records: DataFrame, id_column: str, name: str, rule: str, block: str, recall: float = 0.7, threshold: float = 0.5) -> DataFrame:
+    """(id_l, id_r, jw, level, probability): candidate pairs of two blocking keys whose match is at least ``threshold``.
+
+    Fellegi and Sunter with one comparison, the Jaro-Winkler similarity of names in three levels. The prior comes from
+    the group sizes of ``rule``; how often unrelated names agree (u) from about RANDOM_PAIRS pairs of records that
+    an order by hash puts side by side; how often matching ones do (m) from expectation-maximisation over the pairs of ``block``.
+    """
+    names = records.select(F.col(id_column).alias("id"), F.col(name).alias("n")).filter("n is not null")
+    pairs = cut(
+        blocked_pairs(records, id_column, [rule, block])
+        .join(names.withColumnsRenamed({"id": "id_l", "n": "name_l"}), "id_l").join(names.withColumnsRenamed({"id": "id_r", "n": "name_r"}), "id_r")
+    )
+    scored = cut(score_pairs(pairs, "name_l", "name_r").withColumn("level", comparison_level(F.col("jw"))))
+    n = names.count()
+    places = range(1, 1 + int(np.clip(RANDOM_PAIRS // max(1, n), 1, 50)))
+    order = Window.partitionBy(F.pmod(F.xxhash64("id"), F.lit(max(1, n // 10_000)))).orderBy(F.xxhash64("id", F.lit(1)), "id")
+    beside = names.withColumns({f"n{k}": F.lead("n", k).over(order) for k in places})
+    apart = beside.select(F.col("n").alias("name_l"), F.explode(F.array(*[f"n{k}" for k in places])).alias("name_r")).filter("name_r is not null")
+    levels = lambda df: {r.level: r.n for r in df.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}  # noqa: E731  three rows
+    seen = levels(score_pairs(apart, "name_l", "name_r").withColumn("level", comparison_level(F.col("jw"))))
+    total = sum(seen.values())
+    u = [(seen.get(k, 0) + 1) / (total + 3) for k in range(3)]
+    m, _ = expectation_maximisation(levels(scored.filter(F.col("key") == block)), u)
+    prior = prior_by_rule(records, rule, recall)
+    odds = [prior * m[k] / (prior * m[k] + (1 - prior) * u[k]) for k in range(3)]
+    p = F.when(F.col("level") == 2, odds[2]).when(F.col("level") == 1, odds[1]).otherwise(odds[0])
+    return scored.withColumn("probability", p).filter(F.col("probability") >= threshold).select("id_l", "id_r", "jw", "level", "probability")

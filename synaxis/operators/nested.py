@@ -11,10 +11,12 @@ column per chain is enough where no values are wanted.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,7 +86,8 @@ def shred_record(value, chain: Chain, out: Levels) -> None:
             if obj is None:
                 rep.append(here), define.append(2 * depth + 1), values.append(None)
             elif depth < last:
-                walk(obj.get(chain.keys[depth]), depth + 1, here)
+                key = chain.keys[depth]
+                walk(obj.get(key) if "." not in key else _field(obj, key), depth + 1, here)
             else:
                 leaf = obj.get(chain.leaf) if "." not in chain.leaf else _field(obj, chain.leaf)
                 rep.append(here), define.append(2 * depth + 2 + (leaf is not None)), values.append(plain(leaf))
@@ -121,6 +124,59 @@ def assemble(levels: Levels, depth: int):
     return record[keep], [p[keep] for p in positions], index[keep]
 
 
+def _walk_leaves(value, node: str, found: Counter) -> None:
+    """Count (repeated node, leaf path, type) of a parsed value; an object where a list is expected is a list of one."""
+    stack = [(node, "", item) for item in _as_list(value) or []]
+    while stack:
+        node, at, item = stack.pop()
+        obj = item if type(item) is dict else _as_object(item)
+        if obj is None:
+            continue
+        for key, v in obj.items():
+            path = f"{at}.{key}" if at else key
+            if isinstance(v, dict):
+                stack.append((node, path, v))
+            elif isinstance(v, list) and any(isinstance(x, dict) for x in v):
+                stack += [(f"{node}/{path}" if node else path, "", x) for x in v]
+            elif v is not None:
+                kind = "boolean" if isinstance(v, bool) else "number" if isinstance(v, (int, float)) else "list" if isinstance(v, list) else "string"
+                found[(node, plain(path), kind)] += 1
+
+
+def leaf_paths(df: DataFrame, column: str) -> DataFrame:
+    """(node, leaf, type, n): every leaf of the objects in a column of JSON lists, by its repeated node.
+
+    ``node`` names the inner lists on the way ('' for the outermost), ``n`` counts the values that are not null. With
+    it the chains and leaves of :func:`child_table` need not be known beforehand. Counts are summed in the tasks.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: Counter = Counter()
+        for batch in batches:
+            for text in batch["c"]:
+                value = parse(text)
+                if value is not BAD:
+                    _walk_leaves(value, "", found)
+        if found:
+            yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["node", "leaf", "type", "n"])
+
+    parts = df.select(q(column).alias("c")).filter("c is not null").mapInPandas(run, "node string, leaf string, type string, n long")
+    return parts.groupBy("node", "leaf", "type").agg(F.sum("n").alias("n"))
+
+
+def discovered(leaves: DataFrame, column: str, root: str, max_leaves: int = 2000) -> list[tuple[Chain, list[str]]]:
+    """The chain and leaves of every repeated node, from :func:`leaf_paths`; at most ``max_leaves`` of the commonest leaves."""
+    rows = leaves.groupBy("node", "leaf").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node", "leaf").limit(max_leaves).collect()
+    by_node: dict[str, list[str]] = {}
+    for r in sorted(rows, key=lambda r: (r.node, r.leaf)):
+        by_node.setdefault(r.node, []).append(r.leaf)
+    out = []
+    for node, names in by_node.items():
+        keys = tuple(node.split("/")) if node else ()
+        out.append((Chain(column, (root, *keys), keys, names[0]), names))
+    return out
+
+
 def child_rows(df: DataFrame, id_column: str, chains: Sequence[Chain]) -> DataFrame:
     """(id, child, pos, sub_pos): one row per object in the place of an element of any chain.
 

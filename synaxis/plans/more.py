@@ -343,6 +343,49 @@ def top13(spark, d):
     return rows.groupBy("vat").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "vat").limit(15)
 
 
+DISTRIBUTED = ("da_count_pct", "hhi", "single_bid_pct", "median_discount_pct", "median_deadline_days", "score")
+
+
+def _distribution_sql() -> str:
+    long = " UNION ALL ".join(f"SELECT '{c}' AS indicator, org_type, year, {c}::DOUBLE AS v FROM sides WHERE org_type IS NOT NULL AND {c} IS NOT NULL" for c in DISTRIBUTED)
+    return (
+        _MERGED
+        + f""", reg AS (SELECT vat, min(org_type) AS org_type FROM entities GROUP BY 1), sides AS (SELECT da.year, org_type, da.da_count_pct, hhi.hhi, sb.single_bid_pct, dr.median_discount_pct, dl.median_deadline_days, comp.score FROM da
+    LEFT JOIN hhi USING (vat, year) LEFT JOIN dr USING (vat, year) LEFT JOIN sb USING (vat, year) LEFT JOIN dl USING (vat, year) LEFT JOIN comp USING (vat, year) LEFT JOIN reg ON reg.vat = da.vat), v AS ({long}),
+    r AS (SELECT indicator, org_type, year, min(v) AS lo, CASE WHEN max(v) = min(v) THEN min(v) + 1 ELSE max(v) END AS hi, count(*) AS n FROM v GROUP BY 1, 2, 3),
+    c AS (SELECT v.indicator, v.org_type, v.year, cast(least(floor((v - lo) / (hi - lo) * 12), 11) AS INT) AS bin, count(*) AS cnt FROM v JOIN r ON v.indicator = r.indicator AND v.org_type = r.org_type AND v.year = r.year GROUP BY 1, 2, 3, 4)
+    SELECT r.indicator, r.org_type, r.year, lo, hi, n, cast(b AS INT) AS bin, coalesce(cnt, 0) AS count FROM r CROSS JOIN range(12) g(b) LEFT JOIN c ON c.indicator = r.indicator AND c.org_type = r.org_type AND c.year = r.year AND c.bin = b"""
+    )
+
+
+@query(
+    "win05_distributions",
+    _distribution_sql(),
+)
+def win05(spark, d):
+    """Twelve-bin distributions of the six indicators by organisation type and year."""
+    m = merged_indicators(spark, d).filter("org_type is not null").select("org_type", "year", *[F.col(c).cast("double").alias(c) for c in DISTRIBUTED])
+    return W.histogram(m.unpivot(["org_type", "year"], list(DISTRIBUTED), "indicator", "v"), "v", ["indicator", "org_type", "year"])
+
+
+_SCALED = ", da AS (" + _DA.replace(" JOIN (", " LEFT JOIN (") + ")"
+
+
+@query(
+    "win13_scaled_years",
+    X.acts("auctions") + _SCALED + """ SELECT vat, year, round((da_count_pct - min(da_count_pct) OVER w) / coalesce(nullif(max(da_count_pct) OVER w - min(da_count_pct) OVER w, 0), 1), 4) AS height,
+    round(value_total / greatest(max(value_total) OVER w, 1), 4) AS bar, round(value_direct / greatest(max(value_total) OVER w, 1), 4) AS bar_direct FROM da WINDOW w AS (PARTITION BY vat)""",
+)
+def win13(spark, d):
+    """Heights of an organisation's years for a line (least to largest) and for stacked bars (of the largest total)."""
+    rows = A.direct_share(acts.auctions(spark, d)).select("vat", "year", "da_count_pct", "value_total", "value_direct")
+    ends = rows.groupBy("vat").agg(F.min("da_count_pct").alias("lo"), F.max("da_count_pct").alias("hi"), F.greatest(F.max("value_total"), F.lit(1.0)).alias("top"))
+    span = F.coalesce(F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)), F.lit(1.0))
+    return rows.join(ends, "vat").select(
+        "vat", "year", F.round((F.col("da_count_pct") - F.col("lo")) / span, 4).alias("height"), F.round(F.col("value_total") / F.col("top"), 4).alias("bar"), F.round(F.col("value_direct") / F.col("top"), 4).alias("bar_direct")
+    )
+
+
 # ---------------------------------------------------------------- record linkage
 
 
@@ -362,6 +405,14 @@ def er02_names(spark, d):
     return L.score_pairs(pairs, "name_l", "name_r")
 
 
+@query("er01_dedupe")
+def er01_dedupe(spark, d):
+    """Contractor records that match, from candidates by tax id or by the first four words of the name."""
+    norm = S.normalize_name(F.col("canonical_name"))
+    records = read_table(spark, d, "contractor_aliases").select(F.col("alias_id").alias("id"), "vat", norm.alias("norm"), S.name_prefix(norm).alias("prefix"))
+    return L.dedupe_probabilities(records, "id", "norm", "vat", "prefix", threshold=0.0)
+
+
 @query("er01_probabilities")
 def er01(spark, d):
     """Match probabilities; u comes from the same pairs with one side shifted to another pair's."""
@@ -401,7 +452,11 @@ def gr08(spark, d):
     return G.page_rank(_award_graph(spark, d)).select("v", F.round("rank", 6).alias("rank"))
 
 
-@query("gr10_jn27_overlap")
+@query(
+    "gr10_jn27_overlap",
+    _rank_sql(20).rsplit(" SELECT v, round(rank, 6)", 1)[0] + """, t AS (SELECT v FROM r20 WHERE starts_with(v, 'o') ORDER BY rank DESC, v LIMIT 10), u AS (SELECT src AS v FROM g WHERE starts_with(src, 'o') GROUP BY 1 ORDER BY sum(w) DESC, 1 LIMIT 10)
+    SELECT count(*) AS n_common FROM t JOIN u USING (v)""",
+)
 def gr10(spark, d):
     """How many of the ten highest ranked organisations are among the ten with most value."""
     ranks = G.page_rank(_award_graph(spark, d)).filter(F.col("v").startswith("o")).orderBy(F.desc("rank"), "v").limit(10).select("v")

@@ -125,6 +125,13 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.child_rows(read_table(spark, sf_dir, "auction"), "row_id", [CPV_CHAIN, MEMBER_CHAIN])
 
 
+def p6_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every leaf path below the repeated nodes of both lists, with its types and counts."""
+    auction = read_table(spark, sf_dir, "auction")
+    parts = [nested.leaf_paths(auction, c).select(F.lit(c).alias("column_name"), "*") for c in (OBJECTS, MEMBERS)]
+    return parts[0].unionByName(parts[1])
+
+
 def p6_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = nested.Chain(OBJECTS, ("object",))
     leaves = ["quantity", "costWithoutVAT", "shortDescription", "units.key", "units.value"]
@@ -156,6 +163,7 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_profile": p5_profile,
     "p6_found": p6_found,
+    "p6_leaves": p6_leaves,
     "p6_objects": p6_objects,
     "p6_cpvs": p6_cpvs,
     "p6_members": p6_members,

@@ -61,6 +61,31 @@ def _p4(act: str, column: str, bad: str, run: int) -> str:
 
 P4 = _p4("auction", "totalCostWithVAT", "v <= 0 OR v > 1e10", 8) + " UNION ALL " + _p4("contract", "bidsSubmitted", "v < 1 OR v <> floor(v) OR v >= 300000", 12)
 
+# ---- changes of fields between files
+
+P1 = """WITH ok AS (SELECT file_name AS file, line_no, payload FROM contract_raw WHERE file_name IS NOT NULL AND json_valid(payload) AND json_type(payload) = 'OBJECT'),
+    tree AS (SELECT file, line_no, replace(substr(t.fullkey, 3), '"', '') AS path, t.type AS kind, t.value AS v, length(t.fullkey) AS depth FROM ok, json_tree(ok.payload) t WHERE t.fullkey NOT LIKE '%[%' AND t.type NOT IN ('OBJECT', 'NULL')),
+    leaf AS (SELECT file, line_no, path, arg_min(CASE WHEN kind = 'VARCHAR' THEN 'string' WHEN kind = 'ARRAY' THEN 'list' WHEN kind = 'BOOLEAN' THEN 'boolean' ELSE 'number' END, depth) AS type, arg_min(v, depth) AS v FROM tree GROUP BY 1, 2, 3),
+    same AS (SELECT file, line_no, path, type, CASE WHEN type = 'string' THEN trim(v->>'$') ELSE cast(v AS VARCHAR) END AS s FROM leaf),
+    val AS (SELECT file, line_no, path, type, CASE WHEN type <> 'list' AND length(s) <= 15 AND regexp_full_match(s, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN cast(cast(s AS DOUBLE) AS VARCHAR)
+    WHEN lower(s) IN ('true', 'false') THEN lower(s) WHEN type = 'string' AND s[1:1] IN ('[', '{') AND json_valid(s) THEN cast(json(s) AS VARCHAR) ELSE s END AS same FROM same),
+    act AS (SELECT file, line_no, any_value(same) AS act FROM (SELECT file, line_no, CASE WHEN type = 'string' THEN v->>'$' ELSE cast(v AS VARCHAR) END AS same FROM leaf WHERE path = 'referenceNumber') GROUP BY 1, 2),
+    files AS (SELECT file, regexp_extract(file, '^(.*)/[^/]*$', 1) AS feed, row_number() OVER (PARTITION BY regexp_extract(file, '^(.*)/[^/]*$', 1) ORDER BY file) AS idx FROM (SELECT DISTINCT file_name AS file FROM contract_raw WHERE file_name IS NOT NULL)),
+    main AS (SELECT file, path, arg_max(type, (n, type)) AS type FROM (SELECT file, path, type, count(*) AS n FROM val GROUP BY 1, 2, 3) GROUP BY 1, 2),
+    st AS (SELECT feed, idx, path, type FROM main JOIN files USING (file)),
+    d AS (SELECT f.feed, f.idx, f.file, x.path, CASE WHEN x.old IS NULL THEN 'added' WHEN x.new IS NULL THEN 'removed' WHEN x.old <> x.new THEN 'type_changed' END AS kind FROM (
+    SELECT feed, idx, path, max(new) AS new, max(old) AS old FROM (SELECT feed, idx, path, type AS new, NULL AS old FROM st UNION ALL SELECT feed, idx + 1, path, NULL, type FROM st) GROUP BY 1, 2, 3) x JOIN files f USING (feed, idx) WHERE f.idx > 1),
+    a AS (SELECT f.feed, f.idx, act, path, same FROM val JOIN act USING (file, line_no) JOIN files f USING (file)),
+    nv AS (SELECT DISTINCT a.feed, a.idx, act, a.path, same FROM a JOIN d ON d.feed = a.feed AND d.idx = a.idx AND d.path = a.path AND d.kind = 'added'),
+    ov AS (SELECT DISTINCT a.feed, a.idx + 1 AS idx, act, a.path, same FROM a JOIN d ON d.feed = a.feed AND d.idx = a.idx + 1 AND d.path = a.path AND d.kind = 'removed'),
+    by_act AS (SELECT nv.feed, nv.idx, nv.path AS new_path, ov.path AS old_path, nv.act, bool_or(nv.same = ov.same) AS same FROM nv JOIN ov ON nv.feed = ov.feed AND nv.idx = ov.idx AND nv.act = ov.act GROUP BY 1, 2, 3, 4, 5),
+    proved AS (SELECT feed, idx, new_path, old_path, count(*) AS n FROM by_act GROUP BY 1, 2, 3, 4 HAVING bool_and(same)),
+    one AS (SELECT * FROM proved QUALIFY row_number() OVER (PARTITION BY feed, idx, new_path ORDER BY n DESC, old_path) = 1),
+    ren AS (SELECT * FROM one QUALIFY row_number() OVER (PARTITION BY feed, idx, old_path ORDER BY n DESC, new_path) = 1)
+    SELECT d.file AS file_name, d.path AS field_path, CASE WHEN r.new_path IS NOT NULL THEN 'renamed' ELSE d.kind END AS change_kind, coalesce(r.old_path, '') AS old_path FROM d
+    LEFT JOIN ren r ON r.feed = d.feed AND r.idx = d.idx AND r.new_path = d.path AND d.kind = 'added' LEFT JOIN ren g ON g.feed = d.feed AND g.idx = d.idx AND g.old_path = d.path AND d.kind = 'removed'
+    WHERE d.kind IS NOT NULL AND g.old_path IS NULL"""
+
 # ---- the profile of three columns of the awards
 
 _AMOUNT = '"totalCostWithoutVAT"'
@@ -108,4 +133,4 @@ P6_MEMBERS = P6.split("    SELECT row_id, 'object' AS child")[0] + " SELECT row_
     f"{_leaf('e', p)} AS {p.replace('.', '_')}" for p in ("vatNumber", "name", "country.key", "greekVatNumber")
 ) + " FROM m3 WHERE json_type(e) = 'OBJECT'"
 
-ORACLE = {"p2_profile": P2_PROFILE, "p2_violations": P2_VIOLATIONS, "p6_objects": P6_OBJECTS, "p6_cpvs": P6_CPVS, "p6_members": P6_MEMBERS, "p4_found": P4, "p5_found": P5, "p5_profile": P5_PROFILE, "p6_found": P6}
+ORACLE = {"p1_found": P1, "p2_profile": P2_PROFILE, "p2_violations": P2_VIOLATIONS, "p6_objects": P6_OBJECTS, "p6_cpvs": P6_CPVS, "p6_members": P6_MEMBERS, "p4_found": P4, "p5_found": P5, "p5_profile": P5_PROFILE, "p6_found": P6}

@@ -587,13 +587,21 @@ def jn23(spark, d):
 
 @query(
     "jn26_compare",
-    """WITH a AS (SELECT _source_year AS y, count(*) AS n FROM auction GROUP BY 1), b AS (SELECT _source_year AS y, count(*) AS n FROM payment GROUP BY 1)
-    SELECT coalesce(a.y, b.y) AS year, a.n AS n_left, b.n AS n_right, coalesce(a.n, 0) - coalesce(b.n, 0) AS diff FROM a FULL JOIN b ON a.y = b.y""",
+    X.acts("auctions")
+    + """, a AS (SELECT _source_year AS y, count(DISTINCT coalesce("referenceNumber", row_id::VARCHAR)) AS n, coalesce(sum("totalCostWithVAT"), 0) AS v FROM auction GROUP BY 1), b AS (SELECT year AS y, count(*) AS n, coalesce(sum(value), 0) AS v FROM auctions GROUP BY 1)
+    SELECT coalesce(a.y, b.y) AS year, a.n AS n_left, b.n AS n_right, coalesce(a.n, 0) - coalesce(b.n, 0) AS diff, round(a.v, 2) AS sum_left, round(b.v, 2) AS sum_right,
+    abs(coalesce(a.v, 0) - coalesce(b.v, 0)) <= greatest(1.0, abs(a.v) * 0.05) AS close FROM a FULL JOIN b ON a.y = b.y""",
 )
 def jn26(spark, d):
-    a = read_table(spark, d, "auction").groupBy(q("_source_year").alias("year")).agg(F.count(F.lit(1)).alias("n_left"))
-    b = read_table(spark, d, "payment").groupBy(q("_source_year").alias("year")).agg(F.count(F.lit(1)).alias("n_right"))
-    return a.join(b, "year", "full_outer").withColumn("diff", F.coalesce("n_left", F.lit(0)) - F.coalesce("n_right", F.lit(0)))
+    """Acts and amounts as delivered against the clean table, by year, amounts within a tolerance."""
+    act = F.coalesce(q("referenceNumber"), F.col("row_id").cast("string"))
+    a = read_table(spark, d, "auction").groupBy(q("_source_year").alias("year")).agg(F.count_distinct(act).alias("n_left"), F.coalesce(F.sum("totalCostWithVAT"), F.lit(0.0)).alias("a"))
+    b = acts.auctions(spark, d).groupBy("year").agg(F.count(F.lit(1)).alias("n_right"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("b"))
+    zero = lambda c, z: F.coalesce(c, F.lit(z))
+    return a.join(b, "year", "full_outer").select(
+        "year", "n_left", "n_right", (zero("n_left", 0) - zero("n_right", 0)).alias("diff"), F.round("a", 2).alias("sum_left"), F.round("b", 2).alias("sum_right"),
+        (F.abs(zero("a", 0.0) - zero("b", 0.0)) <= F.greatest(F.lit(1.0), F.abs("a") * 0.05)).alias("close"),
+    )
 
 
 # ---------------------------------------------------------------- aggregations

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import zipfile
+from collections.abc import Sequence
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +78,71 @@ def keyed_json(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(f"`{key}`").alias("key"), F.to_json(F.struct(*clean), {"ignoreNullFields": "false"}).alias("json"))
 
 
+def payload_json(df: DataFrame, header: dict[str, str | int | None], count_as: str, max_rows: int = 1_000_000) -> str:
+    """One document: the header's entries, the number of records under ``count_as``, and the records, without NaN.
+
+    A document is read whole by its users, so more than ``max_rows`` records raise; :func:`keyed_json` has no bound.
+    """
+    rows = keyed_json(df, df.columns[0]).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} records for one document")
+    head = json.dumps(header | {count_as: len(rows)}, ensure_ascii=False)
+    return head[:-1] + (", " if len(head) > 2 else "") + '"records": [' + ", ".join(r.json for r in rows) + "]}"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def append_whole(df: DataFrame, path: str) -> None:
+    """Append rows to a Parquet table so that readers see all of them or none.
+
+    Old and new rows are written beside the table, which is then replaced by renaming; a write that fails leaves the
+    table as it was, and a table left renamed by a stopped run is put back first.
+    """
+    spark = df.sparkSession
+    fs, target = _fs(spark, path)
+    _, fresh = _fs(spark, path + ".tmp")
+    _, old = _fs(spark, path + ".old")
+    if fs.exists(old) and not fs.exists(target):
+        fs.rename(old, target)
+    every = spark.read.parquet(path).unionByName(df, allowMissingColumns=True) if fs.exists(target) else df
+    every.write.mode("overwrite").parquet(path + ".tmp")
+    fs.delete(old, True)
+    if fs.exists(target):
+        fs.rename(target, old)
+    if not fs.rename(fresh, target):
+        raise OSError(f"{path} could not be put in place")
+    fs.delete(old, True)
+
+
+def publish(spark: SparkSession, source: str, target: str, names: Sequence[str]) -> list[str]:
+    """Copy those of the named files that exist, and no others; the names copied."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = []
+    for name in names:
+        src_fs, src = _fs(spark, f"{source}/{name}")
+        dst_fs, dst = _fs(spark, f"{target}/{name}")
+        if src_fs.exists(src):
+            jvm.org.apache.hadoop.fs.FileUtil.copy(src_fs, src, dst_fs, dst, False, True, conf)
+            done.append(name)
+    return done
+
+
+def release(folder: str, archive: str, info: dict) -> dict:
+    """Write ``build-info.json`` with the number of files into a local folder and pack the folder, in name order."""
+    files = [p for p in sorted(Path(folder).rglob("*")) if p.is_file() and p.name != "build-info.json"]
+    manifest = info | {"dist_file_count": len(files), "build_timestamp": dt.datetime.now(dt.timezone.utc).isoformat()}
+    Path(folder, "build-info.json").write_text(json.dumps(manifest, ensure_ascii=False, indent=2), encoding="utf-8")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for p in sorted(Path(folder).rglob("*")):
+            if p.is_file():
+                out.write(p, p.relative_to(folder).as_posix())
+    return manifest
+
+
 def typed_header(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Rename columns to bulk-import headers such as ``vat:ID(Organization)``; data are unchanged."""
     return df.withColumnsRenamed(kinds)

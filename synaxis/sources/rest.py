@@ -5,14 +5,23 @@ The transport is a plain callable, so tests and offline runs read recorded pages
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import random
 import time
+import urllib.error
+import urllib.parse
+import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from synaxis.functions.months import month_bounds
+
 Page = dict
 Fetch = Callable[[str, dict], tuple[int, dict, dict]]
 
@@ -78,17 +87,84 @@ def pages(fetch: Fetch, entity: str, body: dict, spacing: Spacing) -> Iterator[d
         raise IncompletePages(f"{entity}: {n} of {announced} records")
 
 
+# What a search for requests must state.
+REQUEST_DEFAULTS = {"isInitial": True, "isApproved": False, "isApproval": False}
+
+
+def http_fetch(base_url: str, headers: dict[str, str] | None = None, timeout: float = 60.0) -> Fetch:
+    """A transport over HTTP: POST of a body as JSON, GET where the body is None; error statuses are answers."""
+
+    def fetch(url: str, body: dict | None) -> tuple[int, dict, dict]:
+        data = None if body is None else json.dumps(body).encode()
+        head = {"Accept": "application/json", "Content-Type": "application/json"} | (headers or {})
+        try:
+            with urllib.request.urlopen(urllib.request.Request(base_url.rstrip("/") + url, data, head), timeout=timeout) as answer:
+                content = answer.read()
+                kind = answer.headers.get("Content-Type", "")
+                return answer.status, dict(answer.headers), (json.loads(content) if content else {}) if "json" in kind else {"bytes": content}
+        except urllib.error.HTTPError as error:
+            return error.code, dict(error.headers), {}
+
+    return fetch
+
+
+def date_range(fetch: Fetch, entity: str, first: dt.date, last: dt.date, spacing: Spacing, criteria: dict | None = None, days: int = 180) -> Iterator[dict]:
+    """All records of a range of days, in inclusive windows of at most ``days``."""
+    if first > last:
+        raise ValueError("the range ends before it begins")
+    while first <= last:
+        end = min(first + dt.timedelta(days=days - 1), last)
+        base = REQUEST_DEFAULTS if entity == "request" else {}
+        yield from pages(fetch, entity, base | (criteria or {}) | {"dateFrom": first.isoformat(), "dateTo": end.isoformat()}, spacing)
+        first = end + dt.timedelta(days=1)
+
+
+# Paths of the look-ups of single records.
+LOOK_UPS = {"chain": "/adamChain/{key}", "pde": "/pde?pdeNumber={key}", "attachment": "/{entity}/attachment/{key}", "company": "/companies/{key}", "companies_of": "/companies?afm={key}&resultsOffset=0&resultsSize=10"}
+
+
+def look_up(fetch: Fetch, what: str, key: str, spacing: Spacing, entity: str = "auction") -> dict | None:
+    """One record's chain, numbers, attachment (``bytes``) or company; None where it is not known, an error for other refusals."""
+    status, answer = request(fetch, LOOK_UPS[what].format(key=urllib.parse.quote(key, safe=""), entity=entity), None, spacing)
+    if status == 404:
+        return None
+    if status >= 400:
+        raise RuntimeError(f"{what} {key}: status {status}")
+    return answer
+
+
+def look_up_each(keys: DataFrame, column: str, what: str, transport: Callable[[], Fetch], per_minute: float, tasks: int = 4) -> DataFrame:
+    """(key, found, payload): a look-up of every distinct key, in ``tasks`` tasks that share the rate.
+
+    ``transport`` makes a task's own transport. Null keys are left out.
+    """
+    distinct = keys.select(F.col(column).cast("string").alias("key")).filter("key is not null").distinct().repartition(tasks, "key")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fetch, spacing = transport(), Spacing(per_minute / tasks)
+        for batch in batches:
+            answers = [look_up(fetch, what, k, spacing) for k in batch["key"]]
+            yield pd.DataFrame({"key": batch["key"], "found": [a is not None for a in answers], "payload": [None if a is None else json.dumps(a, ensure_ascii=False) for a in answers]})
+
+    return distinct.mapInPandas(run, "key string, found boolean, payload string")
+
+
 class MonthPartition(InputPartition):
     def __init__(self, entity: str, month: str):
         super().__init__(month)
         self.entity, self.month = entity, month
 
 
-class RecordedReader(DataSourceReader):
-    """Reads ``<path>/<entity>_<YYYY-MM>_<page>.json`` pages; one partition per month, the rate divided among them."""
+class MonthReader(DataSourceReader):
+    """Reads months over HTTP from ``url``, or recorded pages ``<path>/<entity>_<YYYY-MM>_<page>.json``.
+
+    One partition per month; the rate is divided among them.
+    """
 
     def __init__(self, options: dict):
-        self.path, self.entity = options["path"], options["entity"]
+        self.url, self.path, self.entity = options.get("url"), options.get("path"), options["entity"]
+        if (self.url is None) == (self.path is None):
+            raise ValueError("give either url or path")
         self.months = [m for m in options["months"].split(",") if m]
         self.per_minute = float(options.get("per_minute", 300)) / max(1, len(self.months))
 
@@ -105,12 +181,17 @@ class RecordedReader(DataSourceReader):
                 return 404, {}, {}
 
         spacing = Spacing(self.per_minute)
-        for record in pages(fetch, partition.entity, {"month": partition.month}, spacing):
+        if self.url is not None:
+            year, month = map(int, partition.month.split("-"))
+            records = date_range(http_fetch(self.url), partition.entity, *month_bounds(year, month), spacing)
+        else:
+            records = pages(fetch, partition.entity, {"month": partition.month}, spacing)
+        for record in records:
             yield (partition.entity, partition.month, json.dumps(record, ensure_ascii=False))
 
 
 class RegisterSource(DataSource):
-    """``spark.read.format("register")`` with options path, entity, months (comma-separated)."""
+    """``spark.read.format("register")`` with options url or path, entity, months (comma-separated)."""
 
     @classmethod
     def name(cls) -> str:
@@ -119,5 +200,5 @@ class RegisterSource(DataSource):
     def schema(self) -> str:
         return "entity string, month string, payload string"
 
-    def reader(self, schema) -> RecordedReader:
-        return RecordedReader(self.options)
+    def reader(self, schema) -> MonthReader:
+        return MonthReader(self.options)

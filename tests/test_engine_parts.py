@@ -216,3 +216,192 @@ def test_registered_communities_reach_louvain(spark, data):
         w.setdefault(r.src, {})[r.dst] = r.w
     got = G.modularity(edges, M.gr07(spark, data)).first().modularity
     assert got >= louvain(w) - 0.01
+
+
+def test_http_transport_and_look_ups(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen = []
+
+    class Register(BaseHTTPRequestHandler):
+        def _say(self, status, body):
+            data = json.dumps(body).encode()
+            self.send_response(status)
+            self.send_header("Content-Type", "application/json")
+            self.end_headers()
+            self.wfile.write(data)
+
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            seen.append(body)
+            self._say(200, {"content": [{"referenceNumber": body["dateFrom"]}], "totalElements": 1, "last": True})
+
+        def do_GET(self):
+            known = self.path.endswith("21AWRD1")
+            self._say(200 if known else 404, {"chain": ["21REQ1", "21AWRD1"]} if known else {})
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Register)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}"
+    try:
+        import datetime as dt
+
+        fetch = R.http_fetch(url)
+        got = [r["referenceNumber"] for r in R.date_range(fetch, "request", dt.date(2020, 1, 1), dt.date(2020, 8, 1), free())]
+        assert got == ["2020-01-01", "2020-06-29"] and seen[0]["dateTo"] == "2020-06-28" and seen[0]["isInitial"] is True
+        assert R.look_up(fetch, "chain", "21AWRD1", free()) == {"chain": ["21REQ1", "21AWRD1"]} and R.look_up(fetch, "chain", "x", free()) is None
+        with pytest.raises(ValueError):
+            list(R.date_range(fetch, "auction", dt.date(2020, 2, 1), dt.date(2020, 1, 1), free()))
+        spark.dataSource.register(R.RegisterSource)
+        df = spark.read.format("register").option("url", url).option("entity", "auction").option("months", "2020-02,2021-03").option("per_minute", 1e9).load()
+        assert sorted(json.loads(r.payload)["referenceNumber"] for r in df.collect()) == ["2020-02-01", "2021-03-01"]
+        keys = spark.createDataFrame([("21AWRD1",), ("21AWRD1",), ("no",), (None,)], "ref string")
+        found = {r.key: r.found for r in R.look_up_each(keys, "ref", "chain", lambda: R.http_fetch(url), 1e9, 2).collect()}
+        assert found == {"21AWRD1": True, "no": False}
+    finally:
+        server.shutdown()
+
+
+def test_flat_records_companies_and_forms(spark):
+    from pyspark.sql import functions as F
+
+    from synaxis.sources import records as C
+
+    assert C.flat_record('{"a": {"b": 1, "c": {"d": "x"}}, "l": [1, {"z": 2}], "big": 80000000000000000000, "n": null, "e": {}}') == {
+        "a.b": "1", "a.c.d": "x", "l": '[1, {"z": 2}]', "big": None, "n": None, "e": "{}",
+    }
+    assert C.flat_record("[1]") is None and C.flat_record(None) is None
+    branch, parent = {"afm": "1", "isBranch": True}, {"afm": "1", "isBranch": False, "coNameEl": "Α", "legalType": {"descr": "ΑΕ"}, "arGemi": 7}
+    rows = [(json.dumps({"searchResults": r}),) for r in ([branch, parent], [branch], [])] + [(None,)]
+    got = [r.c for r in spark.createDataFrame(rows, "t string").select(C.company_of_search(F.col("t")).alias("c")).collect()]
+    assert (got[0].legal_type, got[0].is_branch, got[0].ar_gemi) == ("ΑΕ", False, "7") and got[1].is_branch is True and got[2] is None and got[3] is None
+    good = ("n", "a@b.gr", "text", "", "", "")
+    forms = [good, (*good[:5], "x"), ("n", "a@b", *good[2:]), ("n", "a@b.gr", " ", "", "", ""), ("n" * 201, *good[1:]), (*good[:3], "9" * 21, "", "")]
+    df = spark.createDataFrame(forms, "name string, email string, message string, vat string, entity string, trap string")
+    assert [r.e for r in df.select(C.form_error(*[F.col(c) for c in df.columns]).alias("e")).collect()] == [None, "dropped", "invalid_email", "invalid_message", "invalid_name", "invalid_context"]
+
+
+def test_documents_whole_appends_and_releases(spark, tmp_path):
+    import zipfile
+
+    df = spark.createDataFrame([("a", 1.5), ("b", math.nan)], "k string, v double")
+    text = SF.payload_json(df, {"generated_at": "t", "data_coverage_month": "2020-01"}, "n_records")
+    assert json.loads(text) == {"generated_at": "t", "data_coverage_month": "2020-01", "n_records": 2, "records": [{"k": "a", "v": 1.5}, {"k": "b", "v": None}]}
+    with pytest.raises(ValueError):
+        SF.payload_json(df, {}, "n", max_rows=1)
+    path = str(tmp_path / "table")
+    SF.append_whole(df, path)
+    SF.append_whole(df.limit(1), path)
+    assert spark.read.parquet(path).count() == 3 and not (tmp_path / "table.tmp").exists() and not (tmp_path / "table.old").exists()
+    (tmp_path / "src").mkdir()
+    for name in ("entities.csv", "secret.csv"):
+        (tmp_path / "src" / name).write_text("x")
+    assert SF.publish(spark, str(tmp_path / "src"), str(tmp_path / "out"), ["entities.csv", "missing.csv"]) == ["entities.csv"]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.suffix == ".csv") == ["entities.csv"]
+    info = SF.release(str(tmp_path / "out"), str(tmp_path / "r.zip"), {"git_sha": "abc"})
+    assert info["git_sha"] == "abc" and "entities.csv" in zipfile.ZipFile(tmp_path / "r.zip").namelist()
+
+
+def test_months():
+    import datetime as dt
+
+    from synaxis.functions.months import month_bounds, recent_closed_months
+
+    assert recent_closed_months(dt.date(2026, 2, 10), 3) == [(2026, 1), (2025, 12), (2025, 11)]
+    assert month_bounds(2024, 2) == (dt.date(2024, 2, 1), dt.date(2024, 2, 29))
+
+
+def test_labels_given_before_are_kept(spark):
+    old = spark.createDataFrame([(1, "match"), (2, ""), (3, None)], "id long, label string")
+    new = spark.createDataFrame([(1, "uncertain"), (2, "match"), (3, "match")], "id long, label string")
+    with pytest.raises(ValueError):
+        L.relabel(old, new, ["id"])
+    assert {r.id: r.label for r in L.relabel(old, new, ["id"], force=True).collect()} == {1: "uncertain", 2: "match", 3: "match"}
+
+
+def test_official_names_equal_brute_force(spark, data):
+    import difflib
+
+    names, official = M._local_names(spark, data)
+    known = sorted(r.name for r in official.collect())
+    got = {r.name: r for r in L.match_official(names, official).collect()}
+    assert got and {r.match_type for r in got.values()} >= {"exact"}
+    for r in got.values():
+        if r.kind is None:
+            assert r.match_type == "excluded" and r.reason
+        elif r.name in known:
+            assert (r.match_type, r.official_name) == ("exact", r.name)
+        else:
+            near = difflib.get_close_matches(r.name, known, n=1, cutoff=0.75)
+            assert (r.match_type, r.official_name) == (("fuzzy", near[0]) if near else ("missing", None))
+    assert L.match_official(names.limit(3), official.filter("false")).filter("match_type = 'fuzzy'").count() == 0
+
+
+def test_alternation_needs_three_years(spark):
+    from synaxis.plans import reference as P
+
+    won = [("o", y, c) for y in (2020, 2021, 2022) for c in "ab"] + [("p", y, c) for y in (2020, 2021) for c in "ab"] + [("q", y, c) for y in (2020, 2021, 2022) for c in "abc"]
+    df = spark.createDataFrame(won, "vat string, year int, c string")
+    assert [tuple(r) for r in P.alternation(df, ["vat"], 3).collect()] == [("o", "a", "b")]
+
+
+def test_samples_fill_up(spark):
+    from synaxis.plans import reference as P
+
+    def pairs(n, same, band):
+        return spark.createDataFrame([(i, n + i, 1.0, same, band, f"{i * 7919 % 10007:05}") for i in range(n)], "id_l long, id_r long, jw_score double, same_vat boolean, band string, h string")
+
+    assert P.audit_sample(pairs(50, True, "0.95-1.0"), 20).dropDuplicates(["id_l", "id_r"]).count() == 20
+    assert P.audit_sample(pairs(10, True, "0.95-1.0"), 20).count() == 10
+    assert P.independent_sample(pairs(50, True, "x"), 30).count() == 30
+
+
+def test_late_events_and_state(spark, tmp_path):
+    import datetime as dt
+
+    schema = "ts timestamp, event_type string, value double"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def add(*events):
+        spark.createDataFrame([(dt.datetime(2024, 1, d, 12), "e", 1.0) for d in events], schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = I.windowed_counts(I.read_events(spark, source, spark.read.parquet(source).schema, 1))
+        q = stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        return {r.window_start.day: r.n for r in spark.read.parquet(out).collect()}
+
+    add(1, 1, 2)
+    run()
+    add(20)
+    run()
+    add(1)  # far behind the watermark
+    add(21)
+    got = run()
+    assert got[1] == 2 and got[2] == 1  # the late event changes nothing, each window is written once
+
+
+def test_unreadable_table_stops_an_upsert(spark, tmp_path):
+    target = tmp_path / "out"
+    target.mkdir()
+    (target / "part-0.parquet").write_text("no parquet")
+    schema = "referenceNumber string, row_id long, _source_year int, _source_month int"
+    spark.createDataFrame([("r", 1, 2020, 1)], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = I.read_events(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    with pytest.raises(Exception):
+        I.upsert_months(stream, str(target), str(tmp_path / "state"), "row_id").start().awaitTermination()
+    assert (target / "part-0.parquet").read_text() == "no parquet"
+
+
+def test_dedupe_probabilities(spark):
+    rows = [(i, f"v{i // 2}", f"NAME{i // 2} COMPANY{'X' if i % 20 == 1 else ''} OF TRADE{i // 2}", f"NAME{i // 2}") for i in range(200)] + [(900, None, None, None), (901, "v0", "QQ ZZ", "QQ")]
+    df = spark.createDataFrame(rows, "id long, vat string, norm string, prefix string")
+    pairs = {tuple(r) for r in L.blocked_pairs(df, "id", ["vat", "prefix"]).collect()}
+    assert len(pairs) == 102 and all(k == "vat" for *_, k in pairs)  # each pair once, though most agree in both
+    assert L.prior_by_rule(df, "vat", 0.7) == pytest.approx(102 / 0.7 / (202 * 201 / 2))
+    found = {(r.id_l, r.id_r) for r in L.dedupe_probabilities(df.withColumn("vat", df.prefix), "id", "norm", "vat", "prefix", threshold=0.0).collect()}
+    assert found == {(2 * k, 2 * k + 1) for k in range(100)}

@@ -72,3 +72,24 @@ def test_long_text(spark):
     text = json.dumps([{"cpvs": [{"key": str(i)} for i in range(1000)]} for _ in range(50)])
     df = spark.createDataFrame([(1, text)], "row_id long, objects string")
     assert N.child_rows(df, "row_id", [CHAIN]).count() == 50 + 50_000
+
+
+def test_leaves_are_discovered_and_read(spark):
+    from synaxis.operators import nested as M
+
+    texts = ['[{"q": 1, "u": {"k": "a"}, "cpvs": [{"key": "1", "sub": [{"z": true}]}, {"key": "2"}]}, null]', '{"q": "x", "tags": ["a"]}', "[", None, "[]", '["{\\"q\\": 2}"]']
+    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "row_id long, l string, node string")
+    leaves = M.leaf_paths(df, "l")
+    got = {(r.node, r.leaf, r.type): r.n for r in leaves.collect()}
+    assert got == {
+        ("", "q", "number"): 2, ("", "q", "string"): 1, ("", "u.k", "string"): 1, ("", "tags", "list"): 1, ("cpvs", "key", "string"): 2, ("cpvs/sub", "z", "boolean"): 1,
+    }
+    found = M.discovered(leaves, "l", "object")
+    assert [(c.nodes, names) for c, names in found] == [(("object",), ["q", "tags", "u.k"]), (("object", "cpvs"), ["key"]), (("object", "cpvs", "sub"), ["z"])]
+    deep, names = found[2]
+    assert [tuple(r) for r in M.child_table(df, "row_id", deep, names).collect()] == [(0, 0, 0, 0, "true")]
+    import pytest
+
+    with pytest.raises(ValueError):
+        M.child_rows(df, "row_id", [deep])
+    assert M.leaf_paths(df.limit(0), "l").count() == 0
