@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 
 from synaxis.session import Cut
 
-BLOCK_ROWS = 1_000_000
+BLOCK_ROWS = 100_000
+MAX_BLOCKS = 100_000
 CHUNK_ROWS = 100_000
 
 
 def ordered_blocks(rows: DataFrame, position: str, n_rows: int, block_rows: int = BLOCK_ROWS) -> Cut:
     """Rows with a ``block``: partitions of about ``block_rows`` rows in order of ``position``, written once.
 
+    Beyond MAX_BLOCKS of them partitions grow instead, to 10 million narrow rows for a million million.
     The partitions' bounds are sampled from the positions, so blocks are equal however these are spread
     (dense, sparse or random); equal positions share a block, and null ones are in the first.
     """
-    parts = max(1, -(-n_rows // block_rows))
+    parts = min(max(1, -(-n_rows // block_rows)), MAX_BLOCKS)
     return Cut(rows.repartitionByRange(parts, position).withColumn("block", F.spark_partition_id()))
 
 

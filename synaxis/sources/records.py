@@ -44,7 +44,7 @@ def flatten_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 # The fields of a company and where the answer holds them.
 COMPANY = (
-    ("ar_gemi", "$.arGemi", "string"), ("afm", "$.afm", "string"), ("name_el", "$.coNameEl", "string"), ("legal_type", "$.legalType.descr", "string"), ("status", "$.status.descr", "string"),
+    ("registry_no", "$.arGemi", "string"), ("afm", "$.afm", "string"), ("name_el", "$.coNameEl", "string"), ("legal_type", "$.legalType.descr", "string"), ("status", "$.status.descr", "string"),
     ("incorporation_date", "$.incorporationDate", "string"), ("is_active", "$.autoRegistered", "boolean"), ("is_branch", "$.isBranch", "boolean"),
 )
 

@@ -278,7 +278,7 @@ def test_flat_records_companies_and_forms(spark):
     branch, parent = {"afm": "1", "isBranch": True}, {"afm": "1", "isBranch": False, "coNameEl": "Α", "legalType": {"descr": "ΑΕ"}, "arGemi": 7}
     rows = [(json.dumps({"searchResults": r}),) for r in ([branch, parent], [branch], [])] + [(None,)]
     got = [r.c for r in spark.createDataFrame(rows, "t string").select(C.company_of_search(F.col("t")).alias("c")).collect()]
-    assert (got[0].legal_type, got[0].is_branch, got[0].ar_gemi) == ("ΑΕ", False, "7") and got[1].is_branch is True and got[2] is None and got[3] is None
+    assert (got[0].legal_type, got[0].is_branch, got[0].registry_no) == ("ΑΕ", False, "7") and got[1].is_branch is True and got[2] is None and got[3] is None
     good = ("n", "a@b.gr", "text", "", "", "")
     forms = [good, (*good[:5], "x"), ("n", "a@b", *good[2:]), ("n", "a@b.gr", " ", "", "", ""), ("n" * 201, *good[1:]), (*good[:3], "9" * 21, "", "")]
     df = spark.createDataFrame(forms, "name string, email string, message string, vat string, entity string, trap string")
