@@ -90,7 +90,7 @@ def p4_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
         spikes.implausible(
             _registered(spark, sf_dir, act, column), F.col("vat"), F.col("row_id"), v, F.col("day"), F.col("month"), impossible, limits,
             read_table(spark, sf_dir, act).count(),  # from the footers
-        ).select(F.lit(act).alias("act"), F.col("pos").alias("row_id"), "reasons")
+        ).select(F.lit(act).alias("act"), F.col("pos").alias("row_id"), F.array_join("reasons", ",").alias("reasons"))
         for act, column, impossible, limits in measurements
     ]
     return found[0].unionByName(found[1])

@@ -44,7 +44,7 @@ P6 = f"""WITH o AS (SELECT row_id, {_json('"objectDetailsList"')} AS j FROM auct
 
 
 def _p4(act: str, column: str, bad: str, run: int) -> str:
-    return f"""SELECT '{act}' AS act, row_id FROM (
+    return f"""SELECT '{act}' AS act, row_id, string_agg(reason, ',' ORDER BY reason) AS reasons FROM (
     WITH t AS (SELECT row_id, {_VAT} AS vat, "{column}" AS v FROM {act} WHERE "{column}" IS NOT NULL),
     r AS (SELECT * FROM t WHERE vat IN (SELECT vat FROM entities)),
     ok AS (SELECT * FROM r WHERE NOT ({bad})),
@@ -55,11 +55,11 @@ def _p4(act: str, column: str, bad: str, run: int) -> str:
     th AS (SELECT coalesce(arg_min(a, density), ln(3)) AS t FROM (SELECT a, sum(exp(-((gap - a) / 0.15) * ((gap - a) / 0.15) / 2)) AS density FROM gaps, grid GROUP BY 1)),
     f AS (SELECT vat, min(v) AS floor_v FROM gaps, th WHERE gap >= t GROUP BY 1),
     g AS (SELECT *, row_number() OVER (PARTITION BY vat ORDER BY row_id) - row_number() OVER (PARTITION BY vat, v ORDER BY row_id) AS island FROM r)
-    SELECT row_id FROM r WHERE {bad} UNION SELECT ok.row_id FROM ok JOIN f ON ok.vat = f.vat AND ok.v >= f.floor_v
-    UNION SELECT row_id FROM (SELECT row_id, count(*) OVER (PARTITION BY vat, v, island) AS n FROM g) WHERE n >= {run})"""
+    SELECT row_id, 'impossible' AS reason FROM r WHERE {bad} UNION SELECT ok.row_id, 'spike' FROM ok JOIN f ON ok.vat = f.vat AND ok.v >= f.floor_v
+    UNION SELECT row_id, 'stuck' FROM (SELECT row_id, count(*) OVER (PARTITION BY vat, v, island) AS n FROM g) WHERE n >= {run}) GROUP BY row_id"""
 
 
-P4 = _p4("auction", "totalCostWithVAT", "v <= 0 OR v > 1e10", 8) + " UNION ALL " + _p4("contract", "bidsSubmitted", "v < 1 OR v <> floor(v) OR v >= 300000", 12)
+P4_REASONS = _p4("auction", "totalCostWithVAT", "v <= 0 OR v > 1e10", 8) + " UNION ALL " + _p4("contract", "bidsSubmitted", "v < 1 OR v <> floor(v) OR v >= 300000", 12)
 
 # ---- changes of fields between files
 
@@ -119,6 +119,43 @@ P2_PROFILE = f"""WITH {_CELLS}, m AS (SELECT *, CASE WHEN v > 0 THEN cast(round(
     CASE WHEN var > 1e-9 THEN round((r3 - 3 * u * r2 + 2 * u * u * u) / pow(var, 1.5), 3) END AS log_skewness, CASE WHEN var > 1e-9 THEN round((r4 - 4 * u * r3 + 6 * u * u * r2 - 3 * u * u * u * u) / (var * var), 3) END AS log_kurtosis FROM c"""
 
 
+def _arc(x: str) -> str:
+    return f"(2 * asin(sqrt(least(greatest({x}, 0.0), 1.0))))"
+
+
+def _share_shift(n: str, of: str, n_all: str, of_all: str) -> str:
+    return f"({_arc(f'{n}::DOUBLE / nullif({of}, 0)')} - {_arc(f'({n_all} - {n})::DOUBLE / nullif({of_all} - {of}, 0)')})"
+
+
+def _mean_shift(k: str, a: str, b: str) -> str:
+    others = [f"(sum({x}) OVER w - {x})::DOUBLE" for x in (k, a, b)]
+    mean = f"({others[1]} / nullif({others[0]}, 0))"
+    return f"({a}::DOUBLE / nullif({k}, 0) - {mean}) / sqrt(greatest({others[2]} / nullif({others[0]}, 0) - {mean} * {mean}, 1e-4))"
+
+
+def _shares(what: str, aspect: str) -> str:
+    t = aspect.replace(" ", "_")
+    return f"""{t}_c AS (SELECT column_name, load_id, {what} AS x, count(*) AS n FROM lc WHERE {what} IS NOT NULL AND load_id IS NOT NULL GROUP BY 1, 2, 3),
+    {t}_t AS (SELECT column_name, x, sum(n) AS n_what FROM {t}_c GROUP BY 1, 2),
+    {t}_f AS (SELECT t.column_name, t.x FROM {t}_t t JOIN least_n USING (column_name) WHERE n_what >= 0.02 * n_least),
+    {t}_z AS (SELECT f.column_name, s.load_id, f.x, 0 AS n FROM {t}_f f JOIN sz s ON s.column_name = f.column_name WHERE NOT EXISTS (SELECT 1 FROM {t}_c c WHERE c.column_name = f.column_name AND c.load_id = s.load_id AND c.x = f.x)),
+    {t}_s AS (SELECT a.column_name, a.load_id, n_load, {_share_shift("a.n", "n_load", "n_what", "n_all")} AS shift FROM (SELECT * FROM {t}_c UNION ALL SELECT * FROM {t}_z) a JOIN {t}_t USING (column_name, x) JOIN sz USING (column_name, load_id)),
+    {t} AS (SELECT column_name, load_id, max(n_load) AS n, '{aspect}' AS aspect, max(shift) AS shift FROM {t}_s GROUP BY 1, 2 UNION ALL SELECT column_name, load_id, max(n_load), '{aspect} fallen', min(shift) FROM {t}_s GROUP BY 1, 2)"""
+
+
+P2 = f"""WITH {_CELLS}, lc AS (SELECT c.*, a.load_id, CASE WHEN v > 0 THEN cast(round(log10(v) * 10000) AS HUGEINT) END AS m, cast(round(ln(1 + length(t)) * 10000) AS HUGEINT) AS s FROM cells c JOIN auction a USING (row_id)),
+    sums AS (SELECT column_name, load_id, count(*) AS n, count(*) FILTER (t IS NULL) AS n_null, count(*) FILTER (violates) AS n_viol, count(m) AS k, coalesce(sum(m), 0) AS m1, coalesce(sum(m * m), 0) AS m2,
+    count(s) AS lk, coalesce(sum(s), 0) AS l1, coalesce(sum(s * s), 0) AS l2 FROM lc WHERE load_id IS NOT NULL GROUP BY 1, 2),
+    sz AS (SELECT column_name, load_id, n AS n_load, sum(n) OVER (PARTITION BY column_name) AS n_all FROM sums), least_n AS (SELECT column_name, sum(n) - max(n) AS n_least FROM sums GROUP BY 1),
+    wide AS (SELECT column_name, load_id, n, {_share_shift("n_null", "n", "sum(n_null) OVER w", "sum(n) OVER w")} AS a1, {_share_shift("n_viol", "n", "sum(n_viol) OVER w", "sum(n) OVER w")} AS a2,
+    {_mean_shift("k", "m1", "m2")} AS a3, {_mean_shift("lk", "l1", "l2")} AS a4 FROM sums WINDOW w AS (PARTITION BY column_name)),
+    {_shares("t", "single value")}, {_shares("form", "single form")},
+    shifts AS (SELECT column_name, load_id, n, 'null share' AS aspect, a1 AS shift FROM wide UNION ALL SELECT column_name, load_id, n, 'violation share', a2 FROM wide UNION ALL SELECT column_name, load_id, n, 'typical value', a3 FROM wide
+    UNION ALL SELECT column_name, load_id, n, 'typical length', a4 FROM wide UNION ALL SELECT * FROM single_value UNION ALL SELECT * FROM single_form),
+    mid AS (SELECT *, abs(shift - median(shift) OVER (PARTITION BY column_name, aspect)) AS off FROM shifts), usual AS (SELECT *, median(off) OVER (PARTITION BY column_name, aspect) AS usual FROM mid)
+    SELECT 'value' AS finding, column_name, row_id AS key_id FROM cells WHERE violates UNION ALL SELECT DISTINCT 'load', column_name, cast(load_id AS BIGINT) FROM usual WHERE n >= 20 AND off >= 0.6 AND off >= 6 * usual"""
+
+
 def _leaf(e: str, path: str) -> str:
     """A leaf as text: scalars bare, lists and objects as compact JSON."""
     j = f"json_extract({e}, '$.{path}')"
@@ -133,4 +170,6 @@ P6_MEMBERS = P6.split("    SELECT row_id, 'object' AS child")[0] + " SELECT row_
     f"{_leaf('e', p)} AS {p.replace('.', '_')}" for p in ("vatNumber", "name", "country.key", "greekVatNumber")
 ) + " FROM m3 WHERE json_type(e) = 'OBJECT'"
 
-ORACLE = {"p1_found": P1, "p2_profile": P2_PROFILE, "p2_violations": P2_VIOLATIONS, "p6_objects": P6_OBJECTS, "p6_cpvs": P6_CPVS, "p6_members": P6_MEMBERS, "p4_found": P4, "p5_found": P5, "p5_profile": P5_PROFILE, "p6_found": P6}
+P4 = f"SELECT act, row_id FROM ({P4_REASONS})"
+
+ORACLE = {"p4_reasons": P4_REASONS, "p1_found": P1, "p2_found": P2, "p2_profile": P2_PROFILE, "p2_violations": P2_VIOLATIONS, "p6_objects": P6_OBJECTS, "p6_cpvs": P6_CPVS, "p6_members": P6_MEMBERS, "p4_found": P4, "p5_found": P5, "p5_profile": P5_PROFILE, "p6_found": P6}
