@@ -126,10 +126,11 @@ def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     share: Counter[str] = Counter()
     for batch in batches:
         for text in batch["text"]:
-            words = Counter(w for _, words in spans_of(text) for w in words)
-            total = sum(words.values())
+            found = _WORD.findall(_MARKUP.sub(" ", text).lower())
+            total = len(found)
             if total < LONG_TEXT:
                 continue
+            words = Counter(found)
             for w, k in words.items():
                 if len(w) <= FUNCTION_WORD and w.isalpha():
                     n[w] += 1
