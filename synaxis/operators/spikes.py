@@ -1,8 +1,9 @@
 """Implausible measurements per source: spikes, stuck values, impossible readings.
 
 Spikes: the readings of a source form a daily profile matrix (weeks x weekdays, one more column for
-undated readings of a month; a cell holds the day's largest reading on the log scale). Robust
-principal components split it into a low-rank part, the source's normal behaviour on that day, and a
+undated readings of a month; a cell holds the day's median reading on the log scale, which unlike
+the largest one neither rises with the number of readings nor meets a spike in nearly every cell of
+a large source). Robust principal components split it into a low-rank part, the source's normal behaviour on that day, and a
 sparse rest. Every reading is measured by its excess over the low-rank part of its cell; spikes are the
 readings above a gap in the excesses of their source. How wide a gap must be is read from the gaps
 of all sources: between the many narrow ones that ordinary tails have and the wide ones that errors
@@ -42,23 +43,29 @@ class Limits:
     width: float = 0.15
 
 
-def robust_low_rank(x: np.ndarray, seen: np.ndarray, rank: int = 1, rounds: int = 25, cutoff: float = 2.5) -> np.ndarray:
-    """Low-rank part of a matrix with gaps and sparse gross errors.
+def robust_low_rank(
+    x: np.ndarray, seen: np.ndarray, n: np.ndarray | None = None, rank: int = 1, rounds: int = 25, cutoff: float = 2.5
+) -> np.ndarray:
+    """Low-rank part of a matrix with gaps and sparse gross errors; ``n``: readings behind each cell, one by default.
 
     Starts from the median of the seen cells, then alternates: residuals beyond ``cutoff`` robust
     standard deviations go to the sparse part, unseen cells take the current fit, and the fit is
-    the mean level plus the truncated principal components of what remains.
+    the mean level plus the truncated principal components of what remains. Cells of few readings
+    scatter more than those of many, so each has a standard deviation of its own.
     """
+    root = np.ones(x.shape) if n is None else np.sqrt(np.where(seen, n, 1))
     level = float(np.median(x[seen]))
     low = np.full(x.shape, level)
     for _ in range(rounds):
         residual = np.where(seen, x - low, 0.0)
-        scale = 1.4826 * float(np.median(np.abs(residual[seen]))) + 1e-9
+        apart = np.abs(residual)
+        scale = 1.4826 * np.maximum(np.median(apart[seen]), np.median((apart * root)[seen]) / root) + 1e-9
         clean = low + np.clip(residual, -cutoff * scale, cutoff * scale)
         mean = float(clean[seen].mean())
         u, s, vt = np.linalg.svd(clean - mean, full_matrices=False)
         # a matrix of mere noise has components up to this size; weaker ones are no behaviour
-        keep = np.maximum(s[:rank] - 1.1 * scale * (np.sqrt(x.shape[0]) + np.sqrt(x.shape[1])), 0.0)
+        noise = np.sqrt((scale**2).sum(axis=0).max()) + np.sqrt((scale**2).sum(axis=1).max())
+        keep = np.maximum(s[:rank] - 1.1 * noise, 0.0)
         new = mean + (u[:, :rank] * keep) @ vt[:rank]
         done = np.max(np.abs(new - low)) < 1e-4
         low = new
@@ -68,20 +75,22 @@ def robust_low_rank(x: np.ndarray, seen: np.ndarray, rank: int = 1, rounds: int
 
 
 def normal_behaviour(cells: pd.DataFrame) -> pd.DataFrame:
-    """(source, week, slot, normal): the low-rank part of each cell (source, week, slot, level) of one source."""
+    """(source, week, slot, normal): the low-rank part of each cell (source, week, slot, level, n) of one source."""
     weeks, row = np.unique(cells["week"].to_numpy(), return_inverse=True)
     slot = cells["slot"].to_numpy()
     x = np.zeros((len(weeks), 8))
     seen = np.zeros(x.shape, dtype=bool)
+    n = np.ones(x.shape)
     x[row, slot] = cells["level"].to_numpy()
+    n[row, slot] = cells["n"].to_numpy()
     seen[row, slot] = True
-    low = robust_low_rank(x, seen)
+    low = robust_low_rank(x, seen, n)
     return cells[["source", "week", "slot"]].assign(normal=low[row, slot])
 
 
 def _cells(rows: DataFrame) -> DataFrame:
-    """Largest log reading per (source, week, slot); slot 7 holds a month's undated readings."""
-    return rows.groupBy("source", "week", "slot").agg(F.max(F.log("v")).alias("level"))
+    """Median log reading per (source, week, slot) and their number; slot 7 holds a month's undated readings."""
+    return rows.groupBy("source", "week", "slot").agg(F.median(F.log("v")).alias("level"), F.count(F.lit(1)).alias("n"))
 
 
 def _with_cell(rows: DataFrame) -> DataFrame:

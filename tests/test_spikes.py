@@ -91,6 +91,18 @@ def test_components_tell_a_weekly_pattern_from_spikes(spark):
     assert flagged(spark, flat) == {sunday: ["spike"]}
 
 
+def test_spikes_of_a_source_whose_volume_grows(spark):
+    rnd, rows = random.Random(4), []
+    for d in range(420):
+        day = dt.date(2021, 1, 4) + dt.timedelta(days=d)
+        rows += [("a", round(rnd.lognormvariate(7, 1.2), 2), day) for _ in range(1 if d < 210 else 12)]
+    top = max(v for _, v, _ in rows)
+    spiked = [i for i in range(len(rows)) if i % 40 == 7]
+    for i in spiked:
+        rows[i] = ("a", top * 10, rows[i][2])
+    assert flagged(spark, rows) == {i: ["spike"] for i in spiked}  # the largest reading of a day grows with their number
+
+
 def test_threshold_lies_where_gaps_are_sparsest(spark):
     rnd = random.Random(2)
     narrow = [0.69 + rnd.expovariate(4) for _ in range(300)]
