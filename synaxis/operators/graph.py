@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from synaxis.operators import between
 from synaxis.session import Cut
 
 BATCH_ROWS = 50_000_000
+HELD_ARCS = 4_000_000
 TOLERANCE = 1e-6
 STILL_ROUNDS = 1
 MOVERS = 4
@@ -167,15 +169,21 @@ def _betweenness(arcs: DataFrame, sources: DataFrame, made: list[Cut]) -> DataFr
     return total.filter("s != v").groupBy("v").agg((F.sum("delta") / 2).alias("score"))
 
 
-def all_betweenness(edges: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+def all_betweenness(edges: DataFrame, batch_rows: int = BATCH_ROWS, held_arcs: int = HELD_ARCS) -> DataFrame:
     """(v, score): exact unweighted betweenness of every vertex, 0 for those on no shortest path.
 
-    Sources go in batches of about ``batch_rows`` source-edge pairs; a batch's scores are written and its
-    tables dropped before the next one.
+    Up to ``held_arcs`` arcs, given in both directions, every task holds them and takes a share of the
+    sources. Larger graphs stay in tables: sources go in batches of about ``batch_rows`` source-edge
+    pairs; a batch's scores are written and its tables dropped before the next one.
     """
     arcs = Cut(edges.filter("src != dst").select("src", "dst").distinct())
     vertices = arcs.df.select(F.col("src").alias("v")).distinct()
-    n_batches = max(1, -(-vertices.count() * arcs.df.count() // batch_rows))
+    n_vertices, n_arcs = vertices.count(), arcs.df.count()
+    if n_arcs <= held_arcs:
+        held = Cut(between.scores(arcs, vertices, n_vertices))
+        arcs.drop()
+        return held.df
+    n_batches = max(1, -(-n_vertices * n_arcs // batch_rows))
     held = Cut(vertices.select("v", F.lit(0.0).alias("score")))
     for b in range(n_batches):
         made: list[Cut] = []

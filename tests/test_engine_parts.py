@@ -2,6 +2,8 @@
 
 import json
 import math
+import random
+import time
 
 import pytest
 
@@ -152,6 +154,23 @@ def test_betweenness_of_a_long_path_in_batches(spark):
     assert got == {f"{i:02}": float(i * (35 - i)) for i in range(36)}
 
 
+def test_betweenness_of_held_arcs_is_that_of_joins(spark):
+    rnd = random.Random(3)
+    two_sided = [(f"o{int(rnd.random() ** 3 * 25)}", f"c{rnd.randrange(60)}") for _ in range(150)]
+    any_sides = [(f"v{rnd.randrange(40)}", f"v{rnd.randrange(40)}") for _ in range(70)] + [("x", "y"), ("y", "z")]
+    for pairs in (two_sided, any_sides, []):
+        edges = G.undirected(spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "src string, dst string, w double"))
+        held, joined = ({r.v: r.score for r in G.all_betweenness(edges, 10_000, n).collect()} for n in (10**6, 0))
+        assert held == pytest.approx(joined, abs=1e-9) and len(held) == edges.select("src").distinct().count()
+
+
+def test_betweenness_of_many_sources_takes_seconds(spark):
+    rows = spark.range(30_000).selectExpr("concat('o', pmod(hash(id), 400)) as src", "concat('c', pmod(xxhash64(id), 1500)) as dst", "1.0D as w")
+    began = time.monotonic()
+    assert G.all_betweenness(G.undirected(rows)).filter("score > 0").count() == 1900
+    assert time.monotonic() - began < 20
+
+
 def test_communities_of_two_cliques(spark):
     import itertools
 
