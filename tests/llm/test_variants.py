@@ -103,6 +103,28 @@ def test_common_suffixes_are_refined_before_they_go(spark):
     assert got == want
 
 
+def test_only_pairs_that_share_their_letters_are_compared(spark):
+    import random
+
+    rnd, words = random.Random(7), {"abcdefghijkl", "wxyzefghijkl", "efghijkl", "aabbefghijkl", "abefghijkl"}
+    for w in ("karagianis", "papadopulos", "vasilakopulos", "manatos", "adamadadakis"):
+        for _ in range(40):
+            v = list(w)
+            for _ in range(rnd.randint(0, 3)):
+                i = rnd.randrange(len(v))
+                v[i : i + rnd.randint(0, 2)] = rnd.choice(["", "s", "a", "da", "7"])
+            words.add("".join(v))
+    tokens = spark.createDataFrame([(f"{w}|{w}", None, None) for w in sorted(words) if w], "token string, side int, field string")
+    met = {(r.a.split("|")[0], r.b.split("|")[0]) for r in V.similar_tokens(tokens, lambda a, b: True, V.most_errors_of_tokens).collect()}
+    assert ("abcdefghijkl", "wxyzefghijkl") not in met and ("abefghijkl", "efghijkl") in met
+    differ = lambda a, b: sum(abs(min(2, a.count(c)) - min(2, b.count(c))) for c in set(a + b))
+    assert all(differ(a, b) <= (len(a) + len(b)) // 6 for a, b in met)
+    bags = {r.token.split("|")[0]: (r.sound_letters, r.sound_bag, r.spelling_letters, r.spelling_bag) for r in V.with_bags(tokens).collect()}
+    for a in bags:
+        assert bags[a][:2] == bags[a][2:] and bags[a][0] == len(a)
+        assert all((bags[a][1] ^ bags[b][1]).bit_count() <= 2 * N.errors(a, b) for b in bags)
+
+
 def test_members_have_one_row_each(spark):
     rows = [(1, None, "ΡΟΜΠΟΛΟΜΗΧΑΡΑΣ ΜΕΤΑΦΟΡΕΣ Α.Ε."), (2, None, "ΜΕΤΑΦΟΡΕΣ ΡΟΜΠΟΛΟΜΗΧΑΡΑΣ"), (3, None, "ΡΟΜΠΟΛΟΜΗΧΑΡΑΣ ΜΕΤΑΦΟΡΕΣ Α.Ε."), (4, None, None)]
     filler = [(1000 + i, None, f"ΖΖΖΞΞΨ{chr(913 + i)}ΨΩΡΤΛ{chr(913 + i)}ΘΦ {TRADES[i % 3]}") for i in range(15)]
